@@ -38,30 +38,37 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
                                  {"hot_from": roles.product_keys(spark, sf)})
 
 
-def _zone_context(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.zone_context(roles.month_report(spark, sf, "units", "product"),
-                               roles.month_report(spark, sf, "values", "product"))
+def _zone_context(cells: DataFrame) -> DataFrame:
+    return enrich.zone_context(roles.month_report(cells, "units", "product"),
+                               roles.month_report(cells, "values", "product"))
 
 
-def _family_context(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.family_context(roles.month_report(spark, sf, "units", "family"),
-                                 roles.month_report(spark, sf, "values", "family"))
+def _family_context(cells: DataFrame) -> DataFrame:
+    return enrich.family_context(roles.month_report(cells, "units", "family"),
+                                 roles.month_report(cells, "values", "family"))
 
 
-def _with_zone(spark: SparkSession, sf: str) -> DataFrame:
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored: several reports are cut from it, and it is small where the sales are not."""
+    return stage(roles.month_cells(spark, sf), "month_cells")
+
+
+def _with_zone(spark: SparkSession, sf: str, cells: DataFrame) -> DataFrame:
     # Reports name their products, so the context meets the official name.
-    return enrich.with_zone_context(_enriched(spark, sf), _zone_context(spark, sf), "Producto",
+    return enrich.with_zone_context(_enriched(spark, sf), _zone_context(cells), "Producto",
                                     stage_as="zone_context")
 
 
 def ml_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    joined = enrich.with_family_context(_with_zone(spark, sf), _family_context(spark, sf),
+    cells = _cells(spark, sf)
+    joined = enrich.with_family_context(_with_zone(spark, sf, cells), _family_context(cells),
                                         stage_as="family_context")
     return enrich.training_rows(joined)
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:
-    family, product = [renaming.rename_blocks(roles.block_report(spark, sf, level))
+    cells = stage(roles.year_cells(spark, sf), "year_cells")
+    family, product = [renaming.rename_blocks(roles.block_report(cells, level))
                        for level in ("family", "product")]
     return reshape.reshape_both(family, product)
 
@@ -132,7 +139,7 @@ def sales_standardised(spark, sf):
 
 
 def block_rename(spark, sf):
-    return renaming.rename_blocks(roles.block_report(spark, sf, "product"))
+    return renaming.rename_blocks(roles.block_report(roles.year_cells(spark, sf), "product"))
 
 
 def cast_metrics(spark, sf):
@@ -193,24 +200,25 @@ def sales_enriched(spark, sf):
 
 
 def zone_targets_long(spark, sf):
-    return reshape.unpivot_months(roles.month_report(spark, sf, "units", "product"),
-                                  ["Zona", "Producto"], "Meta_Zona_Cajas", "Venta_PY_Zona_Cajas")
+    report = roles.month_report(roles.month_cells(spark, sf), "units", "product")
+    return reshape.unpivot_months(report, ["Zona", "Producto"], "Meta_Zona_Cajas",
+                                  "Venta_PY_Zona_Cajas")
 
 
 def zone_context(spark, sf):
-    return _zone_context(spark, sf)
+    return _zone_context(_cells(spark, sf))
 
 
 def sales_zone_context(spark, sf):
-    return _with_zone(spark, sf)
+    return _with_zone(spark, sf, _cells(spark, sf))
 
 
 def family_context(spark, sf):
-    return _family_context(spark, sf)
+    return _family_context(_cells(spark, sf))
 
 
 def report_long(spark, sf):
-    report = renaming.rename_blocks(roles.block_report(spark, sf, "product"))
+    report = renaming.rename_blocks(roles.block_report(roles.year_cells(spark, sf), "product"))
     return reshape.split_label(reshape.unpivot_all(report))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from salesflow.functions import exact_sum, family_key, month_code
 from salesflow.names import SALES_METRICS, SALES_TEXT, month_headers
@@ -14,8 +15,15 @@ PRIOR_YEAR, CURRENT_YEAR = 2000, 2001
 TARGET_GROWTH = 1.1
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its footer is looked at once; later reads state the schema."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def year_of(year: int) -> Column:
@@ -86,49 +94,59 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("Numero de articulo"))
 
 
-def _named_lines(spark: SparkSession, sf: str, where: Column) -> DataFrame:
-    """Lines of a period with their country and product name."""
-    lines = sold_lines(spark, sf, ["l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"],
-                       where)
+def _with_part_name(spark: SparkSession, sf: str, lines: DataFrame, where: Column) -> DataFrame:
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     keys = table(spark, sf, "lineitem").filter(where).select("l_partkey")
     return lookup_join(lines, parts, ["l_partkey"], "inner", hot_from=keys)
 
 
-def month_report(spark: SparkSession, sf: str, measure: str, level: str) -> DataFrame:
-    """Wide report: per zone and product (or family), target and prior year per month.
+def month_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Prior-year units and values per country, product name and month.
 
-    A cell without sales is null. Units leave out returned lines and values leave out
-    unprocessed ones, so each report has cells the other lacks.
+    The one pass over the line items that all month reports are cut from. Units leave out
+    returned lines and values leave out unprocessed ones, so each has cells the other lacks.
     """
-    flag, column, total = {
-        "units": ("R", "l_quantity", F.sum),
-        "values": ("N", "l_extendedprice", exact_sum),
-    }[measure]
-    lines = _named_lines(spark, sf, year_of(PRIOR_YEAR) & (F.col("l_returnflag") != flag))
+    where = year_of(PRIOR_YEAR)
+    lines = sold_lines(spark, sf, ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
+                                   "l_shipdate"], where)
+    flag = F.col("l_returnflag")
+    return (_with_part_name(spark, sf, lines, where)
+            .groupBy("n_name", "p_name", F.month("l_shipdate").alias("month")).agg(
+                F.sum(F.when(flag != "R", F.col("l_quantity"))).alias("units"),
+                exact_sum(F.when(flag != "N", F.col("l_extendedprice"))).alias("values")))
+
+
+def month_report(cells: DataFrame, measure: str, level: str) -> DataFrame:
+    """Wide report: per zone and product (or family), target and prior year per month.
+    A cell without sales is null."""
     name = F.col("p_name") if level == "product" else family_key("p_name")
-    month = F.month("l_shipdate")
-    prior = [total(F.when(month == i, F.col(column))).alias(f"m{i}") for i in range(1, 13)]
-    wide = (lines.groupBy(F.concat(F.lit(SELLER), "n_name").alias("Zona"), name.alias("Producto"))
+    total = F.sum if measure == "units" else exact_sum
+    prior = [total(F.when(F.col("month") == i, F.col(measure))).alias(f"m{i}")
+             for i in range(1, 13)]
+    wide = (cells.groupBy(F.concat(F.lit(SELLER), "n_name").alias("Zona"), name.alias("Producto"))
             .agg(*prior))
-    cells = []
+    columns = []
     for i, (_, target_header, prior_header) in enumerate(month_headers(), start=1):
-        cells += [(F.col(f"m{i}") * F.lit(TARGET_GROWTH)).alias(target_header),
-                  F.col(f"m{i}").alias(prior_header)]
-    return wide.select("Zona", "Producto", *cells)
+        columns += [(F.col(f"m{i}") * F.lit(TARGET_GROWTH)).alias(target_header),
+                    F.col(f"m{i}").alias(prior_header)]
+    return wide.select("Zona", "Producto", *columns)
+
 
+def year_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole boxes per product name, year and month of the two report years."""
+    where = year_of(CURRENT_YEAR) | year_of(PRIOR_YEAR)
+    lines = table(spark, sf, "lineitem").filter(where).select("l_partkey", "l_quantity",
+                                                              "l_shipdate")
+    return (_with_part_name(spark, sf, lines, where)
+            .groupBy("p_name", F.year("l_shipdate").alias("year"),
+                     F.month("l_shipdate").alias("month"))
+            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("boxes")))
 
-def block_report(spark: SparkSession, sf: str, level: str) -> DataFrame:
+
+def block_report(cells: DataFrame, level: str) -> DataFrame:
     """Block report as text cells named ``_c0``...: id, then sales, target, prior year and
-    percentage for twelve months and the running half year, in whole boxes. Product reports
-    write the percentage with a sign that is no number."""
-    years = year_of(CURRENT_YEAR) | year_of(PRIOR_YEAR)
-    lines = table(spark, sf, "lineitem").filter(years).select(
-        "l_partkey", F.col("l_quantity").cast("bigint").alias("boxes"),
-        F.month("l_shipdate").alias("month"), F.year("l_shipdate").alias("year"))
-    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    keys = table(spark, sf, "lineitem").filter(years).select("l_partkey")
-    named = lookup_join(lines, parts, ["l_partkey"], "inner", hot_from=keys)
+    percentage for twelve months and the running half year. Product reports write the
+    percentage with a sign that is no number."""
     name = F.col("p_name") if level == "product" else family_key("p_name")
     sums = []
     for b in range(1, 14):
@@ -136,13 +154,12 @@ def block_report(spark: SparkSession, sf: str, level: str) -> DataFrame:
         for tag, year in (("s", CURRENT_YEAR), ("p", PRIOR_YEAR)):
             sums.append(F.sum(F.when(inside & (F.col("year") == year), F.col("boxes")))
                         .alias(f"{tag}{b}"))
-    wide = named.groupBy(name.alias("_c0")).agg(*sums)
-    cells, sign = [F.col("_c0")], "%" if level == "product" else ""
+    wide = cells.groupBy(name.alias("_c0")).agg(*sums)
+    columns, sign = [F.col("_c0")], "%" if level == "product" else ""
     for b in range(1, 14):
-        sold, prior = F.col(f"s{b}"), F.col(f"p{b}")
-        target = prior + F.expr(f"p{b} div 10")
+        target = F.expr(f"p{b} + p{b} div 10")
         percent = F.concat(F.expr(f"(100 * s{b}) div (p{b} + p{b} div 10)").cast("string"),
                            F.lit(sign))
-        for cell in (sold, target, prior, percent):
-            cells.append(cell.cast("string").alias(f"_c{len(cells)}"))
-    return wide.select(*cells)
+        for cell in (F.col(f"s{b}"), target, F.col(f"p{b}"), percent):
+            columns.append(cell.cast("string").alias(f"_c{len(columns)}"))
+    return wide.select(*columns)

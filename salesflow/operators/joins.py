@@ -14,15 +14,14 @@ HOT_MIN_ROWS = 1_000_000
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame, None where it cannot be asked.
+    """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
 
     For scans, filters and projections it is the size of the files read; aggregates and
     joins are estimated upwards, so a small number can be trusted.
     """
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+    if not hasattr(df, "_jdf"):
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(df: DataFrame) -> int:
