@@ -15,7 +15,7 @@ from salesflow.names import GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, SALES_METRICS
 from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
 from salesflow.operators.joins import duplicate_keys, join_audit
 from salesflow.operators.ordering import category_index
-from salesflow.session import stage
+from salesflow.session import spread, stage
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -332,7 +332,7 @@ def split_by_hash(spark, sf):
 
 
 def normalise_text_query(spark, sf):
-    return roles.table(spark, sf, "documents").select(
+    return spread(roles.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id", normalise_text("text").alias("texto"))
 
 

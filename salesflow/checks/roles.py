@@ -9,6 +9,7 @@ from salesflow.functions import exact_sum, family_key, month_code
 from salesflow.names import SALES_METRICS, SALES_TEXT, month_headers
 from salesflow.operators.cleaning import clean_dataset
 from salesflow.operators.joins import lookup_join
+from salesflow.session import spread
 
 SELLER = "Línea - "
 PRIOR_YEAR, CURRENT_YEAR = 2000, 2001
@@ -50,7 +51,7 @@ def sold_lines(spark: SparkSession, sf: str, columns: list[str],
     lines = table(spark, sf, "lineitem")
     if where is not None:
         lines = lines.filter(where)
-    lines = lines.select("l_orderkey", *columns)
+    lines = spread(lines.select("l_orderkey", *columns), "l_orderkey")
     sizes = [table(spark, sf, t) for t in ("orders", "customer")]
     return lookup_join(lines, buyers(spark, sf), ["l_orderkey"], "inner", sized_by=sizes)
 
@@ -121,22 +122,20 @@ def month_report(cells: DataFrame, measure: str, level: str) -> DataFrame:
     A cell without sales is null."""
     name = F.col("p_name") if level == "product" else family_key("p_name")
     total = F.sum if measure == "units" else exact_sum
-    prior = [total(F.when(F.col("month") == i, F.col(measure))).alias(f"m{i}")
-             for i in range(1, 13)]
-    wide = (cells.groupBy(F.concat(F.lit(SELLER), "n_name").alias("Zona"), name.alias("Producto"))
-            .agg(*prior))
+    keys = [F.concat(F.lit(SELLER), "n_name").alias("Zona"), name.alias("Producto")]
+    wide = cells.groupBy(*keys).pivot("month", list(range(1, 13))).agg(total(F.col(measure)))
     columns = []
     for i, (_, target_header, prior_header) in enumerate(month_headers(), start=1):
-        columns += [(F.col(f"m{i}") * F.lit(TARGET_GROWTH)).alias(target_header),
-                    F.col(f"m{i}").alias(prior_header)]
+        columns += [(F.col(str(i)) * TARGET_GROWTH).alias(target_header),
+                    F.col(str(i)).alias(prior_header)]
     return wide.select("Zona", "Producto", *columns)
 
 
 def year_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Whole boxes per product name, year and month of the two report years."""
     where = year_of(CURRENT_YEAR) | year_of(PRIOR_YEAR)
-    lines = table(spark, sf, "lineitem").filter(where).select("l_partkey", "l_quantity",
-                                                              "l_shipdate")
+    lines = spread(table(spark, sf, "lineitem").filter(where).select(
+        "l_partkey", "l_quantity", "l_shipdate", "l_orderkey"), "l_orderkey")
     return (_with_part_name(spark, sf, lines, where)
             .groupBy("p_name", F.year("l_shipdate").alias("year"),
                      F.month("l_shipdate").alias("month"))

@@ -12,8 +12,13 @@ def _col(c: Column | str) -> Column:
 
 
 def normalise_text(c: Column | str) -> Column:
-    """Plain, trimmed, upper-case text. Only the Spanish accents and ñ are folded."""
-    return F.upper(F.trim(F.translate(_col(c), ACCENTED, UNACCENTED)))
+    """Plain, trimmed, upper-case text. Only the Spanish accents and ñ are folded.
+
+    Text of single-byte characters has nothing to fold and skips the translation.
+    """
+    text = _col(c)
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.upper(F.trim(F.when(plain, text).otherwise(F.translate(text, ACCENTED, UNACCENTED))))
 
 
 def clean_key(c: Column | str) -> Column:

@@ -54,12 +54,13 @@ def _has_value(df: DataFrame) -> Column:
 
 
 def _keep(df: DataFrame, numeric: list[str], negatives: str) -> Column:
-    keep = _has_value(df)
-    for c in numeric:
-        number = _q(c).try_cast("double")
-        valid = number >= 0 if negatives == "drop" else number.isNotNull()
-        keep = keep & F.coalesce(valid, F.lit(False))
-    return keep
+    """Rows to keep. A required number already means the row is not empty, and a null
+    comparison drops the row; plain comparisons can be pushed down to the scan."""
+    if not numeric:
+        return _has_value(df)
+    numbers = [_q(c).try_cast("double") for c in numeric]
+    valid = [n >= 0 if negatives == "drop" else n.isNotNull() for n in numbers]
+    return reduce(lambda a, b: a & b, valid)
 
 
 def _present(df: DataFrame, columns: list[str]) -> list[str]:

@@ -7,23 +7,12 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesflow.session import stage
+from salesflow.session import plan_bytes, stage
 
 HOT_SHARE = 1 / 200
 HOT_MIN_ROWS = 1_000_000
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
-
-    For scans, filters and projections it is the size of the files read; aggregates and
-    joins are estimated upwards, so a small number can be trusted.
-    """
-    if not hasattr(df, "_jdf"):
-        return None
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own broadcast threshold in bytes, 0 where broadcasts are off."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()

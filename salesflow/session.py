@@ -69,6 +69,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plan_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
+
+    For scans, filters and projections it is the size of the files read; aggregates and
+    joins are estimated upwards, so a small number can be trusted.
+    """
+    if not hasattr(df, "_jdf"):
+        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, *keys: str, least: int = 1 << 20, per_core: int = 16 << 20) -> DataFrame:
+    """Spread a small table over the cores by a hash of ``keys``.
+
+    A file with a single row group is read by one task, which would then do all the work
+    on its rows. Tables with enough data for every core are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = plan_bytes(df)
+    if size is None or not least <= size < cores * per_core:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def preview(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
     """Print the schema and the first rows (an action; for pipeline logs only)."""
     df.printSchema()
