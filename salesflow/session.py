@@ -18,6 +18,9 @@ DEFAULTS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def get_session(app: str, master: str | None = None, attempts: int = 1,
                 wait_seconds: float = 3.0, **conf: str) -> SparkSession:
     """Start or join a session, retrying while the cluster is not up yet.
@@ -51,9 +54,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="salesflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="salesflow-")
+    return _local_folders[app]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
