@@ -330,6 +330,9 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem
         GROUP BY ALL HAVING count(*) > 1""",
     "group_count": "SELECT event_type, count(*) AS \"count\" FROM events GROUP BY event_type",
+    "file_drop_ingest": f"""
+        SELECT event_type, count(*) AS "rows", {_money('value')} AS total
+        FROM events GROUP BY event_type""",
     "zone_clients": _sql("""SELECT DISTINCT "Nombre_Zona", "Cliente" FROM enriched""",
                          "enriched"),
     "zone_options": _sql("""

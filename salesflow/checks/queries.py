@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesflow.checks import roles
-from salesflow.functions import (elasticity_class, family_key, inverse_log, log_target, month_code,
+from salesflow.functions import (elasticity_class, exact_sum, family_key, inverse_log, log_target, month_code,
                                  month_number, normalise_text, piece_price, pieces, unit_price,
                                  zone_code)
 from salesflow.models import demand
@@ -15,7 +17,9 @@ from salesflow.names import GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, SALES_METRICS
 from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
 from salesflow.operators.joins import duplicate_keys, join_audit
 from salesflow.operators.ordering import category_index
-from salesflow.session import spread, stage
+from salesflow.session import shared_folder, spread, stage
+from salesflow.sources import read_json, write_csv
+from salesflow.streaming.ingest import ingest_drop
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -85,10 +89,32 @@ def _fixed_prediction(spark: SparkSession, sf: str) -> DataFrame:
         (F.pmod("l_partkey", F.lit(50)) + 1).cast("double").alias("predicted"))
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _training(spark: SparkSession, sf: str) -> DataFrame:
+    """The training table as stored: written once per session and folder, like the model.
+    Everything after the enrichment starts from it."""
+    key = (spark.sparkContext.applicationId, sf, "training")
+    if key not in _stored:
+        _stored[key] = stage(ml_dataset(spark, sf), "training")
+    return _stored[key]
+
+
+def _products(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalogue as stored: at most 50 rows, used by every client."""
+    key = (spark.sparkContext.applicationId, sf, "catalogue")
+    if key not in _stored:
+        _stored[key] = stage(ranking.catalogue(_training(spark, sf), 50), "catalogue")
+    return _stored[key]
+
+
+def _clients(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.client_dimension(_training(spark, sf))
+
+
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
-    table = ml_dataset(spark, sf)
-    products = stage(ranking.catalogue(table, 50), "catalogue")
-    return scenarios.candidate_grid(ranking.client_dimension(table), products)
+    return scenarios.candidate_grid(_clients(spark, sf), _products(spark, sf))
 
 
 def _fixed_score(grid: DataFrame) -> DataFrame:
@@ -119,17 +145,17 @@ def _fixed_demand(rows: DataFrame) -> DataFrame:
     return scenarios.with_revenue(scored)
 
 
-_trained: dict[tuple[str, str], tuple[PipelineModel, DataFrame]] = {}
+_trained: dict[tuple[str, str], PipelineModel] = {}
 
 
 def _model(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame]:
     """Calibrated model and its stored training table, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, sf)
+    table = _training(spark, sf)
     if key not in _trained:
-        table = stage(ml_dataset(spark, sf), "training")
         train, _ = demand.training_frame(table, keep=False)
-        _trained[key] = demand.calibrate(demand.fit(train), train), table
-    return _trained[key]
+        _trained[key] = demand.calibrate(demand.fit(train), train)
+    return _trained[key], table
 
 
 # --- queries ----------------------------------------------------------------
@@ -262,6 +288,18 @@ def group_count(spark, sf):
     return aggregates.group_count(roles.table(spark, sf, "events"), "event_type")
 
 
+def file_drop_ingest(spark, sf):
+    """The events dropped as CSV files, landed as JSON by the stream, counted by type."""
+    folder = f"{shared_folder(spark)}/salesflow/drop-{uuid.uuid4().hex}"
+    events = roles.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    write_csv(spread(events, "event_id"), f"{folder}/in", ",")
+    ingest_drop(spark, f"{folder}/in", f"{folder}/out", events.schema,
+                f"{folder}/checkpoint").awaitTermination()
+    landed = read_json(spark, f"{folder}/out", events.schema)
+    return landed.groupBy("event_type").agg(F.count("event_id").alias("rows"),
+                                            exact_sum("value").alias("total"))
+
+
 def zone_clients(spark, sf):
     return aggregates.zone_clients(_enriched(spark, sf))
 
@@ -275,7 +313,7 @@ def client_dim(spark, sf):
 
 
 def catalogue(spark, sf):
-    return ranking.catalogue(ml_dataset(spark, sf), 50)
+    return ranking.catalogue(_training(spark, sf), 50)
 
 
 def candidate_grid(spark, sf):
@@ -418,15 +456,13 @@ def feature_importance(spark, sf):
 
 
 def recommend_top_n(spark, sf):
-    model, table = _model(spark, sf)
-    products = stage(ranking.catalogue(table, 50), "catalogue")
-    return recommend(model, ranking.client_dimension(table), products)
+    model, _ = _model(spark, sf)
+    return recommend(model, _clients(spark, sf), _products(spark, sf))
 
 
 def best_price_model(spark, sf):
-    model, table = _model(spark, sf)
-    products = stage(ranking.catalogue(table, 50), "catalogue")
-    return best_prices(model, ranking.client_dimension(table), products)
+    model, _ = _model(spark, sf)
+    return best_prices(model, _clients(spark, sf), _products(spark, sf))
 
 
 QUERIES = {
@@ -459,6 +495,7 @@ QUERIES = {
     "join_audit": join_audit_query,
     "dup_keys": dup_keys,
     "group_count": group_count,
+    "file_drop_ingest": file_drop_ingest,
     "zone_clients": zone_clients,
     "zone_options": zone_options,
     "client_dim": client_dim,

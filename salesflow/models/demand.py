@@ -47,7 +47,8 @@ def wide_categories(df: DataFrame, columns: list[str] = CATEGORICAL,
 
     The counts are sketches, so a column close to the limit already counts as wide.
     """
-    counts = df.agg(*[F.approx_count_distinct(f"`{c}`", 0.02).alias(c) for c in columns]).first()
+    counts = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.col(f"`{c}`").cast("string")))
+                      .alias(c) for c in columns]).first()
     return {c for c in columns if counts[c] > (max_bins - 1) * 0.9}
 
 

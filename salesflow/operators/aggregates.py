@@ -86,8 +86,8 @@ def residual_histogram(df: DataFrame, actual: str, predicted: str, bins: int = 3
     """Residuals in equal-width bins between their extremes; the last bin is closed."""
     rows = (df.select(residual(F.col(actual), F.col(predicted)).cast("double").alias("r"))
             .filter("r is not null"))
-    low, high = rows.agg(F.min("r")).scalar(), rows.agg(F.max("r")).scalar()
-    ranged = rows.withColumns({"low": low, "high": high})
+    extremes = rows.agg(F.struct(F.min("r").alias("low"), F.max("r").alias("high"))).scalar()
+    ranged = rows.withColumn("e", extremes).select("r", "e.low", "e.high")
     width = (F.col("high") - F.col("low")) / bins
     bucket = F.when(F.col("low") == F.col("high"), F.lit(1)).otherwise(
         F.least(F.width_bucket("r", F.col("low"), F.col("high"), F.lit(bins)), F.lit(bins)))

@@ -11,15 +11,16 @@ MAX_CATALOGUE = 10_000
 
 
 def client_dimension(df: DataFrame) -> DataFrame:
-    """One (region, zone) context per client, the first in order.
+    """One (region, zone) context per client: the one most of its sales come from, the
+    first in order when several do.
 
-    Distinct contexts are found first, so a client with a third of all rows is down to a
-    handful of them before anything is compared.
+    Contexts are counted first, so a client with a third of all rows is down to a handful
+    of them before anything is compared.
     """
-    distinct = df.filter(F.col("Cliente").isNotNull()).select(
-        "Cliente", "Region", "Nombre_Zona").distinct()
-    return (distinct.groupBy("Cliente")
-            .agg(F.min(F.struct("Region", "Nombre_Zona")).alias("c"))
+    contexts = (df.filter(F.col("Cliente").isNotNull())
+                .groupBy("Cliente", "Region", "Nombre_Zona").agg(F.count(F.lit(1)).alias("n")))
+    return (contexts.groupBy("Cliente")
+            .agg(F.min(F.struct((-F.col("n")).alias("n"), "Region", "Nombre_Zona")).alias("c"))
             .select("Cliente", "c.Region", "c.Nombre_Zona"))
 
 

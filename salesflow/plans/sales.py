@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesflow.models import demand
 from salesflow.models.recommend import best_prices, recommend
@@ -64,8 +64,12 @@ def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell"
         reports = [clean_dataset(r, REPORT_TEXT, metric_columns(r)) for r in reports]
     zone = zone_context(reports[0], reports[1], policy)
     family = family_context(reports[2], reports[3], policy)
-    enriched = enriched_sales(sales_facts(sales), geo, master)
-    with_zone = with_zone_context(enriched, zone, stage_as="zone_context")
+    facts = sales_facts(sales)
+    # Hot keys are looked for in the facts as they arrive, not behind the joins.
+    keys = facts.select("zone_code_join", F.trim("Producto").alias("_product"),
+                        F.col("Mes").alias("_month"))
+    enriched = enriched_sales(facts, geo, master, {"hot_from": facts})
+    with_zone = with_zone_context(enriched, zone, stage_as="zone_context", hot_from=keys)
     return training_rows(with_family_context(with_zone, family, stage_as="family_context"))
 
 
