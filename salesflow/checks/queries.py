@@ -8,9 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesflow.checks import roles
-from salesflow.functions import (elasticity_class, exact_sum, family_key, inverse_log, log_target, month_code,
-                                 month_number, normalise_text, piece_price, pieces, unit_price,
-                                 zone_code)
+from salesflow.functions import (elasticity_class, exact_sum, family_key, inverse_log, log_target,
+                                 month_code, month_number, normalise_text, piece_price, pieces,
+                                 unit_price, zone_code)
 from salesflow.models import demand
 from salesflow.models.recommend import best_prices, recommend
 from salesflow.names import GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, SALES_METRICS
@@ -92,25 +92,25 @@ def _fixed_prediction(spark: SparkSession, sf: str) -> DataFrame:
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _training(spark: SparkSession, sf: str) -> DataFrame:
-    """The training table as stored: written once per session and folder, like the model.
-    Everything after the enrichment starts from it."""
-    key = (spark.sparkContext.applicationId, sf, "training")
+def _store(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A table written once per session and folder, for the queries that start from it."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _stored:
-        _stored[key] = stage(ml_dataset(spark, sf), "training")
+        _stored[key] = stage(build(), name)
     return _stored[key]
 
 
+def _training(spark: SparkSession, sf: str) -> DataFrame:
+    """The training table as stored: everything after the enrichment starts from it."""
+    return _store(spark, sf, "training", lambda: ml_dataset(spark, sf))
+
+
 def _products(spark: SparkSession, sf: str) -> DataFrame:
-    """The catalogue as stored: at most 50 rows, used by every client."""
-    key = (spark.sparkContext.applicationId, sf, "catalogue")
-    if key not in _stored:
-        _stored[key] = stage(ranking.catalogue(_training(spark, sf), 50), "catalogue")
-    return _stored[key]
+    return _store(spark, sf, "catalogue", lambda: ranking.catalogue(_training(spark, sf), 50))
 
 
 def _clients(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.client_dimension(_training(spark, sf))
+    return _store(spark, sf, "clients", lambda: ranking.client_dimension(_training(spark, sf)))
 
 
 def _grid(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,6 +12,7 @@ from salesflow.names import NUMERIC
 from salesflow.operators.joins import lookup_join
 from salesflow.operators.ranking import top_n_per_client
 from salesflow.operators.scenarios import best_price, candidate_grid, price_scenarios, with_revenue
+from salesflow.session import stage
 
 FEATURES = ["Cliente", "Region", "Nombre_Zona", "Producto", "ID_Articulo", "Mes", *NUMERIC]
 PREDICTIONS = ["prediction_final", "prediction_piezas"]
@@ -40,13 +41,14 @@ def per_context(model: PipelineModel, clients: DataFrame,
         return job(clients)
     key = F.struct("Cliente_Nivel", "Region", "Nombre_Zona")
     levelled = level.transform(clients).withColumn("_context", key)
-    contexts = levelled.groupBy("_context").agg(F.min("Cliente").alias("Cliente"))
+    contexts = stage(levelled.groupBy("_context").agg(F.min("Cliente").alias("Cliente")),
+                     "contexts")
     rows = job(contexts.select("Cliente", "_context.Region", "_context.Nombre_Zona"))
     rest = [c for c in rows.columns if c not in ("Cliente", "Region", "Nombre_Zona")]
     packed = (rows.groupBy("Cliente").agg(F.collect_list(F.struct(*rest)).alias("_rows"))
               .join(contexts, "Cliente").select("_context", "_rows"))
     found = lookup_join(levelled.select("Cliente", "Region", "Nombre_Zona", "_context"),
-                        packed, ["_context"], "inner", stage_as="contexts")
+                        packed, ["_context"], "inner", stage_as="context_rows")
     return found.select("Cliente", "Region", "Nombre_Zona", F.inline("_rows"))
 
 

@@ -111,10 +111,11 @@ def recommendations(table: DataFrame, model_path: str, month: str = "OCT", n: in
                     k: int = 50) -> DataFrame:
     """Top products of every client; the bare catalogue where no model is stored."""
     products = stage(catalogue(table, k), "catalogue")
-    return recommend(load_model_or_none(model_path), client_dimension(table), products, month, n)
+    clients = stage(client_dimension(table), "clients")
+    return recommend(load_model_or_none(model_path), clients, products, month, n)
 
 
 def prices(table: DataFrame, model: PipelineModel, month: str = "OCT", k: int = 50) -> DataFrame:
     """Best price of every client's first recommendation."""
     products = stage(catalogue(table, k), "catalogue")
-    return best_prices(model, client_dimension(table), products, month)
+    return best_prices(model, stage(client_dimension(table), "clients"), products, month)

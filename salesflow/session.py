@@ -21,16 +21,26 @@ DEFAULTS = {
 _local_folders: dict[str, str] = {}
 
 
+def shuffle_settings(input_bytes: int, per_partition: int = 128 << 20) -> dict[str, str]:
+    """Shuffle partitions for a job over ``input_bytes``: small enough to fit an executor's
+    share of memory. Adaptive execution merges the ones that turn out smaller."""
+    partitions = min(max(-(-input_bytes // per_partition), 200), 200_000)
+    return {"spark.sql.shuffle.partitions": str(partitions)}
+
+
 def get_session(app: str, master: str | None = None, attempts: int = 1,
-                wait_seconds: float = 3.0, **conf: str) -> SparkSession:
+                wait_seconds: float = 3.0, input_bytes: int | None = None,
+                **conf: str) -> SparkSession:
     """Start or join a session, retrying while the cluster is not up yet.
 
-    Keyword settings use ``__`` for dots: ``spark__executor__memory="8g"``.
+    ``input_bytes`` sizes the shuffles. Keyword settings use ``__`` for dots:
+    ``spark__executor__memory="8g"``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**DEFAULTS, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    sized = shuffle_settings(input_bytes) if input_bytes else {}
+    settings = {**DEFAULTS, **sized, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     for attempt in range(1, attempts + 1):

@@ -4,7 +4,7 @@ from conftest import values
 from fixtures import block
 from salesflow import sources as s
 from salesflow.names import block_labels
-from salesflow.session import get_session, preview, shared_folder
+from salesflow.session import get_session, preview, shared_folder, shuffle_settings
 from salesflow.sources.jdbc import jdbc_options
 
 
@@ -58,6 +58,19 @@ def test_parquet_overwrites_and_partitions(spark, tmp_path):
     assert s.read_parquet(spark, path + "2").columns == ["v"]
 
 
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    df = spark.range(3000).repartition(8).selectExpr("id", "if(id % 3 = 0, id % 36, 0) as m")
+    s.write_parquet(df, str(tmp_path / "p"), ["m"])
+    assert s.read_parquet(spark, str(tmp_path / "p")).count() == 3000
+    assert len(list((tmp_path / "p").rglob("*.parquet"))) < 8 * 12
+
+
+def test_shuffle_settings():
+    assert shuffle_settings(1)["spark.sql.shuffle.partitions"] == "200"
+    assert shuffle_settings(1 << 47)["spark.sql.shuffle.partitions"] == "200000"
+    assert shuffle_settings(1 << 40)["spark.sql.shuffle.partitions"] == "8192"
+
+
 def test_csv_sink_single_file(spark, tmp_path):
     df = spark.range(100).repartition(4)
     s.write_csv(df, str(tmp_path / "many"))
