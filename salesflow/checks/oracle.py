@@ -339,6 +339,7 @@ ORACLE = {
         SELECT 0 AS orden, 'Todas' AS zona
         UNION ALL SELECT DISTINCT 1, "Nombre_Zona" FROM enriched
         WHERE "Nombre_Zona" IS NOT NULL""", "enriched"),
+    "client_options": _sql("""SELECT DISTINCT "Cliente" FROM enriched""", "enriched"),
     "client_dim": _all("clients"),
     "catalogue": _all("products"),
     "candidate_grid": _all("grid"),

@@ -12,12 +12,12 @@ from salesflow.functions import (elasticity_class, exact_sum, family_key, invers
                                  month_code, month_number, normalise_text, piece_price, pieces,
                                  unit_price, zone_code)
 from salesflow.models import demand
-from salesflow.models.recommend import best_prices, recommend
+from salesflow.models.recommend import best_prices, price_curve, recommend
 from salesflow.names import GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, SALES_METRICS
 from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
 from salesflow.operators.joins import duplicate_keys, join_audit
 from salesflow.operators.ordering import category_index
-from salesflow.session import shared_folder, spread, stage
+from salesflow.session import spread, stage, stage_folder
 from salesflow.sources import read_json, write_csv
 from salesflow.streaming.ingest import ingest_drop
 
@@ -290,7 +290,7 @@ def group_count(spark, sf):
 
 def file_drop_ingest(spark, sf):
     """The events dropped as CSV files, landed as JSON by the stream, counted by type."""
-    folder = f"{shared_folder(spark)}/salesflow/drop-{uuid.uuid4().hex}"
+    folder = f"{stage_folder(spark)}/drop-{uuid.uuid4().hex}"
     events = roles.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     write_csv(spread(events, "event_id"), f"{folder}/in", ",")
     ingest_drop(spark, f"{folder}/in", f"{folder}/out", events.schema,
@@ -308,6 +308,10 @@ def zone_options(spark, sf):
     return ranking.zone_options(_enriched(spark, sf))
 
 
+def client_options(spark, sf):
+    return ranking.client_options(_enriched(spark, sf))
+
+
 def client_dim(spark, sf):
     return ranking.client_dimension(_enriched(spark, sf))
 
@@ -465,6 +469,12 @@ def best_price_model(spark, sf):
     return best_prices(model, _clients(spark, sf), _products(spark, sf))
 
 
+def price_curve_model(spark, sf):
+    model, _ = _model(spark, sf)
+    top = recommend(model, _clients(spark, sf), _products(spark, sf), n=1)
+    return price_curve(model, top)
+
+
 QUERIES = {
     "sales_standardised": sales_standardised,
     "block_rename": block_rename,
@@ -498,6 +508,7 @@ QUERIES = {
     "file_drop_ingest": file_drop_ingest,
     "zone_clients": zone_clients,
     "zone_options": zone_options,
+    "client_options": client_options,
     "client_dim": client_dim,
     "catalogue": catalogue,
     "candidate_grid": candidate_grid,
@@ -526,4 +537,5 @@ QUERIES = {
     "feature_importance": feature_importance,
     "recommend_top_n": recommend_top_n,
     "best_price_model": best_price_model,
+    "price_curve_model": price_curve_model,
 }

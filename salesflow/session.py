@@ -70,6 +70,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """Where this application's staged tables lie; the folder can go when it has ended."""
+    return f"{shared_folder(spark)}/salesflow/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -78,7 +83,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     broadcast and shuffle on a measured number instead of an estimate.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/salesflow/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -104,7 +109,7 @@ def spread(df: DataFrame, *keys: str, least: int = 1 << 20, per_core: int = 16 <
     size = plan_bytes(df)
     if size is None or not least <= size < cores * per_core:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(min(cores, 2 * size // least), *keys)
 
 
 def preview(df: DataFrame, n: int = 20, truncate: bool = False) -> None:

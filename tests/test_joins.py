@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from salesflow.operators import joins as j
-from salesflow.session import plan_bytes, stage
+from salesflow.session import plan_bytes, spread, stage
 
 
 @pytest.fixture
@@ -83,6 +83,16 @@ def test_broadcast_depends_on_the_size(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_spread_only_moves_small_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1_000_000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert spread(df, "id").rdd.getNumPartitions() == 4
+    assert spread(df, "id", per_core=1) is df  # enough data for every core
+    assert spread(df, "id", least=1 << 30) is df  # not worth moving
+    assert spread(df, "id").agg(F.sum("id")).first()[0] == 499_999_500_000
+
+
 def test_stage_cuts_the_plan(spark):
     staged = stage(spark.range(10).withColumn("x", F.col("id") * 2), "t")
     assert staged.count() == 10
