@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesflow.llm import chat, sharding, url_filters
+from salesflow.llm import chat, packing, quality, sharding, url_filters
 from salesflow.llm.url_filters import Rule
 from salesflow.sources import read_parquet
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6421  # a prime of about 100 slots a shard
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 CONTROL_CHAT = "</s>[INST] ok [/INST]"
 
 URL_RULES = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
@@ -28,6 +31,18 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS, SLOTS)
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, TOKENIZER, end_id=2, length=4096).drop("ids")
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, compression ratios and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.quality_signals(docs).drop("text")
+
+
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of every formatted conversation, read back from the examples."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,5 +75,6 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge_urls(pages, URL_RULES, model).drop("url")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op9_chat_format": op9_chat_format,
+QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_quality": op3_quality,
+           "op9_chat_format": op9_chat_format,
            "op10_url_filter": op10_url_filter}
