@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
 
 from salesflow.llm.words import slices, text_bytes
 from salesflow.session import stage
@@ -88,7 +87,7 @@ def _cut(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
     ids = rows.column("ids")
     ends = ids.offsets.to_numpy().astype(np.int64)
     flat = ids.values.to_numpy()
-    out: dict[str, list] = {name: [] for name in StructType.fromDDL(PIECES).names}
+    out: dict[str, list] = {field.split()[0]: [] for field in PIECES.split(", ")}
     for doc, place, a, b in zip(rows.column("doc_id").to_pylist(), rows.column("place").to_pylist(),
                                 ends[:-1], ends[1:], strict=True):
         start, n = 0, int(b - a)
@@ -130,7 +129,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096) -
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                yield _cut(pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([c.slice(at, 500)]) for c in batch.columns], names=batch.schema.names), length)
+                yield _cut(batch.slice(at, 500), length)
 
     return placed.mapInArrow(cut, PIECES)
