@@ -1,8 +1,8 @@
 """Words of texts as 64-bit hashes, for the operators that work on word sequences inside tasks.
 
 Arrow hands a task its texts as one buffer; words are cut and hashed there with numpy, a few
-megabytes at a time, without an object per word. A word is a run of bytes other than space and
-``\\x09-\\x0D``; ``lower`` folds A-Z.
+megabytes at a time, without an object per word. A word is a run of bytes that are no breaks, by
+default space and ``\\x09-\\x0D``; ``lower`` folds A-Z.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Everything in ASCII that is neither a letter nor a digit; bytes of other characters belong to words.
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of splitmix."""
@@ -77,10 +81,10 @@ class Words:
     """Words of some texts: ``hashes``, ``starts`` and ``ends`` (bytes) of all, and ``offsets``, where
     each text's words begin among them (one more than texts)."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, breaks: np.ndarray = SPACE):
         self.data, at = text_bytes(texts)
         n = len(self.data)
-        space = SPACE[self.data]
+        space = breaks[self.data]
         fresh = np.zeros(n + 1, dtype=bool)  # where a text begins
         fresh[at] = True
         cut = np.ones(n + 1, dtype=bool)  # no word reaches across
