@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from salesflow.llm.ship import ship_package
 from salesflow.llm.words import PUNCTUATION, Words, slices, window_hashes
 
 MATCHES = "doc_id bigint, item_id bigint, errors bigint, first_word bigint, last_word bigint"
@@ -134,6 +135,7 @@ def piece_indexes(benchmark: DataFrame, error_share: float, block_bytes: int) ->
     """The test items as broadcast piece indexes of about ``block_bytes`` of text each, the bound of what
     the driver and a task hold at once. Items without words match nothing."""
     spark = benchmark.sparkSession
+    ship_package(spark)
     items = benchmark.select("item_id", F.col("text").alias("item_text"))
     total = items.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
     n = -(-total // block_bytes)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from salesflow.llm.licenses import PHRASES, TEMPLATES, needed, THRESHOLD
 from salesflow.llm.queries import CONTROL_CHAT, SHARDS, SLOTS
 
 _SHARD_NAMES = ", ".join(f"'{name}'" for name in SHARDS)
@@ -54,3 +55,38 @@ SELECT conv_id, count(*) AS n_turns,
        (sum(upto) FILTER (role = 'assistant' OR i = n))::BIGINT AS formatted_chars
 FROM numbered GROUP BY conv_id
 """
+
+_TEMPLATE_ROWS = ", ".join(
+    f"('{label}', {sorted(set(text.split()))!r}, {needed(len(set(text.split())), THRESHOLD)})"
+    for label, text in TEMPLATES)
+_PHRASE_ROWS = ", ".join(f"({text.split()!r}, '{label}')" for text, label in PHRASES)
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+ORACLE["op5_licenses"] = f"""
+WITH templates(label, words, least) AS (VALUES {_TEMPLATE_ROWS}),
+phrases(words, label) AS (VALUES {_PHRASE_ROWS}),
+lowered AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+worded AS (SELECT r, doc_id, regexp_extract_all(text, '{_WORD}') AS words FROM lowered),
+places AS (
+  SELECT r, p.label, unnest(list_filter(range(len(w.words)), lambda i: w.words[i + 1] = p.words[1]
+                              AND w.words[i + 1:i + len(p.words)] = p.words)) AS place
+  FROM worded w, phrases p WHERE list_has_all(w.words, p.words)),
+base AS (
+  SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         list(DISTINCT label) AS labels FROM places GROUP BY r),
+lines AS (
+  SELECT r, regexp_extract_all(line, '{_WORD}') AS words
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM lowered)),
+met AS (
+  SELECT r, max(len(list_intersect(l.words, t.words)) / len(t.words)) AS score, list(DISTINCT label) AS labels
+  FROM lines l, templates t WHERE len(list_intersect(l.words, t.words)) >= t.least GROUP BY r)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+           list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(met.score, 0.0) END::DOUBLE AS score
+FROM worded w LEFT JOIN base USING (r) LEFT JOIN met USING (r)
+"""

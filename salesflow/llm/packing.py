@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from salesflow.llm.ship import ship_package
 from salesflow.llm.words import slices, text_bytes
 from salesflow.session import stage
 
@@ -65,6 +66,7 @@ def _list_array(ids: list[bytes]) -> pa.Array:
 def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Tokens of every row of ``docs`` (``doc_id``, ``text``), ``end_id`` last, as a written table
     ``TOKENS``: the task that made a row, and the tokens that the task made before it."""
+    ship_package(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

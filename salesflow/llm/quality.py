@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from salesflow.llm.ship import ship_package
 from salesflow.llm.words import Words, covered, slices
 
 
@@ -119,6 +120,7 @@ def quality_signals(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Repeated rows are judged alike; other columns, null or not, pass through. ``kept`` is false if the
     base rules fail, else it is the verdict of the compression bands.
     """
+    ship_package(docs.sparkSession)
     signals = StructType.fromDDL(SIGNALS)
     docs = docs.drop(*signals.names)
     schema = StructType([*docs.schema.fields, *signals.fields])
@@ -136,6 +138,7 @@ def quality_signals(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def keep_quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns, whatever their names."""
 
+    ship_package(docs.sparkSession)
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=rules.level)
         for batch in batches:
