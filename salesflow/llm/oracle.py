@@ -90,3 +90,27 @@ SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(met.score, 0.0) END::DOUBLE AS score
 FROM worded w LEFT JOIN base USING (r) LEFT JOIN met USING (r)
 """
+
+ORACLE["op6_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, i, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n
+  FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i)),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
+ends AS (
+  SELECT *, i = n OR coalesce((lag(h, 2) OVER w * 1009 * 1009 + lag(h) OVER w * 1009 + h) % 3 = 0, false) AS is_end
+  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (
+  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
+chunks AS (
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM numbered GROUP BY doc_id, chunk HAVING count(*) FILTER (trim(line) <> '') >= 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) AS place FROM chunks),
+kept AS (
+  SELECT n.doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS lines
+  FROM numbered n WHERE NOT EXISTS (SELECT 1 FROM ranked r WHERE r.doc_id = n.doc_id AND r.chunk = n.chunk
+                                    AND r.place > 1) GROUP BY n.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(len(string_split(d.text, chr(10))) - coalesce(k.lines, 0), 0)::BIGINT AS n_removed_lines
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""

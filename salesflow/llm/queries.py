@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesflow.llm import chat, decontaminate, licenses, packing, quality, sharding, url_filters
+from salesflow.llm import chat, decontaminate, licenses, line_dedup, packing, quality, sharding, url_filters
 from salesflow.llm.url_filters import Rule
 from salesflow.sources import read_parquet
 
@@ -48,6 +48,12 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the line chunks that an earlier document has."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs, removed="n_removed_lines")
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and test item that stands in it, at most one word in five edited."""
     docs, items = (table(spark, folder, name) for name in ("documents", "benchmark"))
@@ -87,5 +93,6 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_quality": op3_quality,
-           "op5_licenses": op5_licenses, "op8_decontaminate": op8_decontaminate, "op9_chat_format": op9_chat_format,
+           "op5_licenses": op5_licenses, "op6_line_dedup": op6_line_dedup,
+           "op8_decontaminate": op8_decontaminate, "op9_chat_format": op9_chat_format,
            "op10_url_filter": op10_url_filter}
