@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesflow.llm import chat, decontaminate, licenses, line_dedup, packing, quality, sharding, url_filters
+from salesflow.llm import chat, decontaminate, licenses, line_dedup, packing, quality, sharding, substrings, url_filters
 from salesflow.llm.url_filters import Rule
 from salesflow.sources import read_parquet
 
@@ -54,6 +54,13 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.remove_repeated_lines(docs, removed="n_removed_lines")
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's words and a digest of those that no earlier document repeats."""
+    kept = substrings.remove_repeats(table(spark, folder, "documents"), min_words=50)
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and test item that stands in it, at most one word in five edited."""
     docs, items = (table(spark, folder, name) for name in ("documents", "benchmark"))
@@ -94,5 +101,6 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_quality": op3_quality,
            "op5_licenses": op5_licenses, "op6_line_dedup": op6_line_dedup,
-           "op8_decontaminate": op8_decontaminate, "op9_chat_format": op9_chat_format,
+           "op7_substring_dedup": op7_substring_dedup, "op8_decontaminate": op8_decontaminate,
+           "op9_chat_format": op9_chat_format,
            "op10_url_filter": op10_url_filter}
