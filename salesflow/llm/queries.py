@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesflow.llm import chat, decontaminate, licenses, line_dedup, packing, quality, sharding, substrings, url_filters
+from salesflow.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, packing, quality, sharding, substrings, url_filters
 from salesflow.llm.url_filters import Rule
 from salesflow.sources import read_parquet
 
@@ -43,6 +43,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_signals(docs).drop("text")
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shingles and the smallest document that near-duplicates lead to."""
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"), words=3, percent=90)
+
+
 def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and templates in every document."""
     return licenses.scan_licenses(table(spark, folder, "documents"))
@@ -100,7 +105,8 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_quality": op3_quality,
-           "op5_licenses": op5_licenses, "op6_line_dedup": op6_line_dedup,
+           "op4_jaccard_join": op4_jaccard_join, "op5_licenses": op5_licenses,
+           "op6_line_dedup": op6_line_dedup,
            "op7_substring_dedup": op7_substring_dedup, "op8_decontaminate": op8_decontaminate,
            "op9_chat_format": op9_chat_format,
            "op10_url_filter": op10_url_filter}
