@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ DEFAULTS = {
 
 
 _local_folders: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def shuffle_settings(input_bytes: int, per_partition: int = 128 << 20) -> dict[str, str]:
@@ -84,10 +86,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged(spark: SparkSession) -> list[str]:
+    """Folders that ``stage`` has written in this application and that still lie there."""
+    return list(_staged.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_staged(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Remove staged tables (all by default), for a job whose result has been written.
+
+    Only folders written by ``stage`` in this application are touched.
+    """
+    own = _staged.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in list(own) if paths is None else [p for p in paths if p in own]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+        own.remove(path)
+
+
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
 
