@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesflow.llm.components import components
 from salesflow.llm.ship import ship_package
@@ -29,7 +29,7 @@ COUNT_BITS = 18
 PAIRS_PER_ROW = 4
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
-SETS = ("doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, central float, "
+SETS = ("doc_id bigint, row_key bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, central float, "
         "prefix array<bigint>")
 
 
@@ -109,11 +109,11 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
+                    [part.column("doc_id"), part.column("row_key"), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
                      pa.array(two, pa.int64()), pa.array(grouping, pa.int64()), pa.array(central, pa.float32()), lists],
-                    names=["doc_id", "n_shingles", "key1", "key2", "grouping", "central", "prefix"])
+                    names=["doc_id", "row_key", "n_shingles", "key1", "key2", "grouping", "central", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, SETS)
 
 
 def candidate_lists(vertices: DataFrame) -> DataFrame:
@@ -123,8 +123,7 @@ def candidate_lists(vertices: DataFrame) -> DataFrame:
         F.min("vertex").alias("vertex"), F.count("*").alias("members")), "groups")
     leaders = vertices.join(groups, ["grouping", "vertex"]).select("grouping", "size", F.posexplode("prefix").alias(
         "place", "list"))
-    shared = leaders.groupBy("list").agg(F.min("grouping").alias("lo"), F.max("grouping").alias("hi"),
-                                         F.min("size").alias("least")).where("lo <> hi").select("list")
+    shared = leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
     by_token = stage(leaders.join(shared, "list"), "shared-shingles")
     members = vertices.select("grouping", "vertex", "central")
     own = vertices.join(groups.where("members > 1").select("grouping"), "grouping").select(
@@ -219,16 +218,16 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
             one.select("list", "vertex"), ["list", "vertex"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """For every row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_shingles`` and ``component_id``, the
-    smallest ``doc_id`` that links lead to.
+def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``SETS`` and ``row_key``, a hash of id and text, of every row; written."""
+    ship_package(docs.sparkSession)
+    levels = commonness(document_counts(docs, words))
+    return stage(set_table(docs, levels, words, percent), "shingle-sets")
 
-    A row's set are the distinct ``words``-word shingles of its whole text, A-Z lower-cased; a shorter
-    text is one shingle. Two rows link when ``100 * intersection >= percent * union``. Texts
-    without words, and null, have no shingles and link with nothing: their component is their own id.
-    Repeated rows have equal sets and link. A null ``doc_id`` is larger than any other; a component
-    of such rows alone has a null id. Other columns are ignored.
-    """
+
+def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``row_key``, ``n_shingles``, ``component`` (a number, null without shingles) and
+    ``first_doc`` (smallest id of the component's vertex) of every row."""
     sets = document_sets(docs, words, percent)
     classes = sets.where("n_shingles > 0").groupBy("key1", "key2").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"), F.max("grouping").alias("grouping"),
@@ -238,19 +237,41 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
     labels = link_lists(lists, verifier(docs, vertices, lists, words, percent), percent)
     keys = vertices.select("key1", "key2", "vertex", F.col("doc_id").alias("first_doc"))
     if labels is None:
-        named = keys.withColumnRenamed("first_doc", "component_id")
+        named = keys.withColumnRenamed("vertex", "component")
     else:
-        joined = keys.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
-            "component", F.coalesce("component", "vertex"))
-        smallest = joined.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-        named = joined.join(smallest, "component").select("key1", "key2", "component_id")
-    found = sets.select("doc_id", "n_shingles", "key1", "key2").join(
-        named.select("key1", "key2", "component_id").withColumn("known", F.lit(True)), ["key1", "key2"], "left")
-    return found.select("doc_id", "n_shingles", F.when(F.col("known"), F.col("component_id")).otherwise(
-        F.col("doc_id")).alias("component_id"))
+        named = keys.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
+            "component", F.coalesce("component", "vertex")).drop("vertex")
+    return sets.select("doc_id", "row_key", "n_shingles", "key1", "key2").join(
+        named, ["key1", "key2"], "left").drop("key1", "key2")
 
 
-def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    ship_package(docs.sparkSession)
-    levels = commonness(document_counts(docs, words))
-    return stage(set_table(docs, levels, words, percent), "shingle-sets")
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """For every row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_shingles`` and ``component_id``, the
+    smallest ``doc_id`` that links lead to.
+
+    A row's set are the distinct ``words``-word shingles of its whole text, A-Z lower-cased; a shorter
+    text is one shingle. Two rows link when ``100 * intersection >= percent * union``. Texts
+    without words, and null, have no shingles and link with nothing: their component is their own id.
+    Repeated rows have equal sets and link. A null ``doc_id`` is larger than any other; a component
+    of such rows alone has a null id. Other columns are ignored.
+    """
+    found = stage(document_components(docs, words, percent), "components")
+    smallest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    whole = found.join(smallest, "component", "left")
+    return whole.select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(
+        F.col("component_id")).alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every component: the one with the smallest ``doc_id`` (null last), of rows
+    that share it the one whose text has the smallest hash, of equal rows any one. Rows without words
+    all stay. All columns pass through, whatever their names."""
+    found = stage(document_components(docs, words, percent), "components")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first"))
+    kept = first.select("first.row_key", F.lit(False).alias("wordless")).unionByName(
+        found.where("component IS NULL").select("row_key", F.lit(True).alias("wordless"))).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
+    once = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    left = rows.join(kept, "row_key").withColumn("place", once).where("wordless OR place = 1")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
