@@ -22,8 +22,9 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def chunk_ends(hashes: Column, divisor: int) -> Column:
-    """Positions (from 1) of the last line of every chunk of a text."""
+def chunk_ends(hashes: str, divisor: int) -> Column:
+    """Positions (from 1) of the last line of every chunk of a text. ``hashes`` is a column of a frame
+    of its own: an expression would be computed anew for every line."""
     n = F.size(hashes)
 
     def at_end(i: Column) -> Column:
@@ -39,8 +40,8 @@ def _chunks(docs: DataFrame, divisor: int, min_lines: int) -> DataFrame:
     """Chunks with ``min_lines`` lines that are not blank: ``id``, ``version``, ``first`` line, ``n``
     lines, ``key``."""
     lines = docs.select("id", "version", F.split("body", "\n").alias("lines"))
-    ends = lines.select("id", "version", "lines", chunk_ends(
-        F.transform("lines", line_hash), divisor).alias("ends"))
+    hashed = lines.select("id", "version", "lines", F.transform("lines", line_hash).alias("hashes"))
+    ends = hashed.select("id", "version", "lines", chunk_ends("hashes", divisor).alias("ends"))
     firsts = F.concat(F.array(F.lit(1)), F.transform(F.slice("ends", F.lit(1), F.size("ends") - 1), lambda e: e + 1))
     spans = F.filter(F.arrays_zip(firsts.alias("first"), F.col("ends").alias("last")),
                      lambda c: c["last"] - c["first"] + 1 >= min_lines)
@@ -56,26 +57,26 @@ def _same(left: DataFrame, right: DataFrame) -> Column:
     return left["id"].eqNullSafe(right["id"]) & (left["version"] == right["version"])
 
 
-def _body(first: Column, n: Column) -> Column:
-    return F.array_join(F.slice(F.split("body", "\n"), first, n), "\n")
-
-
 def repeated_chunks(docs: DataFrame, divisor: int = 3, min_lines: int = 2) -> DataFrame:
     """Occurrences to remove: ``id`` (``doc_id``), ``version`` (hash of the text), ``first`` line and
     ``n`` lines. See ``remove_repeated_lines``; written to the shared folder."""
     rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("version"), F.col("text").alias("body")
                        ).where("body IS NOT NULL")
     chunks = stage(_chunks(rows, divisor, min_lines), "line-chunks")
-    keys = chunks.groupBy("key").agg(F.count("*").alias("times"),
-                                     F.min(F.struct("id", "version", "first")).alias("kept"))
-    held = chunks.join(keys.where("times > 1"), "key").withColumn(
+    # written before it is joined: a join of two plain shuffles is one whose hot keys adaptive execution splits
+    keys = stage(chunks.groupBy("key").agg(
+        F.count("*").alias("times"), F.min(F.struct("id", "version", "first")).alias("kept")).where("times > 1"),
+        "repeated-keys")
+    held = chunks.join(keys, "key").withColumn(
         "is_kept", F.col("kept").eqNullSafe(F.struct("id", "version", "first")))
     by_doc = held.groupBy("id", "version").agg(
         F.collect_set(F.struct("first", "n", "key", "is_kept")).alias("spans")).alias("s")
-    texts = rows.alias("r").join(by_doc, F.col("r.id").eqNullSafe(F.col("s.id")) & (
-        F.col("r.version") == F.col("s.version"))).select("r.id", "r.version", "body", F.explode("spans").alias("span"))
-    bodies = stage(texts.select("id", "version", "span.*", _body(F.col("span.first"), F.col("span.n")).alias("chunk")
-                                ).drop("body"), "line-bodies")
+    # both sides grow with the documents: a merge join at every size
+    texts = rows.alias("r").join(by_doc.hint("merge"), F.col("r.id").eqNullSafe(F.col("s.id")) & (
+        F.col("r.version") == F.col("s.version"))).select(
+        "r.id", "r.version", F.split("body", "\n").alias("lines"), F.explode("spans").alias("span"))
+    bodies = stage(texts.select("id", "version", "span.*", F.array_join(
+        F.slice("lines", F.col("span.first"), F.col("span.n")), "\n").alias("chunk")), "line-bodies")
     kept = bodies.where("is_kept").select("key", F.col("chunk").alias("kept_chunk")).dropDuplicates(["key"])
     again = bodies.where("NOT is_kept").join(kept, "key").where(F.col("chunk") == F.col("kept_chunk"))
     return stage(again.select("id", "version", "first", "n").distinct(), "line-repeats")
@@ -96,13 +97,15 @@ def remove_repeated_lines(docs: DataFrame, divisor: int = 3, min_lines: int = 2,
     repeats = repeated_chunks(docs, divisor, min_lines)
     spans = repeats.groupBy("id", "version").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("version"))
-    joined = rows.join(spans, _same(rows, spans), "left").select("row", "spans")
-    lines = F.split("row.text", "\n")
+    joined = rows.join(spans.hint("merge"), _same(rows, spans), "left").select("row", "spans")
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["first"] + s["n"] - 1)))
-    places = F.array_except(F.sequence(F.lit(1), F.size(lines)), gone)
-    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(
-        F.array_join(F.transform(places, lambda i: F.get(lines, i - 1)), "\n"))
+    cut = joined.select("row", F.when(F.col("spans").isNotNull(), F.split("row.text", "\n")).alias("lines"),
+                        gone.alias("gone"))
+    places = F.array_except(F.sequence(F.lit(1), F.size("lines")), F.col("gone"))
+    left = cut.select("row", "lines", "gone", F.when(F.col("lines").isNotNull(), places).alias("places"))
+    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(
+        F.array_join(F.transform("places", lambda i: F.get("lines", i - 1)), "\n"))
     out = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     if removed:
-        out.append(F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias(removed))
-    return joined.select(*out)
+        out.append(F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias(removed))
+    return left.select(*out)
