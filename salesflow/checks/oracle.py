@@ -45,7 +45,7 @@ _PARTS = {
     "facts": """
         SELECT "Vendedor", "Nombre Cliente" AS "Cliente", "Producto", "MES" AS "Mes",
                CAST("MES NUM" AS INTEGER) AS "Mes_Num", "2025" AS "Venta_Valor",
-               CAST("CANTIDAD" AS INTEGER) AS "Venta_Cajas",
+               CAST("CANTIDAD" AS BIGINT) AS "Venta_Cajas",
                trim(string_split("Vendedor", '-')[2]) AS zone_code_join,
                CAST("CANTIDAD" AS BIGINT) * 20 AS "Venta_Piezas_Reales"
         FROM clean""",
@@ -212,6 +212,18 @@ _NEEDS = {
 }
 
 
+def _whole_rows(part: str, first: str, second: str, keys: str) -> str:
+    """A context part over reports whose rows have a value in every month."""
+    for name in (first, second):
+        part = part.replace(f"{name} ", f"(SELECT * FROM {name} QUALIFY count(py) OVER (PARTITION BY {keys}) = 12) ")
+    return part
+
+
+_NEEDS["zone_ctx_row"], _NEEDS["family_ctx_row"] = _NEEDS["zone_ctx"], _NEEDS["family_ctx"]
+_PARTS["zone_ctx_row"] = _whole_rows(_PARTS["zone_ctx"], "units", "amounts", "n_name, p_name")
+_PARTS["family_ctx_row"] = _whole_rows(_PARTS["family_ctx"], "family_units", "family_amounts", "n_name, family")
+
+
 def _order(name: str, seen: list[str]) -> list[str]:
     for need in _NEEDS.get(name, []):
         _order(need, seen)
@@ -297,6 +309,8 @@ ORACLE = {
         LEFT JOIN units u ON u.n_name = g.n_name AND u.p_name = g.p_name AND u.m = g.m""",
                               "units"),
     "zone_context": _all("zone_ctx"),
+    "zone_context_row": _all("zone_ctx_row"),
+    "family_context_row": _all("family_ctx_row"),
     "sales_zone_context": _all("with_zone"),
     "family_context": _all("family_ctx"),
     "ml_dataset": _all("dataset"),
@@ -330,9 +344,44 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem
         GROUP BY ALL HAVING count(*) > 1""",
     "group_count": "SELECT event_type, count(*) AS \"count\" FROM events GROUP BY event_type",
-    "file_drop_ingest": f"""
-        SELECT event_type, count(*) AS "rows", {_money('value')} AS total
-        FROM events GROUP BY event_type""",
+    "file_drop_ingest": """
+        SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events""",
+    "csv_roundtrip": "SELECT * FROM documents",
+    "json_roundtrip": "SELECT * FROM pages",
+    "parquet_by_month": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+               strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, CAST(month(l_shipdate) AS INTEGER) AS mes
+        FROM lineitem WHERE month(l_shipdate) <= 3""",
+    "encoded_categories": """
+        WITH labelled AS (
+            SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS label, l_orderkey % 5 AS fold, l_quantity AS y
+            FROM lineitem
+            UNION ALL SELECT 'l_returnflag', l_returnflag, l_orderkey % 5, l_quantity FROM lineitem),
+        overall AS (SELECT avg(l_quantity) AS mean FROM lineitem),
+        whole AS (SELECT "column", label, sum(y) AS s, count(*) AS n FROM labelled GROUP BY ALL),
+        own AS (SELECT "column", label, fold, sum(y) AS s, count(*) AS n FROM labelled GROUP BY ALL)
+        SELECT "column", label, -1 AS fold, round((s + 20 * mean) / (n + 20), 9) AS value FROM whole, overall
+        UNION ALL
+        SELECT o."column", o.label, CAST(o.fold AS INTEGER), round((w.s - o.s + 20 * mean) / (w.n - o.n + 20), 9)
+        FROM own o JOIN whole w USING ("column", label), overall
+        UNION ALL SELECT DISTINCT "column", NULL, -1, round(mean, 9) FROM labelled, overall""",
+    "recommend_check": _sql("""
+        SELECT "Cliente", least(k, 5) AS filas, CAST(least(k, 5) * (least(k, 5) + 1) / 2 AS BIGINT) AS suma_puestos,
+               least(k, 5) AS productos, least(k, 5) AS en_catalogo, least(k, 5) AS ingresos_bien
+        FROM clients, (SELECT count(*) AS k FROM products)""", "clients", "products"),
+    "price_curve_check": _sql("""
+        SELECT "Cliente", CAST(13 AS BIGINT) AS escenarios, CAST(13 AS BIGINT) AS ajustes, CAST(-30 AS BIGINT) AS desde,
+               CAST(30 AS BIGINT) AS hasta, CAST(13 AS BIGINT) AS precios_bien FROM clients""", "clients"),
+    "discount_check": _sql("""
+        SELECT "Cliente", CAST(1 AS BIGINT) AS filas, CAST(1 AS BIGINT) AS bien FROM clients""", "clients"),
+    "calibration_check": _sql("""
+        SELECT count(*) AS filas, CAST(sum("Venta_Cajas") AS BIGINT) AS cajas, true AS iguales
+        FROM dataset WHERE "Mes_Num" % 2 = 0""", "dataset"),
+    "importance_check": """
+        SELECT CAST(11 AS BIGINT) AS entradas, true AS suma_uno, array_to_string(list_sort([
+            'Cliente_Media', 'Producto_Media', 'Nombre_Zona_Index', 'Region_Index', 'Mes_Index', 'Precio_Caja', 'Mes_Num',
+            'Meta_Zona_Cajas', 'Venta_PY_Zona_Cajas', 'Precio_Promedio_PY_Caja', 'Venta_PY_Familia_Cajas']), ',') AS nombres""",
+    "model_reload_check": _sql("SELECT count(*) AS filas, count(*) AS iguales FROM dataset", "dataset"),
     "zone_clients": _sql("""SELECT DISTINCT "Nombre_Zona", "Cliente" FROM enriched""",
                          "enriched"),
     "zone_options": _sql("""
@@ -351,7 +400,7 @@ ORACLE = {
         FROM top5 GROUP BY "Cliente\"""", "top5"),
     "revenue_ranking": _sql("""
         SELECT "Cliente", "Producto", ingreso_estimado FROM top5
-        ORDER BY ingreso_estimado DESC, "Producto\"""", "top5"),
+        ORDER BY ingreso_estimado DESC, "Producto", "Cliente\"""", "top5"),
     "price_scenarios": _all("priced"),
     "discount_scenario": _sql("SELECT * FROM priced WHERE ajuste = -10", "priced"),
     "best_price": _sql("""

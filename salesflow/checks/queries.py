@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,14 +13,16 @@ from salesflow.functions import (elasticity_class, exact_sum, family_key, invers
                                  month_code, month_number, normalise_text, piece_price, pieces,
                                  unit_price, zone_code)
 from salesflow.models import demand
-from salesflow.models.recommend import best_prices, price_curve, recommend
-from salesflow.names import GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, SALES_METRICS
+from salesflow.models.recommend import best_prices, discount_test, price_curve, recommend
+from salesflow.names import (ENCODED, GEO_TEXT, INDEXED, LEVEL_PRODUCT, MASTER_TEXT, NUMERIC,
+                             REPORT_TEXT, SALES_METRICS)
 from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
-from salesflow.operators.joins import duplicate_keys, join_audit
+from salesflow.operators.joins import duplicate_keys, join_audit, lookup_join
 from salesflow.operators.ordering import category_index
-from salesflow.session import spread, stage, stage_folder
-from salesflow.sources import read_json, write_csv
-from salesflow.streaming.ingest import ingest_drop
+from salesflow.session import stage, stage_folder
+from salesflow.sources import (read_block_report, read_csv, read_json, read_parquet, write_csv, write_json,
+                               write_parquet)
+from salesflow.streaming.ingest import ingest_drop, read_landed
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -38,18 +41,21 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     facts = enrich.sales_facts(roles.clean_sales(spark, sf))
     geo = cleaning.clean_dataset(roles.geography(spark, sf), GEO_TEXT)
     master = cleaning.clean_dataset(roles.master(spark, sf), MASTER_TEXT)
-    return enrich.enriched_sales(facts, geo, master,
-                                 {"hot_from": roles.product_keys(spark, sf)})
+    return enrich.enriched_sales(facts, geo, master)
 
 
-def _zone_context(cells: DataFrame) -> DataFrame:
-    return enrich.zone_context(roles.month_report(cells, "units", "product"),
-                               roles.month_report(cells, "values", "product"))
+def _zone_context(cells: DataFrame, policy: str = "cell") -> DataFrame:
+    reports = [roles.month_report(cells, measure, "product") for measure in ("units", "values")]
+    if policy == "row":
+        reports = [cleaning.clean_dataset(r, REPORT_TEXT, renaming.metric_columns(r)) for r in reports]
+    return enrich.zone_context(*reports, policy)
 
 
-def _family_context(cells: DataFrame) -> DataFrame:
-    return enrich.family_context(roles.month_report(cells, "units", "family"),
-                                 roles.month_report(cells, "values", "family"))
+def _family_context(cells: DataFrame, policy: str = "cell") -> DataFrame:
+    reports = [roles.month_report(cells, measure, "family") for measure in ("units", "values")]
+    if policy == "row":
+        reports = [cleaning.clean_dataset(r, REPORT_TEXT, renaming.metric_columns(r)) for r in reports]
+    return enrich.family_context(*reports, policy)
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,15 +77,14 @@ def ml_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:
-    cells = stage(roles.year_cells(spark, sf), "year_cells")
+    cells = _year_cells(spark, sf)
     family, product = [renaming.rename_blocks(roles.block_report(cells, level))
                        for level in ("family", "product")]
     return reshape.reshape_both(family, product)
 
 
 def _master_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.master_sales(roles.master(spark, sf), roles.raw_sales(spark, sf),
-                               hot_from=roles.product_keys(spark, sf))
+    return enrich.master_sales(roles.master(spark, sf), roles.raw_sales(spark, sf))
 
 
 def _fixed_prediction(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,15 +150,15 @@ def _fixed_demand(rows: DataFrame) -> DataFrame:
     return scenarios.with_revenue(scored)
 
 
-_trained: dict[tuple[str, str], PipelineModel] = {}
+_trained: dict[tuple[str, str], demand.DemandModel] = {}
 
 
-def _model(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame]:
+def _model(spark: SparkSession, sf: str) -> tuple[demand.DemandModel, DataFrame]:
     """Calibrated model and its stored training table, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, sf)
     table = _training(spark, sf)
     if key not in _trained:
-        train, _ = demand.training_frame(table, keep=False)
+        train, _ = demand.training_frame(table)
         _trained[key] = demand.calibrate(demand.fit(train), train)
     return _trained[key], table
 
@@ -276,8 +281,7 @@ def sales_annual_context(spark, sf):
 def join_audit_query(spark, sf):
     facts = enrich.sales_facts(roles.clean_sales(spark, sf))
     master = cleaning.clean_dataset(roles.master(spark, sf), MASTER_TEXT)
-    return join_audit(facts, enrich.with_product(facts, master,
-                                                 hot_from=roles.product_keys(spark, sf)))
+    return join_audit(facts, lambda df: enrich.with_product(df, master))
 
 
 def dup_keys(spark, sf):
@@ -288,16 +292,73 @@ def group_count(spark, sf):
     return aggregates.group_count(roles.table(spark, sf, "events"), "event_type")
 
 
+def _fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def file_drop_ingest(spark, sf):
-    """The events dropped as CSV files, landed as JSON by the stream, counted by type."""
-    folder = f"{stage_folder(spark)}/drop-{uuid.uuid4().hex}"
-    events = roles.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    write_csv(spread(events, "event_id"), f"{folder}/in", ",")
+    """The events dropped as CSV files and landed as JSON by the stream."""
+    folder = _fresh_folder(spark, "drop")
+    events = roles.table(spark, sf, "events")
+    write_csv(events, f"{folder}/in", ",")
     ingest_drop(spark, f"{folder}/in", f"{folder}/out", events.schema,
                 f"{folder}/checkpoint").awaitTermination()
-    landed = read_json(spark, f"{folder}/out", events.schema)
-    return landed.groupBy("event_type").agg(F.count("event_id").alias("rows"),
-                                            exact_sum("value").alias("total"))
+    landed = read_landed(spark, f"{folder}/out", events.schema)
+    return landed.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def csv_roundtrip(spark, sf):
+    """The documents, with all their quotes, separators and line breaks, as CSV and back."""
+    folder, docs = _fresh_folder(spark, "csv"), roles.table(spark, sf, "documents")
+    write_csv(docs, folder, ";")
+    return read_csv(spark, folder, docs.schema, ";", multi_line=True)
+
+
+def json_roundtrip(spark, sf):
+    """The web pages as JSON lines and back."""
+    folder, pages = _fresh_folder(spark, "json"), roles.table(spark, sf, "pages")
+    write_json(pages, folder)
+    return read_json(spark, folder, pages.schema, "*.json")
+
+
+def parquet_by_month(spark, sf):
+    """The line items in a folder for each month, and back from the folders of the first quarter."""
+    folder = _fresh_folder(spark, "parquet")
+    lines = roles.table(spark, sf, "lineitem")
+    write_parquet(lines.withColumn("mes", F.month("l_shipdate")), folder, ["mes"])
+    return read_parquet(spark, folder).where("mes <= 3").select(*KEYS, "l_partkey", "l_extendedprice",
+                                                                F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+                                                                F.col("mes").cast("int").alias("mes"))
+
+
+def block_report_file(spark, sf):
+    """The product report written as a file with header rows and read as a block report."""
+    folder = _fresh_folder(spark, "report")
+    report = roles.block_report(_year_cells(spark, sf), "product")
+    write_csv(report.withColumnsRenamed({c: f"c{i}" if i else "Producto" for i, c in enumerate(report.columns)}),
+              folder, ";")
+    return read_block_report(spark, folder, ";")
+
+
+def _year_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return stage(roles.year_cells(spark, sf), "year_cells")
+
+
+def zone_context_row(spark, sf):
+    """Zone context of reports cleaned while wide: one bad month removes its row."""
+    return _zone_context(_cells(spark, sf), "row")
+
+
+def family_context_row(spark, sf):
+    """Family context of reports cleaned while wide."""
+    return _family_context(_cells(spark, sf), "row")
+
+
+def encoded_categories(spark, sf):
+    """Parts and flags by the smoothed mean quantity of their rows in other folds."""
+    lines = roles.table(spark, sf, "lineitem")
+    return demand.target_encoding(lines, ["l_partkey", "l_returnflag"], "l_quantity",
+                                  F.pmod("l_orderkey", F.lit(5)).cast("int")).withColumn("value", F.round("value", 9))
 
 
 def zone_clients(spark, sf):
@@ -374,15 +435,14 @@ def split_by_hash(spark, sf):
 
 
 def normalise_text_query(spark, sf):
-    return spread(roles.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
-        "doc_id", normalise_text("text").alias("texto"))
+    return roles.table(spark, sf, "documents").select("doc_id", normalise_text("text").alias("texto"))
 
 
 def _labels(spark, sf):
     """Seller labels with one dash, two dashes and none."""
     nations = roles.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                                       "n_name")
-    customers = roles.table(spark, sf, "customer").join(F.broadcast(nations), "c_nationkey")
+    customers = lookup_join(roles.table(spark, sf, "customer"), nations, ["c_nationkey"], "inner")
     label = (F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("Venta - "), "n_name"))
              .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("Venta - "), "n_name", F.lit(" - X")))
              .otherwise(F.concat(F.lit("Venta "), "n_name")))
@@ -450,7 +510,7 @@ def calibrated(spark, sf):
 
 def model_error(spark, sf):
     model, table = _model(spark, sf)
-    _, test = demand.training_frame(table, keep=False)
+    _, test = demand.training_frame(table)
     return demand.evaluate(model, test)
 
 
@@ -475,6 +535,81 @@ def price_curve_model(spark, sf):
     return price_curve(model, top)
 
 
+def discount_test_model(spark, sf):
+    model, _ = _model(spark, sf)
+    return discount_test(model, recommend(model, _clients(spark, sf), _products(spark, sf), n=1))
+
+
+# --- what holds for any model, for which there is SQL -------------------------
+
+def _close(a, b):
+    return F.abs(a - b) <= 1e-9 * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
+
+
+def recommend_check(spark, sf):
+    """Every client has its rows: ranks, distinct products of the catalogue, income from price and demand."""
+    known = _products(spark, sf).select("Producto", F.lit(1).alias("known"))
+    top = recommend_top_n(spark, sf).join(known, "Producto", "left")
+    income = _close(F.col("ingreso_estimado"), F.col("Precio_Caja") * F.col("prediction_final"))
+    return top.groupBy("Cliente").agg(
+        F.count("*").alias("filas"), F.sum("puesto").alias("suma_puestos"),
+        F.countDistinct("Producto").alias("productos"), F.count("known").alias("en_catalogo"),
+        F.count_if(income).alias("ingresos_bien"))
+
+
+def price_curve_check(spark, sf):
+    """Every client has every price change once, at the price it stands for."""
+    right = _close(F.col("Precio_Caja") * 100, F.col("precio_base") * (F.col("ajuste") + 100))
+    return price_curve_model(spark, sf).groupBy("Cliente").agg(
+        F.count("*").alias("escenarios"), F.countDistinct("ajuste").alias("ajustes"),
+        F.min("ajuste").cast("bigint").alias("desde"), F.max("ajuste").cast("bigint").alias("hasta"),
+        F.count_if(right).alias("precios_bien"))
+
+
+def discount_check(spark, sf):
+    """Every client once, at nine tenths of its price, with the change that the two demands make."""
+    right = _close(F.col("Precio_Caja") * 10, F.col("precio_base") * 9) & _close(
+        F.col("cambio_pct") * F.col("demanda_base"), (F.col("demanda_nueva") - F.col("demanda_base")) * 100)
+    return discount_test_model(spark, sf).groupBy("Cliente").agg(F.count("*").alias("filas"),
+                                                                 F.count_if(right).alias("bien"))
+
+
+def calibration_check(spark, sf):
+    """Calibrated on the sales of even months, predictions add up to the sales there."""
+    model, table = _model(spark, sf)
+    part = table.where("Mes_Num % 2 = 0")
+    rows = demand.calibrate(model_without_factor(model), part).transform(part)
+    return rows.agg(F.count("*").alias("filas"), F.sum("Venta_Cajas").alias("cajas"),
+                    _close(F.sum("prediction_final"), F.sum("Venta_Cajas").cast("double")).alias("iguales"))
+
+
+def model_without_factor(model: demand.DemandModel) -> demand.DemandModel:
+    return replace(model, pipeline=PipelineModel(model.stages[:-1]))
+
+
+def importance_check(spark, sf):
+    """The inputs of the model by name, and that their importances make up the whole."""
+    rows = feature_importance_all(spark, sf)
+    return rows.agg(F.count("*").alias("entradas"), _close(F.sum("importance"), F.lit(1.0)).alias("suma_uno"),
+                    F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("nombres"))
+
+
+def feature_importance_all(spark, sf):
+    model, table = _model(spark, sf)
+    return demand.feature_importance(model, model.transform(table).schema,
+                                     len(INDEXED) + len(ENCODED) + len(NUMERIC))
+
+
+def model_reload_check(spark, sf):
+    """The stored model predicts what the live one does, on every sale."""
+    model, table = _model(spark, sf)
+    folder = _fresh_folder(spark, "model")
+    model.save(folder)
+    live = model.transform(table).withColumn("live", F.col("prediction_final")).select(*table.columns, "live")
+    both = demand.load_model(spark, folder).transform(live)
+    return both.agg(F.count("*").alias("filas"), F.count_if(F.col("live") == F.col("prediction_final")).alias("iguales"))
+
+
 QUERIES = {
     "sales_standardised": sales_standardised,
     "block_rename": block_rename,
@@ -538,4 +673,18 @@ QUERIES = {
     "recommend_top_n": recommend_top_n,
     "best_price_model": best_price_model,
     "price_curve_model": price_curve_model,
+    "discount_test_model": discount_test_model,
+    "recommend_check": recommend_check,
+    "price_curve_check": price_curve_check,
+    "discount_check": discount_check,
+    "calibration_check": calibration_check,
+    "importance_check": importance_check,
+    "model_reload_check": model_reload_check,
+    "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
+    "parquet_by_month": parquet_by_month,
+    "block_report_file": block_report_file,
+    "zone_context_row": zone_context_row,
+    "family_context_row": family_context_row,
+    "encoded_categories": encoded_categories,
 }

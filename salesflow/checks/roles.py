@@ -3,28 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from salesflow.functions import exact_sum, family_key, month_code
 from salesflow.names import SALES_METRICS, SALES_TEXT, month_headers
 from salesflow.operators.cleaning import clean_dataset
 from salesflow.operators.joins import lookup_join
-from salesflow.session import spread
+from salesflow.sources import read_parquet
 
 SELLER = "Línea - "
 PRIOR_YEAR, CURRENT_YEAR = 2000, 2001
 TARGET_GROWTH = 1.1
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table. Its footer is looked at once; later reads state the schema."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A given table."""
+    return read_parquet(spark, f"{sf}/{name}.parquet")
 
 
 def year_of(year: int) -> Column:
@@ -51,7 +44,7 @@ def sold_lines(spark: SparkSession, sf: str, columns: list[str],
     lines = table(spark, sf, "lineitem")
     if where is not None:
         lines = lines.filter(where)
-    lines = spread(lines.select("l_orderkey", *columns), "l_orderkey")
+    lines = lines.select("l_orderkey", *columns)
     sizes = [table(spark, sf, t) for t in ("orders", "customer")]
     return lookup_join(lines, buyers(spark, sf), ["l_orderkey"], "inner", sized_by=sizes)
 
@@ -74,11 +67,6 @@ def clean_sales(spark: SparkSession, sf: str, negatives: str = "drop") -> DataFr
     return clean_dataset(raw_sales(spark, sf), SALES_TEXT, SALES_METRICS, negatives)
 
 
-def product_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Product keys alone, to look for hot ones without building the sales."""
-    return table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("Producto"))
-
-
 def geography(spark: SparkSession, sf: str) -> DataFrame:
     regions = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"),
                                                 F.col("r_name").alias("region"))
@@ -95,10 +83,9 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("Numero de articulo"))
 
 
-def _with_part_name(spark: SparkSession, sf: str, lines: DataFrame, where: Column) -> DataFrame:
+def _with_part_name(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    keys = table(spark, sf, "lineitem").filter(where).select("l_partkey")
-    return lookup_join(lines, parts, ["l_partkey"], "inner", hot_from=keys)
+    return lookup_join(lines, parts, ["l_partkey"], "inner")
 
 
 def month_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +98,7 @@ def month_cells(spark: SparkSession, sf: str) -> DataFrame:
     lines = sold_lines(spark, sf, ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
                                    "l_shipdate"], where)
     flag = F.col("l_returnflag")
-    return (_with_part_name(spark, sf, lines, where)
+    return (_with_part_name(spark, sf, lines)
             .groupBy("n_name", "p_name", F.month("l_shipdate").alias("month")).agg(
                 F.sum(F.when(flag != "R", F.col("l_quantity"))).alias("units"),
                 exact_sum(F.when(flag != "N", F.col("l_extendedprice"))).alias("values")))
@@ -134,9 +121,8 @@ def month_report(cells: DataFrame, measure: str, level: str) -> DataFrame:
 def year_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Whole boxes per product name, year and month of the two report years."""
     where = year_of(CURRENT_YEAR) | year_of(PRIOR_YEAR)
-    lines = spread(table(spark, sf, "lineitem").filter(where).select(
-        "l_partkey", "l_quantity", "l_shipdate", "l_orderkey"), "l_orderkey")
-    return (_with_part_name(spark, sf, lines, where)
+    lines = table(spark, sf, "lineitem").filter(where).select("l_partkey", "l_quantity", "l_shipdate")
+    return (_with_part_name(spark, sf, lines)
             .groupBy("p_name", F.year("l_shipdate").alias("year"),
                      F.month("l_shipdate").alias("month"))
             .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("boxes")))

@@ -1,81 +1,147 @@
-"""Demand model: a forest on log boxes, calibrated, evaluated and explained."""
+"""Demand model: a forest on log boxes, calibrated, evaluated and explained.
+
+Zone, region and month are indexed. Client and product have more labels than a tree can branch on
+or a driver should hold, so they enter as the smoothed mean of the target over their other rows,
+kept as a table and looked up by label. Which column is treated how depends on its name alone.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from salesflow.functions import log_target
-from salesflow.names import CATEGORICAL, MAX_BINS, NUMERIC, PIECES_PER_BOX
+from salesflow.names import ENCODED, INDEXED, MAX_BINS, NUMERIC, PIECES_PER_BOX
 from salesflow.operators.aggregates import bias_factor, error_metrics
+from salesflow.operators.joins import lookup_join
 from salesflow.operators.ranking import split, split_by_hash
+from salesflow.session import path_exists, stage
 
 LABEL = "Log_Venta"
 TARGET = "Venta_Cajas"
+ALL_ROWS = -1  # the fold that stands for all of them
+UNITS = 1_000_000  # targets are added as whole millionths, so that the order of tasks does not matter
 
 
 def with_log_target(df: DataFrame) -> DataFrame:
     return df.withColumn(LABEL, log_target(TARGET))
 
 
-def training_frame(df: DataFrame, stable: bool = True, keep: bool = True,
-                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def training_frame(df: DataFrame, stable: bool = True, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test) of the training table with its log target, 80/20.
 
-    ``stable`` splits by a hash of the row instead of at random. ``keep`` caches the
-    columns for the many passes of training; they spill to disk, and come back from the
-    stored table when an executor is lost.
+    ``stable`` splits by a hash of the row instead of at random.
     """
     df = with_log_target(df)
-    if keep:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if stable:
         return split_by_hash(df)
     train, test = split(df, (0.8, 0.2), seed)
     return train, test
 
 
-def wide_categories(df: DataFrame, columns: list[str] = CATEGORICAL,
-                    max_bins: int = MAX_BINS) -> set[str]:
-    """Category columns with more labels than the forest can branch on.
+# --- encoding by the target -------------------------------------------------
 
-    The counts are sketches, so a column close to the limit already counts as wide.
-    """
-    counts = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.col(f"`{c}`").cast("string")))
-                      .alias(c) for c in columns]).first()
-    return {c for c in columns if counts[c] > (max_bins - 1) * 0.9}
+def fold_of(df: DataFrame, folds: int = 5) -> Column:
+    """A stable fold of each row; equal rows share one."""
+    return F.pmod(F.xxhash64(F.lit("fold"), *[f"`{c}`" for c in df.columns]), F.lit(folds)).cast("int")
 
 
-def level_stages(wide: set[str], columns: list[str] = CATEGORICAL,
-                 max_bins: int = MAX_BINS) -> list[SQLTransformer]:
-    """One stage per category: its label, or a hash bucket of it for wide columns.
+def target_encoding(df: DataFrame, columns: list[str], target: str, fold: Column,
+                    smoothing: float = 20.0) -> DataFrame:
+    """(``column``, ``label``, ``fold``, ``value``): smoothed mean of the target per label.
 
-    Label indexing collects the labels on the driver, which is only sound for as many as
-    the forest accepts; every label of a wide column still takes part, in its bucket.
+    A row with a fold holds the mean over the label's rows in all other folds, for training;
+    fold -1 the mean over all its rows, for everything else. Means are drawn towards the overall
+    mean as by ``smoothing`` rows of it; that mean is the row without a label, for unseen ones.
     """
-    stages = []
+    labels = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label"))
+                                for c in columns]))
+    rows = df.select(fold.alias("fold"), F.round(F.col(target) * UNITS).cast("bigint").alias("units"), labels)
+    cells = stage(rows.groupBy("column", "label", "fold").agg(
+        F.sum("units").alias("units"), F.count("units").alias("n")), "encoding_cells")
+    sums = [F.sum("units").alias("all_units"), F.sum("n").alias("all_n")]
+    overall = cells.groupBy("column").agg(*sums).select(
+        "column", F.try_divide(F.col("all_units"), F.col("all_n") * UNITS).alias("mean"))
+    known = cells.where("label IS NOT NULL")
+    per_label = known.groupBy("column", "label").agg(*sums)
+
+    def mean(units: Column, n: Column) -> Column:
+        return (units / UNITS + F.col("mean") * smoothing) / (n + smoothing)
+
+    whole = per_label.join(F.broadcast(overall), "column").select(  # one row a column
+        "column", "label", F.lit(ALL_ROWS).alias("fold"), mean(F.col("all_units"), F.col("all_n")).alias("value"))
+    others = (known.join(per_label, ["column", "label"]).join(F.broadcast(overall), "column").select(
+        "column", "label", "fold",
+        mean(F.col("all_units") - F.col("units"), F.col("all_n") - F.col("n")).alias("value")))
+    unseen = overall.select("column", F.lit(None).cast("string").alias("label"), F.lit(ALL_ROWS).alias("fold"),
+                            F.col("mean").alias("value"))
+    return whole.unionByName(others).unionByName(unseen)
+
+
+def encode(df: DataFrame, encodings: DataFrame, columns: list[str] = ENCODED,
+           fold: Column | None = None) -> DataFrame:
+    """``df`` with the encoding of every column, out of fold where ``fold`` is given."""
+    means = {r["column"]: r["value"] for r in encodings.where("label IS NULL").collect()}  # one row a column
+    df = df.withColumn("_fold", F.lit(ALL_ROWS) if fold is None else fold)
     for c in columns:
-        level = f"pmod(xxhash64(`{c}`), {max_bins - 1})" if c in wide else f"`{c}`"
-        stages.append(SQLTransformer(statement=(
-            f"SELECT *, CASE WHEN `{c}` IS NOT NULL THEN CAST({level} AS STRING) END "
-            f"AS `{c}_Nivel` FROM __THIS__")))
-    return stages
+        own = encodings.where((F.col("column") == c) & F.col("label").isNotNull())
+        if fold is None:
+            own = own.where(F.col("fold") == ALL_ROWS)
+        lookup = own.select(F.col("label").alias("_label"), F.col("fold").alias("_fold"),
+                            F.col("value").alias(f"{c}_Media"))
+        df = lookup_join(df.withColumn("_label", F.col(f"`{c}`").cast("string")), lookup, ["_label", "_fold"])
+        df = df.withColumn(f"{c}_Media", F.coalesce(f"{c}_Media", F.lit(means.get(c)))).drop("_label")
+    return df.drop("_fold")
+
+
+# --- the model --------------------------------------------------------------
+
+@dataclass(frozen=True)
+class DemandModel:
+    """Fitted stages and the encoding table. ``search``: what a grid search tried, with its error."""
+
+    pipeline: PipelineModel
+    encodings: DataFrame
+    search: tuple[tuple[dict, float], ...] = ()
+
+    @property
+    def stages(self) -> list[Transformer]:
+        return self.pipeline.stages
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(encode(df, self.encodings))
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
+
+
+def load_model(spark: SparkSession, path: str) -> DemandModel:
+    return DemandModel(PipelineModel.load(f"{path}/pipeline"), spark.read.parquet(f"{path}/encodings"))
+
+
+def load_model_or_none(spark: SparkSession, path: str) -> DemandModel | None:
+    """The saved model, or None where nothing lies at ``path`` (callers then show the catalogue
+    without a score). A model that is there and cannot be read is an error."""
+    return load_model(spark, path) if path_exists(spark, path) else None
 
 
-def index_stages(columns: list[str] = CATEGORICAL) -> StringIndexer:
+def index_stages(columns: list[str] = INDEXED) -> StringIndexer:
     """Labels by frequency; labels not seen in training and nulls share one extra index."""
-    return StringIndexer(inputCols=[f"{c}_Nivel" for c in columns],
-                         outputCols=[f"{c}_Index" for c in columns], handleInvalid="keep")
+    return StringIndexer(inputCols=columns, outputCols=[f"{c}_Index" for c in columns], handleInvalid="keep")
 
 
-def assemble(categories: list[str] = CATEGORICAL, numbers: list[str] = NUMERIC) -> VectorAssembler:
-    return VectorAssembler(inputCols=[*[f"{c}_Index" for c in categories], *numbers],
+def assemble(indexed: list[str] = INDEXED, encoded: list[str] = ENCODED,
+             numbers: list[str] = NUMERIC) -> VectorAssembler:
+    return VectorAssembler(inputCols=[*[f"{c}_Media" for c in encoded], *[f"{c}_Index" for c in indexed], *numbers],
                            outputCol="features", handleInvalid="keep")
 
 
@@ -90,43 +156,52 @@ def invert_stage() -> SQLTransformer:
     return SQLTransformer(statement="SELECT *, expm1(prediction) AS prediction_raw FROM __THIS__")
 
 
-def demand_pipeline(wide: set[str], regressor: RandomForestRegressor | None = None) -> Pipeline:
-    regressor = regressor or forest()
-    return Pipeline(stages=[*level_stages(wide, max_bins=regressor.getMaxBins()), index_stages(),
-                            assemble(), regressor, invert_stage()])
+def _features(train: DataFrame) -> tuple[DataFrame, PipelineModel, DataFrame]:
+    """(encodings, fitted feature stages, features and label of the training rows)."""
+    fold = fold_of(train)
+    encodings = stage(target_encoding(train, ENCODED, LABEL, fold), "encodings")
+    encoded = encode(train, encodings, fold=fold)
+    fitted = Pipeline(stages=[index_stages(), assemble()]).fit(encoded)
+    return encodings, fitted, fitted.transform(encoded).select("features", LABEL)
 
 
-def fit(train: DataFrame, regressor: RandomForestRegressor | None = None) -> PipelineModel:
+def fit(train: DataFrame, regressor: RandomForestRegressor | None = None) -> DemandModel:
     """One forest, without a search."""
-    regressor = regressor or forest()
-    wide = wide_categories(train, max_bins=regressor.getMaxBins())
-    return demand_pipeline(wide, regressor).fit(train)
+    encodings, fitted, rows = _features(train)
+    trees = (regressor or forest()).fit(rows)
+    return DemandModel(PipelineModel([*fitted.stages, trees, invert_stage()]), encodings)
 
 
 def tune(train: DataFrame, trees: tuple[int, ...] = (20, 50), depths: tuple[int, ...] = (5, 10),
          folds: int = 3, parallelism: int = 2, seed: int = 42,
-         max_bins: int = MAX_BINS) -> CrossValidatorModel:
-    """Grid search with seeded cross validation by RMSE of the log target."""
+         max_bins: int = MAX_BINS) -> DemandModel:
+    """Grid search with seeded cross validation by RMSE of the log target. The feature stages are
+    fitted once; only forests are fitted again, on rows kept while the search lasts."""
+    encodings, fitted, rows = _features(train)
     regressor = forest(max_bins=max_bins, seed=seed)
     grid = (ParamGridBuilder().addGrid(regressor.numTrees, list(trees))
             .addGrid(regressor.maxDepth, list(depths)).build())
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse")
-    wide = wide_categories(train, max_bins=max_bins)
-    return CrossValidator(estimator=demand_pipeline(wide, regressor), estimatorParamMaps=grid,
-                          evaluator=evaluator, numFolds=folds, parallelism=parallelism,
-                          seed=seed).fit(train)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = CrossValidator(estimator=regressor, estimatorParamMaps=grid, evaluator=evaluator,
+                               numFolds=folds, parallelism=parallelism, seed=seed).fit(rows)
+    finally:
+        rows.unpersist()
+    tried = tuple(({p.name: v for p, v in point.items()}, e) for point, e in zip(grid, found.avgMetrics, strict=True))
+    return DemandModel(PipelineModel([*fitted.stages, found.bestModel, invert_stage()]), encodings, tried)
 
 
-def forest_of(model: PipelineModel) -> RandomForestRegressionModel:
+def forest_of(model: DemandModel) -> RandomForestRegressionModel:
     return next(s for s in model.stages if isinstance(s, RandomForestRegressionModel))
 
 
-def winning_parameters(model: PipelineModel) -> dict[str, int]:
+def winning_parameters(model: DemandModel) -> dict[str, int]:
     trees = forest_of(model)
     return {"numTrees": trees.getNumTrees, "maxDepth": trees.getOrDefault("maxDepth")}
 
 
-def calibrate(model: PipelineModel, data: DataFrame) -> PipelineModel:
+def calibrate(model: DemandModel, data: DataFrame) -> DemandModel:
     """Append the factor that makes predicted boxes add up to the actual ones of ``data``.
 
     Pass the training part for the usual factor, or held-out data for an unbiased one.
@@ -135,18 +210,20 @@ def calibrate(model: PipelineModel, data: DataFrame) -> PipelineModel:
     row = bias_factor(model.transform(data), TARGET, "prediction_raw").first()
     factor = 1.0 if row.factor is None else row.factor
     boxes = f"prediction_raw * {factor!r}D"
-    stage = SQLTransformer(statement=(
+    scaled = SQLTransformer(statement=(
         f"SELECT *, {boxes} AS prediction_final, {boxes} * {PIECES_PER_BOX} "
         "AS prediction_piezas FROM __THIS__"))
-    return PipelineModel(stages=[*model.stages, stage])
+    return replace(model, pipeline=PipelineModel([*model.stages, scaled]))
 
 
-def evaluate(model: PipelineModel, test: DataFrame, actual: str = TARGET,
+def evaluate(model: DemandModel, test: DataFrame, actual: str = TARGET,
              predicted: str = "prediction_final") -> DataFrame:
+    """Error measures in boxes; ``actual=LABEL, predicted="prediction"`` gives those of the uncalibrated
+    model on the log scale."""
     return error_metrics(model.transform(test), actual, predicted)
 
 
-def feature_importance(model: PipelineModel, schema: StructType, k: int = 10) -> DataFrame:
+def feature_importance(model: DemandModel, schema: StructType, k: int = 10) -> DataFrame:
     """The ``k`` most important features; names come from the metadata of the vector
     column in ``schema`` (of a transformed frame). As many rows as the model has inputs."""
     attrs = schema["features"].metadata["ml_attr"]["attrs"]

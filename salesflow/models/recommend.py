@@ -2,61 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, functions as F
 
+from salesflow.functions import change_pct, elasticity_class
+from salesflow.models.demand import DemandModel
 from salesflow.names import NUMERIC
-from salesflow.operators.joins import lookup_join
 from salesflow.operators.ranking import top_n_per_client
-from salesflow.operators.scenarios import best_price, candidate_grid, price_scenarios, with_revenue
-from salesflow.session import stage
+from salesflow.operators.scenarios import (best_price, candidate_grid, discount_scenario,
+                                           price_scenarios, with_revenue)
 
 FEATURES = ["Cliente", "Region", "Nombre_Zona", "Producto", "ID_Articulo", "Mes", *NUMERIC]
 PREDICTIONS = ["prediction_final", "prediction_piezas"]
 
 
-def _client_level(model: PipelineModel) -> SQLTransformer | None:
-    """The stage that puts clients into buckets, if this model does."""
-    for stage in model.stages:
-        if isinstance(stage, SQLTransformer):
-            statement = stage.getStatement()
-            if "`Cliente_Nivel`" in statement and "xxhash64" in statement:
-                return stage
-    return None
-
-
-def per_context(model: PipelineModel, clients: DataFrame,
-                job: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows of ``job`` for every client, worked out once per distinct model input.
-
-    When the model sees clients through a bounded number of buckets, clients of one
-    bucket, zone and region get equal predictions: one of them is scored, and its rows
-    (a few, as an array) are looked up by the others.
-    """
-    level = _client_level(model)
-    if level is None:
-        return job(clients)
-    key = F.struct("Cliente_Nivel", "Region", "Nombre_Zona")
-    levelled = level.transform(clients).withColumn("_context", key)
-    contexts = stage(levelled.groupBy("_context").agg(F.min("Cliente").alias("Cliente")),
-                     "contexts")
-    rows = job(contexts.select("Cliente", "_context.Region", "_context.Nombre_Zona"))
-    rest = [c for c in rows.columns if c not in ("Cliente", "Region", "Nombre_Zona")]
-    packed = (rows.groupBy("Cliente").agg(F.collect_list(F.struct(*rest)).alias("_rows"))
-              .join(contexts, "Cliente").select("_context", "_rows"))
-    found = lookup_join(levelled.select("Cliente", "Region", "Nombre_Zona", "_context"),
-                        packed, ["_context"], "inner", stage_as="context_rows")
-    return found.select("Cliente", "Region", "Nombre_Zona", F.inline("_rows"))
-
-
-def _score(model: PipelineModel, grid: DataFrame) -> DataFrame:
+def _score(model: DemandModel, grid: DataFrame) -> DataFrame:
     return model.transform(grid).select(*FEATURES, *PREDICTIONS)
 
 
-def recommend(model: PipelineModel | None, clients: DataFrame, products: DataFrame,
+def recommend(model: DemandModel | None, clients: DataFrame, products: DataFrame,
               month: str = "OCT", n: int = 5) -> DataFrame:
     """The ``n`` products with the highest predicted demand per client, with the income
     they would bring. Without a model: the first ``n`` of the catalogue, unscored."""
@@ -65,14 +28,10 @@ def recommend(model: PipelineModel | None, clients: DataFrame, products: DataFra
         return top_n_per_client(grid, n, "Venta_PY_Zona_Cajas",
                                 ties=["Precio_Caja", "ID_Articulo", "Producto"])
 
-    def job(some: DataFrame) -> DataFrame:
-        scored = _score(model, candidate_grid(some, products, month))
-        return with_revenue(top_n_per_client(scored, n))
-
-    return per_context(model, clients, job)
+    return with_revenue(top_n_per_client(_score(model, candidate_grid(clients, products, month)), n))
 
 
-def optimise_price(model: PipelineModel, top: DataFrame, low: int = -30, high: int = 30,
+def optimise_price(model: DemandModel, top: DataFrame, low: int = -30, high: int = 30,
                    step: int = 5) -> DataFrame:
     """Best price change for each (client, product) row of ``top``."""
     scenarios = price_scenarios(top.select(*FEATURES), low, high, step)
@@ -83,18 +42,24 @@ def optimise_price(model: PipelineModel, top: DataFrame, low: int = -30, high: i
                       ["Cliente", "Region", "Nombre_Zona", "Producto", "precio_base"])
 
 
-def price_curve(model: PipelineModel, top: DataFrame, **steps: int) -> DataFrame:
+def price_curve(model: DemandModel, top: DataFrame, **steps: int) -> DataFrame:
     """Every scenario with its predicted demand and income (the data of a price curve)."""
     scored = model.transform(price_scenarios(top.select(*FEATURES), **steps))
     return with_revenue(scored.select("Cliente", "Producto", "precio_base", "ajuste",
                                       "Precio_Caja", "prediction_final"))
 
 
-def best_prices(model: PipelineModel, clients: DataFrame, products: DataFrame,
+def best_prices(model: DemandModel, clients: DataFrame, products: DataFrame,
                 month: str = "OCT", **steps: int) -> DataFrame:
     """Best price of every client's first recommendation, all clients in one job."""
-    def job(some: DataFrame) -> DataFrame:
-        scored = _score(model, candidate_grid(some, products, month))
-        return optimise_price(model, top_n_per_client(scored, 1), **steps)
+    return optimise_price(model, recommend(model, clients, products, month, n=1), **steps)
+
 
-    return per_context(model, clients, job)
+def discount_test(model: DemandModel, top: DataFrame, pct: int = -10) -> DataFrame:
+    """Predicted boxes of each (client, product) row of ``top`` at its price and at the changed one, the
+    change in per cent, and how elastic that makes the demand."""
+    columns = ["Cliente", "Region", "Nombre_Zona", "Producto", "precio_base", "Precio_Caja"]
+    rows = model.transform(discount_scenario(top.select(*FEATURES, F.col("prediction_final").alias("demanda_base")),
+                                             pct)).select(*columns, "demanda_base", F.col("prediction_final").alias("demanda_nueva"))
+    return rows.withColumns({"cambio_pct": change_pct(F.col("demanda_base"), F.col("demanda_nueva")),
+                             "clase": elasticity_class(F.col("demanda_base"), F.col("demanda_nueva"))})

@@ -49,7 +49,8 @@ TRAINING_COLUMNS = ["Region", "Nombre_Zona", "Cliente", "Producto", "ID_Articulo
                     *ZONE_CONTEXT, "Precio_Promedio_PY_Caja", *FAMILY_CONTEXT]
 CATALOGUE_COLUMNS = ["Producto", "Precio_Caja", "ID_Articulo", "Venta_PY_Zona_Cajas",
                      "Venta_PY_Familia_Cajas", "Meta_Zona_Cajas", "Precio_Promedio_PY_Caja"]
-CATEGORICAL = ["Cliente", "Producto", "Nombre_Zona", "Region", "Mes"]
+ENCODED = ["Cliente", "Producto"]  # more labels than a tree can branch on
+INDEXED = ["Nombre_Zona", "Region", "Mes"]
 NUMERIC = ["Precio_Caja", "Mes_Num", "Meta_Zona_Cajas", "Venta_PY_Zona_Cajas",
            "Precio_Promedio_PY_Caja", "Venta_PY_Familia_Cajas"]
 

@@ -21,7 +21,7 @@ def sales_facts(sales: DataFrame) -> DataFrame:
     df = standardise(sales)
     df = df.withColumns({
         "Venta_Valor": F.col("Venta_Valor").try_cast("double"),
-        "Venta_Cajas": F.col("Venta_Cajas").try_cast("int"),
+        "Venta_Cajas": F.col("Venta_Cajas").try_cast("double").try_cast("bigint"),
         "Mes_Num": F.col("Mes_Num").try_cast("int"),
         "zone_code_join": zone_code("Vendedor"),
     })
@@ -49,8 +49,6 @@ def with_product(facts: DataFrame, master: DataFrame, **join) -> DataFrame:
     contexts are only joined to products of the master."""
     dim = product_dimension(master).withColumn("_product", F.col("Producto_Key"))
     keyed = facts.withColumn("_product", F.trim("Producto"))
-    if "hot_from" in join:
-        join["hot_from"] = join["hot_from"].select(F.trim("Producto").alias("_product"))
     return lookup_join(keyed, dim, ["_product"], **join).drop("_product")
 
 
@@ -59,10 +57,9 @@ def with_prices(df: DataFrame) -> DataFrame:
             .withColumn("Precio_Unitario_Pieza", piece_price("Precio_Caja")))
 
 
-def enriched_sales(facts: DataFrame, geo: DataFrame, master: DataFrame,
-                   product_join: dict | None = None) -> DataFrame:
+def enriched_sales(facts: DataFrame, geo: DataFrame, master: DataFrame) -> DataFrame:
     """Facts with zone, region, official product name and prices; join keys kept."""
-    df = with_product(with_geography(facts, geo), master, **(product_join or {}))
+    df = with_product(with_geography(facts, geo), master)
     return with_prices(df).select(
         "zone_code_join", "Producto_Key", "Region", "Nombre_Zona", "Cliente",
         F.coalesce("Nombre_Producto_Oficial", "Producto").alias("Producto"),

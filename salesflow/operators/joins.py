@@ -1,17 +1,14 @@
-"""Joins that look before they broadcast and split keys that are too hot for one task."""
+"""Joins that look before they broadcast and give one answer whatever the sizes."""
 
 from __future__ import annotations
 
-from itertools import chain
-from math import ceil
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import (DataType, DecimalType, FractionalType, IntegralType, StringType)
 
 from salesflow.session import plan_bytes, stage
 
-HOT_SHARE = 1 / 200
-HOT_MIN_ROWS = 1_000_000
-
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own broadcast threshold in bytes, 0 where broadcasts are off."""
@@ -24,69 +21,65 @@ def broadcast_limit(df: DataFrame) -> int:
     return max(int(text), 0)
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE,
-             min_rows: int = HOT_MIN_ROWS) -> dict[int, int]:
-    """Hash of each key that holds more than ``share`` of the rows -> pieces to split it into.
+def common_type(types: list[DataType]) -> DataType | str:
+    """The type in which keys of these types meet.
 
-    One bounded sketch over the key columns. At most ``1 / share`` keys can qualify. A key
-    wrongly reported or missed changes the balance of a join, never its result.
+    Integers meet as bigint, integers and decimals as a decimal with room for both, other
+    numbers as double, a text and anything else as text. Texts of different collations, and
+    types without a common one, are refused.
     """
-    top = ceil(1 / share)
-    row = (df.select(F.xxhash64(*on).alias("k"))
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.expr(f"approx_top_k(k, {top}, {top * 50})").alias("top"))
-           .first())
-    piece = max(row.n * share, min_rows)
-    return {t["item"]: ceil(t["count"] / piece) for t in row.top or [] if t["count"] > piece}
-
-
-def _pieces(on: list[str], hot: dict[int, int]) -> Column:
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(hot.items())])
-    return F.coalesce(F.try_element_at(table, F.xxhash64(*on)), F.lit(1))
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
-                hot: dict[int, int]) -> DataFrame:
-    """Inner or left equi-join whose hot left keys are spread over several tasks.
-
-    A hot row picks its piece by a hash of its other columns (a retried task picks the
-    same one); the right rows of hot keys are repeated once per piece.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("only inner and left joins can repeat the right side")
-    if not hot:
-        return left.join(right, on, how)
-    spread = [c for c in left.columns if c not in on] or on
-    pieces = _pieces(on, hot)
-    salt = F.when(pieces > 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), pieces))
-    salted = left.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if all(t == types[0] for t in types):
+        return types[0]
+    if any(isinstance(t, StringType) for t in types):
+        texts = {t for t in types if isinstance(t, StringType)}
+        if len(texts) > 1:
+            raise ValueError("join keys have different collations")
+        return texts.pop()
+    if all(isinstance(t, IntegralType) for t in types):
+        return "bigint"
+    if all(isinstance(t, (IntegralType, DecimalType)) for t in types):
+        return DecimalType(38, max(t.scale for t in types if isinstance(t, DecimalType)))
+    if all(isinstance(t, (IntegralType, FractionalType)) for t in types):
+        return "double"
+    raise ValueError(f"join keys have no common type: {[t.simpleString() for t in types]}")
+
+
+def same_key_types(frames: list[DataFrame], on: list[str]) -> list[DataFrame]:
+    """The frames with every ``on`` column in the type common to all of them."""
+    for column in on:
+        types = [df.schema[column].dataType for df in frames]
+        if any(t != types[0] for t in types):
+            kind = common_type(types)
+            frames = [df.withColumn(column, F.col(f"`{column}`").cast(kind)) for df in frames]
+    return frames
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                hot_from: DataFrame | None = None, sized_by: list[DataFrame] | None = None,
-                stage_as: str | None = None, limit: int | None = None,
-                share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+                sized_by: list[DataFrame] | None = None, stage_as: str | None = None,
+                limit: int | None = None) -> DataFrame:
     """Look up ``right`` for every row of ``left``.
 
-    ``right`` is broadcast when it is known to fit the session's broadcast threshold;
-    beyond it both sides are shuffled, with hot left keys split.
+    ``right`` is broadcast when its files are known to fit the session's broadcast threshold
+    (Spark applies the same threshold to the same number; the relation in memory is larger than
+    its files, so lower the threshold where memory is tight). Beyond it both sides are
+    shuffled, and adaptive execution splits the tasks of hot keys by what they really read.
+    Key columns are brought to one type first, so every way gives the same rows and types.
 
     ``sized_by``  frames whose summed size stands for ``right`` (a many-to-one join of
                   them has no more rows than its largest member, which the estimate of
                   the join itself does not know).
-    ``hot_from``  cheaper frame with the same ``on`` columns to find the hot keys in.
     ``stage_as``  write ``right`` first: for aggregates whose size only shows at run time.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("a lookup is an inner or a left join")
     if stage_as:
         right = stage(right, stage_as)
     sizes = [plan_bytes(d) for d in (sized_by or [right])]
+    left, right = same_key_types([left, right], on)
     limit = broadcast_limit(left) if limit is None else limit
     if None not in sizes and sum(sizes) <= limit:
         return left.join(F.broadcast(right), on, how)
-    hot = hot_keys(left if hot_from is None else hot_from, on, share, min_rows)
-    return salted_join(left, right, on, how, hot)
+    return left.join(right, on, how)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,9 +88,14 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("rows") > 1))
 
 
-def join_audit(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: rows before and after a join and whether it kept them."""
-    rows = F.count(F.lit(1))
-    counted = before.agg(rows.alias("rows_before")).withColumn(
-        "rows_after", after.agg(rows.alias("n")).scalar())
-    return counted.withColumn("preserved", F.col("rows_before") == F.col("rows_after"))
+def join_audit(before: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row: rows before and after a join and whether it kept them. ``join`` gets the rows;
+    both are counted in the one pass that runs it."""
+    seen, left = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    after = join(before.observe(seen, rows)).observe(left, rows)
+    after.agg(F.count(F.lit(1))).collect()
+    n, m = seen.get["rows"], left.get["rows"]
+    return before.sparkSession.range(1).select(
+        F.lit(n).cast("bigint").alias("rows_before"), F.lit(m).cast("bigint").alias("rows_after"),
+        F.lit(n == m).alias("preserved"))

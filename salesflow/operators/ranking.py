@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesflow.names import ALL_ZONES, CATALOGUE_COLUMNS
 from salesflow.operators.aggregates import zone_clients
 
-MAX_CATALOGUE = 10_000
-
-
 def client_dimension(df: DataFrame) -> DataFrame:
     """One (region, zone) context per client: the one most of its sales come from, the
     first in order when several do.
@@ -45,8 +42,8 @@ def one_per_product(df: DataFrame) -> DataFrame:
 
 def catalogue(df: DataFrame, k: int = 50) -> DataFrame:
     """The ``k`` products with most prior-year boxes, one row each."""
-    if not 0 < k <= MAX_CATALOGUE:
-        raise ValueError(f"k must lie in 1..{MAX_CATALOGUE}")
+    if k < 1:
+        raise ValueError("k must be 1 at least")
     return one_per_product(df).orderBy(F.desc("Venta_PY_Zona_Cajas"), "Precio_Caja",
                                        "ID_Articulo", "Producto").limit(k)
 
@@ -61,7 +58,7 @@ def top_n_per_client(scored: DataFrame, n: int, score: str = "prediction_final",
 
 
 def rank_by_revenue(df: DataFrame, income: str = "ingreso_estimado") -> DataFrame:
-    return df.orderBy(F.desc(income), "Producto")
+    return df.orderBy(F.desc(income), "Producto", "Cliente")
 
 
 def zone_options(df: DataFrame) -> DataFrame:

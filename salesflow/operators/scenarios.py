@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from salesflow.functions import change_pct, month_number, price_strategy, revenue, scenario_price
 from salesflow.names import CATALOGUE_COLUMNS
+from salesflow.operators.joins import lookup_join
 
 
 def candidate_grid(clients: DataFrame, catalogue: DataFrame, month: str = "OCT") -> DataFrame:
     """Every catalogue product for every client in one month.
 
-    The catalogue is limited by construction (see ``catalogue``), so it travels as one
-    array value that each client row unfolds: no join, no shuffle, and the clients keep
-    the partitioning they came with.
+    Each client row unfolds to the numbers 1..K and looks the numbered products up: a
+    small catalogue is broadcast, a large one meets the clients on evenly spread keys.
+    ``catalogue`` is read twice; pass it stored.
     """
-    items = catalogue.agg(F.collect_list(F.struct(*CATALOGUE_COLUMNS))).scalar()
-    grid = clients.select("Cliente", "Region", "Nombre_Zona", F.inline(items))
+    order = Window.orderBy(*CATALOGUE_COLUMNS)  # over the K catalogue rows
+    products = catalogue.select(*CATALOGUE_COLUMNS, F.row_number().over(order).alias("_place"))
+    n = catalogue.agg(F.count(F.lit(1)).cast("int")).scalar()
+    places = F.explode(F.when(n > 0, F.sequence(F.lit(1), n))).alias("_place")
+    unfolded = clients.select("Cliente", "Region", "Nombre_Zona", places)
+    grid = lookup_join(unfolded, products, ["_place"], "inner", sized_by=[catalogue]).drop("_place")
     return grid.withColumns({"Mes": F.lit(month), "Mes_Num": month_number(F.lit(month))})
 
 
@@ -42,10 +47,11 @@ def best_price(scenarios: DataFrame, keys: list[str], price: str = "Precio_Caja"
                demand: str = "prediction_final", income: str = "ingreso_estimado") -> DataFrame:
     """Change with the highest income per group, its gain over the smallest change and the
     strategy it stands for. Of equal incomes the lowest change wins."""
-    row = F.struct(F.col(income).alias("income"), (-F.col("ajuste")).alias("minus_change"),
+    known = F.when(~F.isnan(income), F.col(income))  # an unknown income is never the best
+    row = F.struct(known.alias("income"), (-F.col("ajuste")).alias("minus_change"),
                    F.col(price).alias("price"), F.col(demand).alias("demand"))
     base = F.struct((-F.abs("ajuste")).alias("closeness"), (-F.col("ajuste")).alias("minus_change"),
-                    F.col(income).alias("income"))
+                    known.alias("income"))
     best = scenarios.groupBy(*keys).agg(F.max(row).alias("best"), F.max(base).alias("base"))
     change = -F.col("best.minus_change")
     return best.select(

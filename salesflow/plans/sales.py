@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesflow.models import demand
+from salesflow.models.demand import DemandModel, load_model_or_none
 from salesflow.models.recommend import best_prices, recommend
 from salesflow.names import (GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, REPORT_TEXT, SALES_METRICS,
                              SALES_TEXT)
@@ -20,8 +20,7 @@ from salesflow.operators.ranking import catalogue, client_dimension
 from salesflow.operators.renaming import metric_columns
 from salesflow.operators.reshape import reshape_both
 from salesflow.session import stage
-from salesflow.sources import (load_model_or_none, read_csv, read_json, read_parquet, save_model,
-                               write_csv, write_parquet)
+from salesflow.sources import read_csv, read_json, read_parquet, write_csv, write_parquet
 
 
 @dataclass
@@ -65,11 +64,7 @@ def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell"
     zone = zone_context(reports[0], reports[1], policy)
     family = family_context(reports[2], reports[3], policy)
     facts = sales_facts(sales)
-    # Hot keys are looked for in the facts as they arrive, not behind the joins.
-    keys = facts.select("zone_code_join", F.trim("Producto").alias("_product"),
-                        F.col("Mes").alias("_month"))
-    enriched = enriched_sales(facts, geo, master, {"hot_from": facts})
-    with_zone = with_zone_context(enriched, zone, stage_as="zone_context", hot_from=keys)
+    with_zone = with_zone_context(enriched_sales(facts, geo, master), zone, stage_as="zone_context")
     return training_rows(with_family_context(with_zone, family, stage_as="family_context"))
 
 
@@ -94,16 +89,16 @@ def customer_dataset(master: DataFrame, sales: DataFrame, family_report: DataFra
 
 
 def train(table: DataFrame, model_path: str | None = None, search: bool = True,
-          holdout_factor: bool = False, **options) -> tuple[PipelineModel, DataFrame]:
+          holdout_factor: bool = False, **options) -> tuple[DemandModel, DataFrame]:
     """(calibrated model, its error measures on held-out rows)."""
     train_part, test_part = demand.training_frame(table)
     if search:
-        model = demand.tune(train_part, **options).bestModel
+        model = demand.tune(train_part, **options)
     else:
         model = demand.fit(train_part, demand.forest(**options))
     model = demand.calibrate(model, test_part if holdout_factor else train_part)
     if model_path:
-        save_model(model, model_path)
+        model.save(model_path)
     return model, demand.evaluate(model, test_part)
 
 
@@ -112,10 +107,10 @@ def recommendations(table: DataFrame, model_path: str, month: str = "OCT", n: in
     """Top products of every client; the bare catalogue where no model is stored."""
     products = stage(catalogue(table, k), "catalogue")
     clients = stage(client_dimension(table), "clients")
-    return recommend(load_model_or_none(model_path), clients, products, month, n)
+    return recommend(load_model_or_none(table.sparkSession, model_path), clients, products, month, n)
 
 
-def prices(table: DataFrame, model: PipelineModel, month: str = "OCT", k: int = 50) -> DataFrame:
+def prices(table: DataFrame, model: DemandModel, month: str = "OCT", k: int = 50) -> DataFrame:
     """Best price of every client's first recommendation."""
     products = stage(catalogue(table, k), "catalogue")
     return best_prices(model, stage(client_dimension(table), "clients"), products, month)

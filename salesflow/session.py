@@ -25,8 +25,9 @@ _staged: dict[str, list[str]] = {}
 
 def shuffle_settings(input_bytes: int, per_partition: int = 128 << 20) -> dict[str, str]:
     """Shuffle partitions for a job over ``input_bytes``: small enough to fit an executor's
-    share of memory. Adaptive execution merges the ones that turn out smaller."""
-    partitions = min(max(-(-input_bytes // per_partition), 200), 200_000)
+    share of memory. Adaptive execution merges the ones that turn out smaller. There is no
+    ceiling: where the driver cannot keep so many, state larger partitions."""
+    partitions = max(-(-input_bytes // per_partition), 200)
     return {"spark.sql.shuffle.partitions": str(partitions)}
 
 
@@ -64,7 +65,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -109,6 +111,12 @@ def drop_staged(spark: SparkSession, paths: Iterable[str] | None = None) -> None
         own.remove(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder lies at ``path``, in whatever store Spark reads it from."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
 
@@ -120,19 +128,6 @@ def plan_bytes(df: DataFrame) -> int | None:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, *keys: str, least: int = 1 << 20, per_core: int = 16 << 20) -> DataFrame:
-    """Spread a small table over the cores by a hash of ``keys``.
-
-    A file with a single row group is read by one task, which would then do all the work
-    on its rows. Tables with enough data for every core are left as they are read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = plan_bytes(df)
-    if size is None or not least <= size < cores * per_core:
-        return df
-    return df.repartition(min(cores, 2 * size // least), *keys)
-
-
 def preview(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
     """Print the schema and the first rows (an action; for pipeline logs only)."""
     df.printSchema()

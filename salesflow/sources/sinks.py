@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
+from salesflow.sources.formats import CSV_TEXT, TIMES
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
@@ -24,26 +25,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = False,
               mode: str = "overwrite") -> None:
-    """CSV with a header. ``single_file`` sends every row through one task: for
+    """CSV with a header; texts may hold separators, quotes, blanks and line breaks. ``single_file`` sends every row through one task: for
     small results only."""
     if single_file:
         df = df.coalesce(1)
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    df.write.mode(mode).options(**CSV_TEXT, **TIMES).option("header", True).option("sep", sep).csv(path)
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON lines; null fields are left out."""
+    df.write.mode(mode).options(**TIMES).json(path)
 
 
 def export_dataset(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """Training table for the dashboard, written in parallel instead of through the driver."""
     write_parquet(df.select(*columns) if columns else df, path)
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model_or_none(path: str) -> PipelineModel | None:
-    """The saved model, or None where it cannot be loaded (callers then show the
-    catalogue without a score)."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:
-        return None

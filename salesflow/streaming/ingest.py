@@ -2,30 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from salesflow.sources.formats import CSV_TEXT, CORRUPT, TIMES
+
+STATE, LANDED, QUARANTINE = "estado", "bien", "cuarentena"
+BAD_ROW = "fila"
 
 
 def ingest_drop(spark: SparkSession, source: str, target: str, schema: StructType | str,
                 checkpoint: str, pattern: str = "*.csv", sep: str = ",",
                 remove_source: bool = True, files_per_batch: int | None = None,
-                continuous_every: str | None = None) -> StreamingQuery:
+                continuous_every: str | None = None, encoding: str = "UTF-8",
+                multi_line: bool = False) -> StreamingQuery:
     """Read each dropped file once and land its rows as JSON.
 
+    The header must name the columns of ``schema`` in their order; a file with another header stops
+    the query, and no source goes. Rows with a value that does not fit its type, or with too few
+    or too many cells, land whole in a quarantine folder of ``target``, in the same commit as the
+    good ones. See ``read_landed`` and ``read_quarantine``.
+
     The checkpoint remembers what was read, so a restart after a lost driver neither
     repeats nor skips a file. Sources are deleted by the run after the one that landed
     them. By default the query drains the folder and stops; with ``continuous_every``
-    (for example ``"10 seconds"``) it keeps watching it.
+    (for example ``"10 seconds"``) it keeps watching it. ``multi_line`` for texts with line breaks
+    (such a file is then read by one task).
     """
-    reader = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    with_bad = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    reader = (spark.readStream.schema(with_bad).options(**CSV_TEXT, **TIMES)
+              .option("header", True).option("sep", sep).option("encoding", encoding)
+              .option("multiLine", multi_line).option("enforceSchema", False)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("pathGlobFilter", pattern))
     if remove_source:
         reader = reader.option("cleanSource", "delete")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    writer = (reader.csv(source).writeStream.format("json").outputMode("append")
+    state = F.when(F.col(CORRUPT).isNull(), LANDED).otherwise(QUARANTINE)
+    writer = (reader.csv(source).withColumn(STATE, state).withColumnRenamed(CORRUPT, BAD_ROW)
+              .writeStream.format("json").options(**TIMES)
+              .partitionBy(STATE).outputMode("append")
               .option("path", target).option("checkpointLocation", checkpoint))
     if continuous_every:
         return writer.trigger(processingTime=continuous_every).start()
     return writer.trigger(availableNow=True).start()
+
+
+def read_landed(spark: SparkSession, target: str, schema: StructType | str) -> DataFrame:
+    """The good rows, in the columns of ``schema``."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    rows = spark.read.schema(schema).options(**TIMES).json(target)
+    return rows.where(F.col(STATE) == LANDED).select(*[f"`{c}`" for c in schema.names])
+
+
+def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
+    """The bad rows as they stood in their files."""
+    rows = spark.read.schema(f"{BAD_ROW} string").json(target)
+    return rows.where(F.col(STATE) == QUARANTINE).select(BAD_ROW)

@@ -1,7 +1,8 @@
+import pytest
+
 from conftest import values
 from salesflow.operators.aggregates import group_count
-from salesflow.sources import read_json
-from salesflow.streaming.ingest import ingest_drop
+from salesflow.streaming.ingest import ingest_drop, read_landed, read_quarantine
 
 SCHEMA = "id int, name string, age int, city string"
 
@@ -20,7 +21,7 @@ def test_each_dropped_file_lands_once(spark, tmp_path):
     run()  # a restart adds nothing
     (source / "b.csv").write_text("id,name,age,city\n3,Carlos,35,Lima\n")
     run()
-    landed = read_json(spark, str(target), SCHEMA)
+    landed = read_landed(spark, str(target), SCHEMA)
     assert values(landed.select("id", "city")) == [(1, "Lima"), (2, "Cusco"), (3, "Lima")]
     assert values(group_count(landed, "city")) == [("Cusco", 1), ("Lima", 2)]
     run()
@@ -36,7 +37,7 @@ def test_source_can_be_kept(spark, tmp_path):
         ingest_drop(spark, str(source), str(tmp_path / "out"), SCHEMA, str(tmp_path / "cp"),
                     remove_source=False, files_per_batch=1).awaitTermination()
     assert (source / "a.csv").exists()
-    assert read_json(spark, str(tmp_path / "out"), SCHEMA).count() == 1
+    assert read_landed(spark, str(tmp_path / "out"), SCHEMA).count() == 1
 
 
 def test_watching_query_can_be_stopped(spark, tmp_path):
@@ -47,4 +48,22 @@ def test_watching_query_can_be_stopped(spark, tmp_path):
                         continuous_every="1 second")
     query.processAllAvailable()
     query.stop()
-    assert read_json(spark, str(tmp_path / "out"), SCHEMA).count() == 1
+    assert read_landed(spark, str(tmp_path / "out"), SCHEMA).count() == 1
+
+
+def test_no_source_goes_before_its_rows_have_landed(spark, tmp_path):
+    source, target, checkpoint = [tmp_path / n for n in ("in", "out", "cp")]
+    source.mkdir()
+
+    def run():
+        ingest_drop(spark, str(source), str(target), SCHEMA, str(checkpoint)).awaitTermination()
+
+    (source / "a.csv").write_text('id,name,age,city\n1,"a ""b"", c",veinte,Lima\n2,Maria,30\n3, Ana ,31,Cusco\n')
+    run()
+    assert values(read_landed(spark, str(target), SCHEMA)) == [(3, " Ana ", 31, "Cusco")]
+    assert values(read_quarantine(spark, str(target))) == [('1,"a ""b"", c",veinte,Lima',), ("2,Maria,30",)]
+    (source / "b.csv").write_text("id,name,city,age\n4,Eva,Lima,25\n")
+    with pytest.raises(Exception):
+        run()
+    assert (source / "b.csv").exists()
+    assert read_landed(spark, str(target), SCHEMA).count() == 1

@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from salesflow.operators import joins as j
-from salesflow.session import plan_bytes, spread, stage
+from salesflow.session import drop_staged, plan_bytes, stage, staged
 
 
 @pytest.fixture
 def skewed(spark):
-    """A third of the facts on one key, some on a null key, the rest spread out."""
+    """A third of the facts on one key, some on a null key, the rest spread out; some rows twice."""
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 31 == 0, None).otherwise(
         F.col("id") % 500)
-    facts = spark.range(6000).select(key.cast("bigint").alias("k"), F.col("id").alias("v"))
+    facts = spark.range(6000).select(key.cast("bigint").alias("k"), (F.col("id") % 5900).alias("v"))
     dims = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
     return facts, dims
 
@@ -24,43 +24,56 @@ def brute(facts, dims, how):
     return [x for x in rows if how == "left" or x[0] in names]
 
 
-def test_hot_keys_finds_the_heavy_key_only(spark, skewed):
-    facts, _ = skewed
-    hot = j.hot_keys(facts, ["k"], share=1 / 20, min_rows=10)
-    key = spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]
-    assert list(hot) == [key] and hot[key] == 7  # 2012 rows in pieces of 300
-    assert j.hot_keys(facts, ["k"]) == {}  # too few rows to matter
-    assert j.hot_keys(facts.limit(0), ["k"], min_rows=0) == {}
-
-
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_all_ways_to_join_agree(skewed, how):
+@pytest.mark.parametrize("left_type, right_type, key", [
+    ("bigint", "bigint", "bigint"), ("int", "bigint", "bigint"), ("smallint", "int", "bigint"),
+    ("string", "bigint", "string"), ("int", "string", "string"), ("decimal(9,2)", "int", "decimal(38,2)"),
+    ("float", "int", "double"), ("string", "string", "string")])
+def test_all_ways_and_types_agree(skewed, how, left_type, right_type, key):
     facts, dims = skewed
-    expected = Counter(brute(facts, dims, how))
-    ways = [dict(), dict(limit=0), dict(limit=0, share=1 / 20, min_rows=10), dict(stage_as="d")]
-    for way in ways:
+    expected = Counter((None if k is None else float(k), v, d) for k, v, d in brute(facts, dims, how))
+    facts, dims = [df.withColumn("k", F.col("k").cast(t)) for df, t in ((facts, left_type), (dims, right_type))]
+    for way in (dict(), dict(limit=0), dict(stage_as="d"), dict(limit=0, stage_as="d")):
         got = j.lookup_join(facts, dims, ["k"], how, **way).select("k", "v", "d")
-        assert Counter(tuple(r) for r in got.collect()) == expected, way
-
-
-def test_salt_repeats_only_hot_keys_and_splits_them(skewed):
-    facts, dims = skewed
-    hot = j.hot_keys(facts, ["k"], share=1 / 20, min_rows=10)
-    joined = j.salted_join(facts.hint("merge"), dims, ["k"], "inner", hot)
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-    pieces = F.pmod(F.xxhash64("v"), F.lit(7))
-    counts = [r["count"] for r in facts.filter("k = 7").groupBy(pieces).count().collect()]
-    assert len(counts) == 7 and max(counts) < 450
+        assert got.schema["k"].dataType.simpleString() == key, way
+        rows = [(None if r.k is None else float(r.k), r.v, r.d) for r in got.collect()]
+        assert Counter(rows) == expected, way
+
+
+def test_keys_without_a_common_type_are_refused(spark):
+    left = spark.sql("SELECT date'2020-01-01' AS k")
+    with pytest.raises(ValueError, match="no common type"):
+        j.lookup_join(left, spark.range(1).withColumnRenamed("id", "k"), ["k"])
+    with pytest.raises(ValueError, match="collations"):
+        j.lookup_join(spark.sql("SELECT 'a' COLLATE UTF8_LCASE AS k"), spark.sql("SELECT 'a' AS k"), ["k"])
+    with pytest.raises(ValueError, match="inner or a left"):
+        j.lookup_join(left, left, ["k"], "outer")
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    facts = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"),
+                                        F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(8)
+    dims = spark.range(5000).withColumnRenamed("id", "k").withColumn("d", F.col("k"))
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        joined = j.lookup_join(facts, dims, ["k"], "inner")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
 
 
-def test_salted_join_handles_duplicate_lookup_rows(spark):
-    facts = spark.range(300).selectExpr("1L as k", "id as v")
+def test_duplicate_lookup_rows_repeat_in_every_way(spark):
+    facts = spark.range(300).selectExpr("1 as k", "id as v")
     dims = spark.createDataFrame([(1, "a"), (1, "b")], "k bigint, d string")
-    hot = j.hot_keys(facts, ["k"], share=0.1, min_rows=1)
-    assert j.salted_join(facts, dims, ["k"], "left", hot).count() == 600
-    with pytest.raises(ValueError):
-        j.salted_join(facts, dims, ["k"], "outer", hot)
+    assert [j.lookup_join(facts, dims, ["k"], limit=limit).count() for limit in (None, 0)] == [600, 600]
 
 
 def test_broadcast_depends_on_the_size(spark, tmp_path):
@@ -83,16 +96,6 @@ def test_broadcast_depends_on_the_size(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_spread_only_moves_small_tables(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1_000_000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert spread(df, "id").rdd.getNumPartitions() == 4
-    assert spread(df, "id", per_core=1) is df  # enough data for every core
-    assert spread(df, "id", least=1 << 30) is df  # not worth moving
-    assert spread(df, "id").agg(F.sum("id")).first()[0] == 499_999_500_000
-
-
 def test_stage_cuts_the_plan(spark):
     staged = stage(spark.range(10).withColumn("x", F.col("id") * 2), "t")
     assert staged.count() == 10
@@ -103,5 +106,16 @@ def test_duplicate_keys_and_audit(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     assert values(j.duplicate_keys(df, ["k"])) == [(1, 2)]
     left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    assert tuple(j.join_audit(left, left.join(df, "k", "left")).first()) == (3, 4, False)
-    assert j.join_audit(left, left).first().preserved
+    assert tuple(j.join_audit(left, lambda rows: rows.join(df, "k", "left")).first()) == (3, 4, False)
+    assert j.join_audit(left, lambda rows: rows).first().preserved
+    assert tuple(j.join_audit(left.where("false"), lambda rows: rows).first()) == (0, 0, True)
+
+
+def test_staged_tables_go_when_asked(spark, tmp_path):
+    before = staged(spark)
+    table = stage(spark.range(3), "mine")
+    own = [path for path in staged(spark) if path not in before]
+    drop_staged(spark, [*own, str(tmp_path)])
+    assert staged(spark) == before and tmp_path.exists()
+    with pytest.raises(Exception):
+        table.count()

@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from salesflow.models import demand as d, recommend as m
-from salesflow.names import CATEGORICAL, NUMERIC
+from salesflow.names import ENCODED, INDEXED, NUMERIC
 from salesflow.operators.ranking import catalogue, client_dimension
 from salesflow.plans import sales as plan
-from salesflow.sources import load_model_or_none
 from salesflow.session import stage
 
 
@@ -39,13 +38,6 @@ def model(parts):
     return d.calibrate(d.fit(parts[0], d.forest(trees=5, depth=4)), parts[0])
 
 
-@pytest.fixture(scope="module")
-def bucketed(parts):
-    """The same kind of model with clients in 9 buckets."""
-    regressor = d.forest(trees=5, depth=4, max_bins=12)
-    return d.calibrate(d.fit(parts[0], regressor), parts[0])
-
-
 def test_calibration_balances_the_totals(model, parts):
     row = model.transform(parts[0]).agg(F.sum("Venta_Cajas").alias("y"),
                                         F.sum("prediction_final").alias("p")).first()
@@ -55,13 +47,13 @@ def test_calibration_balances_the_totals(model, parts):
     assert math.isclose(one.prediction_raw, math.expm1(one.prediction))
 
 
-def test_two_fits_agree_and_survive_saving(model, parts, tmp_path):
+def test_two_fits_agree_and_survive_saving(spark, model, parts, tmp_path):
     again = d.calibrate(d.fit(parts[0], d.forest(trees=5, depth=4)), parts[0])
     path = str(tmp_path / "model")
-    plan.save_model(again, path)
+    again.save(path)
     columns = ["Cliente", "Producto", "Precio_Caja", "prediction_final"]
     expected = values(model.transform(parts[1]).select(*columns))
-    assert values(load_model_or_none(path).transform(parts[1]).select(*columns)) == expected
+    assert values(d.load_model_or_none(spark, path).transform(parts[1]).select(*columns)) == expected
 
 
 def test_unseen_and_null_categories_are_scored(model, parts):
@@ -69,28 +61,52 @@ def test_unseen_and_null_categories_are_scored(model, parts):
     assert model.transform(odd).first().prediction_final > 0
 
 
-def test_wide_columns_are_bucketed(table, bucketed, parts):
-    assert d.wide_categories(table) == set()
-    assert d.wide_categories(parts[0], max_bins=12) == {"Cliente"}
-    levels = bucketed.transform(table).select("Cliente_Nivel").distinct().count()
-    assert levels <= 11
-    assert m._client_level(bucketed) is not None
+def test_every_client_is_its_own(spark):
+    """1 500 clients of one zone: those with different histories are told apart, one pair at least in ten."""
+    i = F.col("id")
+    rows = spark.range(9000).select(
+        F.concat(F.lit("C"), i % 1500).alias("Cliente"), F.concat(F.lit("P"), i % 7).alias("Producto"),
+        F.lit("Z").alias("Nombre_Zona"), F.lit("R").alias("Region"), F.lit("OCT").alias("Mes"), F.lit(10).alias("Mes_Num"),
+        F.lit("1").alias("ID_Articulo"), *[F.lit(5.0).alias(c) for c in NUMERIC if c != "Mes_Num"],
+        (i % 1500 + 1).cast("int").alias("Venta_Cajas"))
+    frame = d.with_log_target(rows)
+    model = d.fit(frame, d.forest(trees=5, depth=5))
+    assert model.encodings.where("column = 'Cliente' AND fold = -1 AND label IS NOT NULL").count() == 1500
+    one = model.transform(frame.dropDuplicates(["Cliente"]).where("Cliente IN ('C3', 'C1400')"))
+    low, high = [r.prediction_raw for r in one.orderBy(F.desc("Cliente")).collect()]
+    assert high > low
+    assert one.select("Cliente_Media").distinct().count() == 2
+
+
+def test_encoding_leaves_the_own_fold_out(spark):
+    rows = spark.createDataFrame([("a", 0, 1.0), ("a", 0, 2.0), ("a", 1, 6.0), ("b", 1, 10.0), (None, 0, 1.0)],
+                                 "c string, f int, y double")
+    got = {(r.label, r.fold): r.value for r in d.target_encoding(rows, ["c"], "y", F.col("f"), 2.0).collect()}
+    assert got == {("a", -1): 17 / 5, ("b", -1): 6.0, ("a", 0): 14 / 3, ("a", 1): 11 / 4, ("b", 1): 4.0, (None, -1): 4.0}
+    encoded = d.encode(rows, stage(d.target_encoding(rows, ["c"], "y", F.col("f"), 2.0), "e"), ["c"], F.col("f"))
+    assert sorted(r.c_Media for r in encoded.collect()) == [11 / 4, 4.0, 4.0, 14 / 3, 14 / 3]
 
 
 def test_importance_names_every_input(model, parts):
     schema = model.transform(parts[1]).schema
     rows = d.feature_importance(model, schema, 20).collect()
-    assert {r.feature for r in rows} == {*(f"{c}_Index" for c in CATEGORICAL), *NUMERIC}
+    assert {r.feature for r in rows} == {*(f"{c}_Index" for c in INDEXED), *(f"{c}_Media" for c in ENCODED),
+                                         *NUMERIC}
     assert math.isclose(sum(r.importance for r in rows), 1.0)
     assert [r.importance for r in rows] == sorted((r.importance for r in rows), reverse=True)
     assert d.feature_importance(model, schema, 3).count() == 3
 
 
-def test_search_picks_from_the_grid(parts):
+def test_search_picks_from_the_grid(parts, monkeypatch):
+    calls = []
+    fit = d.Pipeline.fit
+    monkeypatch.setattr(d.Pipeline, "fit", lambda self, df: calls.append(1) or fit(self, df))
     found = d.tune(parts[0], trees=(2, 3), depths=(2, 3), folds=2)
-    won = d.winning_parameters(found.bestModel)
+    won = d.winning_parameters(found)
     assert won["numTrees"] in (2, 3) and won["maxDepth"] in (2, 3)
-    assert len(found.avgMetrics) == 4
+    best = min(found.search, key=lambda tried: tried[1])[0]
+    assert len(found.search) == 4 and won == {k: best[k] for k in won}
+    assert len(calls) == 1  # the feature stages, once for the whole search
 
 
 def naive_recommendation(model, table, products, client, n):
@@ -102,9 +118,7 @@ def naive_recommendation(model, table, products, client, n):
     return sorted(rows, key=lambda r: (-r.prediction_final, r.Producto))[:n]
 
 
-@pytest.mark.parametrize("kind", ["model", "bucketed"])
-def test_all_clients_at_once_equals_one_by_one(kind, table, request):
-    model = request.getfixturevalue(kind)
+def test_all_clients_at_once_equals_one_by_one(model, table):
     products = stage(catalogue(table, 6), "products")
     clients = client_dimension(table)
     got = m.recommend(model, clients, products, "OCT", 3).collect()
@@ -117,9 +131,7 @@ def test_all_clients_at_once_equals_one_by_one(kind, table, request):
         assert {(r.Region, r.Nombre_Zona) for r in mine} == {(client.Region, client.Nombre_Zona)}
 
 
-@pytest.mark.parametrize("kind", ["model", "bucketed"])
-def test_best_prices_match_the_curve(kind, table, request):
-    model = request.getfixturevalue(kind)
+def test_best_prices_match_the_curve(model, table):
     products = stage(catalogue(table, 4), "products")
     clients = client_dimension(table)
     best = m.best_prices(model, clients, products).collect()
@@ -140,8 +152,30 @@ def test_without_a_model_the_catalogue_is_shown(table, tmp_path):
     assert {r.Producto for r in got.collect()} == {"P8", "P7"}
 
 
-def test_train_job(table, tmp_path):
+def test_train_job(spark, table, tmp_path):
     path = str(tmp_path / "m")
     model, errors = plan.train(table, path, search=False, trees=3, depth=3)
     assert errors.first().rmse > 0
-    assert plan.prices(table, load_model_or_none(path), k=3).count() == 40
+    assert plan.prices(table, d.load_model_or_none(spark, path), k=3).count() == 40
+
+
+def test_a_broken_model_is_an_error(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    assert d.load_model_or_none(spark, str(tmp_path / "nothing")) is None
+    with pytest.raises(Exception):
+        d.load_model_or_none(spark, str(tmp_path / "broken"))
+
+
+def test_discount(model, table):
+    products = stage(catalogue(table, 4), "products")
+    top = m.recommend(model, client_dimension(table), products, n=1)
+    rows = m.discount_test(model, top).collect()
+    assert len(rows) == 40
+    for r in rows:
+        assert math.isclose(r.Precio_Caja, r.precio_base * 0.9)
+        assert math.isclose(r.cambio_pct, (r.demanda_nueva / r.demanda_base - 1) * 100, abs_tol=1e-9)
+
+
+def test_log_scale_errors(model, parts):
+    row = d.evaluate(model, parts[1], d.LABEL, "prediction").first()
+    assert 0 < row.rmse < d.evaluate(model, parts[1]).first().rmse
