@@ -219,6 +219,12 @@ def _whole_rows(part: str, first: str, second: str, keys: str) -> str:
     return part
 
 
+for _level, _name in (("product", "p_name"), ("family", "string_split(p_name, ' ')[1]")):
+    _PARTS[f"months_by_{_level}"] = f"""
+        SELECT n_name, {_name} AS {'p_name' if _level == 'product' else 'family'}, m,
+               sum(l_quantity) FILTER (l_returnflag <> 'R') AS u, sum(l_extendedprice) FILTER (l_returnflag <> 'N') AS v
+        FROM lines2000 GROUP BY ALL"""
+    _NEEDS[f"months_by_{_level}"] = ["lines2000"]
 _NEEDS["zone_ctx_row"], _NEEDS["family_ctx_row"] = _NEEDS["zone_ctx"], _NEEDS["family_ctx"]
 _PARTS["zone_ctx_row"] = _whole_rows(_PARTS["zone_ctx"], "units", "amounts", "n_name, p_name")
 _PARTS["family_ctx_row"] = _whole_rows(_PARTS["family_ctx"], "family_units", "family_amounts", "n_name, family")
@@ -381,6 +387,23 @@ ORACLE = {
         SELECT CAST(11 AS BIGINT) AS entradas, true AS suma_uno, array_to_string(list_sort([
             'Cliente_Media', 'Producto_Media', 'Nombre_Zona_Index', 'Region_Index', 'Mes_Index', 'Precio_Caja', 'Mes_Num',
             'Meta_Zona_Cajas', 'Venta_PY_Zona_Cajas', 'Precio_Promedio_PY_Caja', 'Venta_PY_Familia_Cajas']), ',') AS nombres""",
+    "input_report": _sql("""
+        SELECT 'master' AS tabla, count(*) AS initial_rows, count(*) AS final_rows, CAST(0 AS BIGINT) AS removed_rows,
+               CAST(0 AS BIGINT) AS claves_repetidas FROM part
+        UNION ALL SELECT 'geo', count(*), count(*), 0, 0 FROM nation
+        UNION ALL SELECT 'sales', count(*), count(*) FILTER ("2025" >= 0 AND "CANTIDAD" >= 0),
+               count(*) FILTER (NOT ("2025" >= 0 AND "CANTIDAD" >= 0)), 0 FROM raw
+        UNION ALL
+        SELECT t, count(*), count(*) FILTER (months = 12), count(*) FILTER (months < 12), 0 FROM (
+            SELECT 'product_units' AS t, count(u) AS months FROM months_by_product GROUP BY n_name, p_name
+            UNION ALL SELECT 'product_values', count(v) FROM months_by_product GROUP BY n_name, p_name
+            UNION ALL SELECT 'family_units', count(u) FROM months_by_family GROUP BY n_name, family
+            UNION ALL SELECT 'family_values', count(v) FROM months_by_family GROUP BY n_name, family) GROUP BY t""",
+        "raw", "months_by_product", "months_by_family"),
+    "model_index": _sql(" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", "{c}" AS label, CAST(row_number() OVER (
+            ORDER BY count(*) DESC, "{c}") - 1 AS DOUBLE) AS "index" FROM dataset GROUP BY "{c}\""""
+        for c in ("Nombre_Zona", "Region", "Mes")), "dataset"),
     "model_reload_check": _sql("SELECT count(*) AS filas, count(*) AS iguales FROM dataset", "dataset"),
     "zone_clients": _sql("""SELECT DISTINCT "Nombre_Zona", "Cliente" FROM enriched""",
                          "enriched"),

@@ -20,6 +20,7 @@ from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming,
 from salesflow.operators.joins import duplicate_keys, join_audit, lookup_join
 from salesflow.operators.ordering import category_index
 from salesflow.session import stage, stage_folder
+from salesflow.plans import sales as sales_plan
 from salesflow.sources import (read_block_report, read_csv, read_json, read_parquet, write_csv, write_json,
                                write_parquet)
 from salesflow.streaming.ingest import ingest_drop, read_landed
@@ -278,6 +279,14 @@ def sales_annual_context(spark, sf):
                                      LEVEL_PRODUCT, "Descripcion", stage_as="annual_totals")
 
 
+def input_report(spark, sf):
+    cells = _cells(spark, sf)
+    return sales_plan.input_report(sales_plan.RawTables(
+        roles.master(spark, sf), roles.raw_sales(spark, sf), roles.geography(spark, sf),
+        roles.month_report(cells, "values", "product"), roles.month_report(cells, "units", "product"),
+        roles.month_report(cells, "values", "family"), roles.month_report(cells, "units", "family")))
+
+
 def join_audit_query(spark, sf):
     facts = enrich.sales_facts(roles.clean_sales(spark, sf))
     master = cleaning.clean_dataset(roles.master(spark, sf), MASTER_TEXT)
@@ -540,6 +549,13 @@ def discount_test_model(spark, sf):
     return discount_test(model, recommend(model, _clients(spark, sf), _products(spark, sf), n=1))
 
 
+def model_index(spark, sf):
+    """The labels and indices of the model's own index stage."""
+    fitted = demand.index_stages().fit(_training(spark, sf))
+    rows = [(c, label, float(i)) for c, labels in zip(INDEXED, fitted.labelsArray) for i, label in enumerate(labels)]
+    return spark.createDataFrame(rows, "column string, label string, index double")
+
+
 # --- what holds for any model, for which there is SQL -------------------------
 
 def _close(a, b):
@@ -687,4 +703,6 @@ QUERIES = {
     "zone_context_row": zone_context_row,
     "family_context_row": family_context_row,
     "encoded_categories": encoded_categories,
+    "model_index": model_index,
+    "input_report": input_report,
 }

@@ -43,12 +43,18 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """
     if not 0 <= p <= 1:
         raise ValueError("p must lie between 0 and 1")
-    counts = (df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v is not null")
-              .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    ordered = running_total(counts, [F.col("v")], F.col("n"), "upto")
-    total = ordered.agg(F.max("upto")).scalar()
-    position = (total - 1) * F.lit(p)
-    ranked = ordered.withColumn("position", position)
+    counts = stage(df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v is not null")
+                   .groupBy("v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    ranged = stage(counts.repartitionByRange("v").withColumn("_part", F.spark_partition_id()), "ranged")
+    # One row per partition says which partitions hold the wanted ranks; only those are put in order.
+    parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = ranged.groupBy("_part").agg(F.sum("n").alias("_sum")).withColumn("_upto", F.sum("_sum").over(parts))
+    position = (counts.agg(F.sum("n")).scalar() - 1) * F.lit(p)
+    wanted = sums.withColumn("position", position).where(
+        (F.col("_upto") > F.floor("position")) & (F.col("_upto") - F.col("_sum") <= F.ceil("position")))
+    local = Window.partitionBy("_part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = ranged.join(F.broadcast(wanted), "_part").withColumn(
+        "upto", F.sum("n").over(local) + F.col("_upto") - F.col("_sum"))
     bounds = ranked.agg(
         F.min(F.when(F.col("upto") > F.floor("position"), F.col("v"))).alias("low"),
         F.min(F.when(F.col("upto") > F.ceil("position"), F.col("v"))).alias("high"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,10 +13,11 @@ from salesflow.models.recommend import best_prices, recommend
 from salesflow.names import (GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, REPORT_TEXT, SALES_METRICS,
                              SALES_TEXT)
 from salesflow.operators.aggregates import annual_totals, customer_features
-from salesflow.operators.cleaning import clean_dataset
+from salesflow.operators.cleaning import clean_audit, clean_dataset
 from salesflow.operators.enrich import (enriched_sales, family_context, master_sales,
                                         sales_facts, training_rows, with_annual_totals,
                                         with_family_context, with_zone_context, zone_context)
+from salesflow.operators.joins import duplicate_keys
 from salesflow.operators.ranking import catalogue, client_dimension
 from salesflow.operators.renaming import metric_columns
 from salesflow.operators.reshape import reshape_both
@@ -68,6 +70,23 @@ def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell"
     return training_rows(with_family_context(with_zone, family, stage_as="family_context"))
 
 
+def input_report(raw: RawTables, negatives: str = "drop") -> DataFrame:
+    """One row for each input of the training table: rows before and after cleaning, rows removed, and
+    keys that occur more than once where a lookup on them would repeat sales."""
+    checks = [("master", raw.master, MASTER_TEXT, [], ["Producto"]), ("sales", raw.sales, SALES_TEXT, SALES_METRICS, []),
+              ("geo", raw.geo, GEO_TEXT, [], ["zone_code"])]
+    checks += [(name, getattr(raw, name), REPORT_TEXT, metric_columns(getattr(raw, name)), []) for name in (
+        "product_values", "product_units", "family_values", "family_units") if getattr(raw, name) is not None]
+    rows = []
+    for name, df, text, numbers, keys in checks:
+        row = clean_audit(df, numbers, negatives).select(F.lit(name).alias("tabla"), "*")
+        repeated = F.lit(0).cast("bigint")
+        if keys:
+            repeated = duplicate_keys(clean_dataset(df, text), keys).agg(F.count(F.lit(1))).scalar()
+        rows.append(row.withColumn("claves_repetidas", repeated))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def build_training_table(raw: RawTables, path: str, by_month: bool = False, **options) -> DataFrame:
     """Write the training table and read it back; by month, a month's score reads only
     its own folder."""
