@@ -113,6 +113,3 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
         shared_folder(Session())
     Session.sparkContext.master = "local[2]"
     assert shared_folder(Session()) == shared_folder(Session())
-
-
-def test_missing_model_is_tolerated(spark, tmp_path):
