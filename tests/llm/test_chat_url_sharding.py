@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from llm_fixtures import documents, given  # noqa: F401
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 

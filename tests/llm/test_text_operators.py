@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given as cases, settings, strategies as st
+from llm_fixtures import documents, given  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
