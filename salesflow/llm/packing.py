@@ -9,52 +9,112 @@ the last sequence is not full. A document cut by a boundary leaves a record on e
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tokenizers import Tokenizer
+
 from salesflow.llm.ship import ship_package
 from salesflow.llm.words import slices, text_bytes
 from salesflow.session import stage
 
-CACHE_BYTES = 64 << 20
+KNOWN_WORDS = 1_000_000  # some 200 bytes each
+LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # one code point each in every normal form and case
+WORD_PATTERN = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 TOKENS = "part int, part_offset bigint, doc_id bigint, ids array<int>"
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, continued boolean, continues boolean, ids array<int>")
 
 
-class WordTokenizer:
-    """A tokenizer that drops white space, applied word by word.
+def _byte_characters() -> dict[int, str]:
+    """The printable characters that byte-level tokenizers write bytes as."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def splits_words(tokenizer: Tokenizer) -> bool:
+    """Whether a tokenizer drops white space, lower-cases, and cuts runs of letters from the rest, so that
+    the ids of a text are those of its words in a row."""
+    spec = json.loads(tokenizer.to_str())
+    normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+            and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["add_prefix_space"]
+            and steps[0]["pattern"].get("Regex", "").endswith(WORD_PATTERN))
+
+
+class TextTokenizer:
+    """A tokenizer applied to whole texts, or word by word where that is the same.
 
-    Its normaliser and its splitting never look across ASCII white space, so the ids of a text are
-    those of its words in a row. Words recur, so their ids are kept until ``CACHE_BYTES`` are held.
+    Words recur: the ids of up to ``KNOWN_WORDS`` of them are kept. Words of letters, with a comma or
+    full stop at most, go straight to the tokenizer's model; the others take the whole way.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.by_word = splits_words(self.tokenizer)
         self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.tails = {mark: self._whole(mark) for mark in (b",", b".")} if self.by_word else {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
+        if not self.by_word:
+            return [self._whole(text) for text in texts]
         words = [t.split() for t in texts]
-        fresh = list(set().union(*words) - self.known.keys())
-        coded = self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-        for word, code in zip(fresh, coded, strict=True):
-            self.known[word] = ids = np.array(code.ids, dtype="<u4").tobytes()
-            self.held += len(word) + len(ids) + 100
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
-        if self.held > CACHE_BYTES:
+        seen = set().union(*words)
+        fresh = seen.difference(self.known)
+        if len(self.known) + len(fresh) > KNOWN_WORDS:
             self.known.clear()
-            self.held = 0
-        return out
+            fresh = seen
+        for word in fresh:
+            self.known[word] = self._word(word)
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+
+    def _whole(self, text: bytes) -> bytes:
+        return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+
+    def _word(self, word: bytes) -> bytes:
+        tail = self.tails.get(word[-1:], b"")
+        stem = word[:-1] if tail else word
+        if stem.isalpha():  # of bytes: ASCII letters
+            stem = stem.lower()
+            text = stem.decode()
+        elif LETTERS(letters := stem.decode()):
+            stem = letters.lower().encode()
+            text = stem.decode("latin-1").translate(BYTE_CHARACTERS)
+        else:
+            return self._whole(word)
+        ids = self.known.get(stem)
+        if ids is None:
+            ids = self.known[stem] = _packed([t.id for t in self.model.tokenize(text)])
+        return ids + tail
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=1)
+def text_tokenizer(path: str) -> TextTokenizer:
+    """One for all tasks of a Python worker, so that later tasks find the words of earlier ones."""
+    return TextTokenizer(path)
 
 
 def _list_array(ids: list[bytes]) -> pa.Array:
@@ -70,7 +130,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, upto, coder = TaskContext.get().partitionId(), 0, WordTokenizer(tokenizer)
+        part, upto, coder = TaskContext.get().partitionId(), 0, text_tokenizer(tokenizer)
         for batch in batches:
             for rows in slices(batch):
                 data, at = text_bytes(rows.column("text"))
