@@ -387,6 +387,14 @@ ORACLE = {
         SELECT CAST(11 AS BIGINT) AS entradas, true AS suma_uno, array_to_string(list_sort([
             'Cliente_Media', 'Producto_Media', 'Nombre_Zona_Index', 'Region_Index', 'Mes_Index', 'Precio_Caja', 'Mes_Num',
             'Meta_Zona_Cajas', 'Venta_PY_Zona_Cajas', 'Precio_Promedio_PY_Caja', 'Venta_PY_Familia_Cajas']), ',') AS nombres""",
+    "client_main_zone": """
+        SELECT c_name AS "Cliente", r_name AS "Region", n_name AS "Nombre_Zona"
+        FROM (SELECT c_name, r_name, n_name, count(*) AS n
+              FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+              JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
+              JOIN region ON r_regionkey = n_regionkey GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY c_name ORDER BY n DESC, r_name, n_name) = 1""",
+    "training_split": _sql("SELECT count(*) AS filas, true AS cuatro_quintos FROM dataset", "dataset"),
     "input_report": _sql("""
         SELECT 'master' AS tabla, count(*) AS initial_rows, count(*) AS final_rows, CAST(0 AS BIGINT) AS removed_rows,
                CAST(0 AS BIGINT) AS claves_repetidas FROM part

@@ -19,7 +19,7 @@ from salesflow.names import (ENCODED, GEO_TEXT, INDEXED, LEVEL_PRODUCT, MASTER_T
 from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
 from salesflow.operators.joins import duplicate_keys, join_audit, lookup_join
 from salesflow.operators.ordering import category_index
-from salesflow.session import stage, stage_folder
+from salesflow.session import files_stamp, stage, stage_folder
 from salesflow.plans import sales as sales_plan
 from salesflow.sources import (read_block_report, read_csv, read_json, read_parquet, write_csv, write_json,
                                write_parquet)
@@ -95,12 +95,12 @@ def _fixed_prediction(spark: SparkSession, sf: str) -> DataFrame:
         (F.pmod("l_partkey", F.lit(50)) + 1).cast("double").alias("predicted"))
 
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple, DataFrame] = {}
 
 
 def _store(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A table written once per session and folder, for the queries that start from it."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """A table written once per session and state of the folder, for the queries that start from it."""
+    key = (spark.sparkContext.applicationId, sf, files_stamp(spark, sf), name)
     if key not in _stored:
         _stored[key] = stage(build(), name)
     return _stored[key]
@@ -151,12 +151,12 @@ def _fixed_demand(rows: DataFrame) -> DataFrame:
     return scenarios.with_revenue(scored)
 
 
-_trained: dict[tuple[str, str], demand.DemandModel] = {}
+_trained: dict[tuple, demand.DemandModel] = {}
 
 
 def _model(spark: SparkSession, sf: str) -> tuple[demand.DemandModel, DataFrame]:
-    """Calibrated model and its stored training table, trained once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    """Calibrated model and its stored training table, trained once per session and state of the folder."""
+    key = (spark.sparkContext.applicationId, sf, files_stamp(spark, sf))
     table = _training(spark, sf)
     if key not in _trained:
         train, _ = demand.training_frame(table)
@@ -386,6 +386,25 @@ def client_dim(spark, sf):
     return ranking.client_dimension(_enriched(spark, sf))
 
 
+def client_main_zone(spark, sf):
+    """Clients whose sales lie in several zones: the zone of each sale is its supplier's."""
+    suppliers = roles.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                                          F.col("s_nationkey").alias("n_nationkey"))
+    nations = roles.table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("Nombre_Zona"),
+                                                      F.col("n_regionkey").alias("r_regionkey"))
+    regions = roles.table(spark, sf, "region").select("r_regionkey", F.col("r_name").alias("Region"))
+    lines = lookup_join(roles.sold_lines(spark, sf, ["l_suppkey"]), suppliers, ["l_suppkey"], "inner")
+    placed = lookup_join(lookup_join(lines, nations, ["n_nationkey"], "inner"), regions, ["r_regionkey"], "inner")
+    return ranking.client_dimension(placed.withColumnRenamed("c_name", "Cliente"))
+
+
+def training_split(spark, sf):
+    """The split that training uses: every row in one part, about a fifth held out."""
+    train, test = demand.training_frame(_training(spark, sf))
+    parts = train.select(F.lit(1).alias("train")).unionByName(test.select(F.lit(0).alias("train")))
+    return parts.agg(F.count("*").alias("filas"), F.avg("train").between(0.75, 0.85).alias("cuatro_quintos"))
+
+
 def catalogue(spark, sf):
     return ranking.catalogue(_training(spark, sf), 50)
 
@@ -704,5 +723,7 @@ QUERIES = {
     "family_context_row": family_context_row,
     "encoded_categories": encoded_categories,
     "model_index": model_index,
+    "client_main_zone": client_main_zone,
+    "training_split": training_split,
     "input_report": input_report,
 }

@@ -117,6 +117,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def files_stamp(spark: SparkSession, folder: str) -> int:
+    """A number that changes when a file or table of a folder is added, removed or written anew."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return hash(tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)))
+
+
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a frame, None where it cannot be asked (remote clients).
 
