@@ -1,14 +1,14 @@
 """Near-duplicate documents by a grouped prefix join on word shingles.
 
-Documents with equal shingle sets are one *vertex*. All sets are ordered alike: shingles that many
-documents hold come last, the rest by hash. Two sets with Jaccard similarity t or more share one of
+Documents with equal shingle sets are one *vertex*. All sets are ordered alike, by how often a
+shingle's rarest word occurs in all documents, which bounds how many hold it; ties by hash. Two sets with Jaccard similarity t or more share one of
 their first ``n - ceil(t n) + 1`` shingles, their prefixes. Vertices with the same prefix and size
 are one group; groups are filtered by shared prefix shingles, size and position, then expanded to their
 vertices, and candidate pairs are verified on whole sets.
 
 Asked for is who belongs together. So the vertices that share a prefix shingle (or a group) are a
 *list*, and only pairs between different components of a list are candidates: first all with the most
-central vertex, and once few pairs are left, those. A list that is one component is done. No link
+central vertices, and once few pairs are left, those. A list that is one component is done. No link
 between components is lost, and thousands of copies cost thousands of pairs, not millions.
 """
 
@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesflow.llm.components import components
 from salesflow.llm.ship import ship_package
 from salesflow.llm.words import Words, mix, slices, window_hashes
-from salesflow.session import stage
+from salesflow.session import drop_staged, stage, staged
 
 COUNT_BITS = 18
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 64
+BLOCK = 256  # vertices of one block: a task of two blocks has at most about 65 000 pairs
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 SETS = ("doc_id bigint, row_key bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, central float, "
@@ -36,14 +37,24 @@ SETS = ("doc_id bigint, row_key bigint, n_shingles bigint, key1 bigint, key2 big
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     """The distinct hashes of ``n``-word shingles of every text, sorted; a shorter text is one shingle,
     a text without words none."""
+    return [own for own, _ in ordered_sets(texts, n, np.zeros(1, np.uint8))]
+
+
+def ordered_sets(texts: pa.Array, n: int, levels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Those hashes, and the level of each one's rarest word; ``levels`` goes by a word's hash."""
     words = Words(texts, lower=True)
     hashes = window_hashes(words.hashes, n)
+    level = levels[(words.hashes & np.uint64(len(levels) - 1)).astype(np.int64)]
+    rarest = level.copy()
+    for k in range(1, min(n, len(level))):
+        np.minimum(rarest[:-k], level[k:], out=rarest[:-k])
     out = []
     for a, b in zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True):
         if b - a >= n:
-            out.append(np.unique(hashes[a:b - n + 1]))
+            own, first = np.unique(hashes[a:b - n + 1], return_index=True)
+            out.append((own, rarest[a:b - n + 1][first]))
         else:
-            out.append(window_hashes(words.hashes[a:b], n)[:1])
+            out.append((window_hashes(words.hashes[a:b], n)[:1], level[a:b].min(keepdims=True) if b > a else level[:0]))
     return out
 
 
@@ -58,16 +69,15 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def document_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """Documents by the low bits of their shingles' hashes: a table of fixed size that the input's
+def word_counts(docs: DataFrame) -> np.ndarray:
+    """Occurrences of words by the low bits of their hashes: a table of fixed size that the input's
     partitions add up to, counted over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
         for batch in batches:
             for part in slices(batch):
-                sets = shingle_sets(part.column("text"), n)
-                low = np.concatenate(sets) & np.uint64((1 << COUNT_BITS) - 1)
+                low = Words(part.column("text"), lower=True).hashes & np.uint64((1 << COUNT_BITS) - 1)
                 counts += np.bincount(low.astype(np.int64), minlength=len(counts))
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(counts[held])], names=["at", "n"])
@@ -80,25 +90,21 @@ def document_counts(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def commonness(counts: np.ndarray) -> np.ndarray:
-    """A level for each count: 0 for what chance brings together, one more for each doubling above."""
-    mean = counts.mean()
-    above = np.maximum((counts - mean - 6 * np.sqrt(mean)) / 32, 0.5)
-    return (np.floor(np.log2(above)) + 1).astype(np.uint8)
+    """A level for each count, four for each doubling."""
+    return np.floor(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
 
 
 def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
     """``SETS`` of all documents. Every consistent order gives the same result; this one puts common
-    shingles last."""
+    shingles last. ``levels`` has one byte for each of a fixed number of counts."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    low = np.uint64((1 << COUNT_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
         for batch in batches:
             for part in slices(batch):
                 rows, prefixes = [], []
-                for own in shingle_sets(part.column("text"), n):
-                    level = levels[(own & low).astype(np.int64)]
+                for own, level in ordered_sets(part.column("text"), n, levels):
                     size = len(own)
                     prefix = own[np.argsort(level, kind="stable")][:size - needed(size, percent) + 1 if size else 0]
                     one, two = set_key(own)
@@ -116,19 +122,27 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, SETS)
 
 
-def candidate_lists(vertices: DataFrame) -> DataFrame:
+def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
     """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``central``: vertices that share a
-    prefix shingle or a group."""
+    prefix shingle or a group, without rows that are too far into their prefix to link even with the
+    smallest set of their list."""
     groups = stage(vertices.groupBy("grouping").agg(
         F.min("vertex").alias("vertex"), F.count("*").alias("members")), "groups")
     leaders = vertices.join(groups, ["grouping", "vertex"]).select("grouping", "size", F.posexplode("prefix").alias(
         "place", "list"))
-    shared = leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
+    # written before it is joined, as other aggregates here: a join of two plain shuffles is one whose hot
+    # keys adaptive execution can split
+    shared = stage(leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list"), "shared")
     by_token = stage(leaders.join(shared, "list"), "shared-shingles")
     members = vertices.select("grouping", "vertex", "central")
     own = vertices.join(groups.where("members > 1").select("grouping"), "grouping").select(
         F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), "central")
-    return by_token.join(members, "grouping").select("list", "vertex", "size", "place", "central").unionByName(own)
+    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", "central")
+                 .unionByName(own), "list-rows")
+    least = stage(rows.groupBy("list").agg(F.min("size").alias("least")), "list-least")
+    size, place = F.col("size"), F.col("place")
+    return rows.join(least, "list").where(
+        (100 + percent) * (size - place) >= percent * (size + F.col("least"))).drop("least")
 
 
 def may_link(size1: Column, place1: Column, size2: Column, place2: Column, percent: int) -> Column:
@@ -143,7 +157,8 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
     vertices in lists are looked up once and written."""
     wanted = lists.select("vertex").distinct().join(vertices.select("vertex", "doc_id", "key1", "key2"), "vertex")
     texts = docs.select("doc_id", "text").alias("d")
-    found = texts.join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select(
+    # both sides grow with the documents: a merge join at every size
+    found = texts.join(wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select(
         "vertex", "key1", "key2", "text")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,62 +171,81 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
 
     held = stage(found.mapInArrow(own, "vertex bigint, text string").dropDuplicates(["vertex"]), "candidate-texts")
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text_a"):
-                ok = []
-                for x, y in zip(shingle_sets(part.column("text_a"), n), shingle_sets(part.column("text_b"), n),
-                                strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield part.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+    homes = stage(lists.groupBy("list").agg(F.count("*").alias("n")), "list-sizes")
+    home = lists.join(homes, "list").groupBy("vertex").agg(F.max(F.struct("n", "list")).alias("home"))
+    block = F.xxhash64("home.list", F.pmod(F.xxhash64("vertex"), F.ceil(F.col("home.n") / BLOCK)))
+    blocks = stage(home.select("vertex", block.alias("block")), "blocks")
+
+    def similar(_: tuple, pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        sets = dict(zip(texts.column("vertex").to_pylist(),
+                        shingle_sets(texts.column("text").combine_chunks(), n), strict=True))
+        ok = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            x, y = sets[a], sets[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            ok.append(100 * both >= percent * (len(x) + len(y) - both))
+        return pairs.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = held.select(F.col("vertex").alias("a"), F.col("text").alias("text_a"))
-        right = held.select(F.col("vertex").alias("b"), F.col("text").alias("text_b"))
-        whole = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return whole.mapInArrow(similar, "a bigint, b bigint")
+        # texts travel once for each pair of blocks, not once for each pair
+        pairs = stage(pairs, "pairs")
+        tasks = max(1, -(-pairs.count() // BLOCK))
+        of_a, of_b = (blocks.select(F.col("vertex").alias(c), F.col("block").alias(f"block_{c}")) for c in "ab")
+        dealt = stage(pairs.join(of_a, "a").join(of_b, "b").select(
+            F.pmod(F.xxhash64("block_a", "block_b"), F.lit(tasks)).alias("task"), "a", "b"), "dealt-pairs")
+        ends = dealt.select(F.col("task").alias("at"), F.col("a").alias("vertex")).union(dealt.select("task", "b"))
+        texts = ends.distinct().join(held, "vertex").select("at", "vertex", "text")
+        return dealt.groupBy("task").cogroup(texts.groupBy("at")).applyInArrow(similar, "a bigint, b bigint")
 
     return verify
 
 
 def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int,
                pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame | None:
-    """Components (``node``, ``component``) of the vertices in ``lists``; None if nothing is linked."""
-    edges, labels = None, None
+    """Components (``node``, ``component``) of the vertices in ``lists``; None if nothing is linked.
+
+    While more than ``pairs_per_row`` pairs a row of all lists are left, the most central vertices of
+    every open list are compared with its others and leave it: one at first, then twice as many in every
+    round, so rounds grow with the logarithm of a list."""
+    spark = lists.sparkSession
+    edges, labels, centres, all_rows = None, None, 1, lists.count()
+    kept, last_round = set(staged(spark)), set()
     while True:
         if labels is None:
             labelled = lists.withColumn("component", F.col("vertex"))
         else:
-            labelled = lists.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
-                "component", F.coalesce("component", "vertex"))
-        labelled = stage(labelled, "lists")
+            labelled = stage(lists.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
+                "component", F.coalesce("component", "vertex")), "lists")
         parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
         sums = stage(parts.groupBy("list").agg(
             F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"),
             ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
         ).where("n > largest.n").select("list", "n", "pairs", F.col("largest.component").alias("largest")), "list-sums")
-        left = sums.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("rows")).first()
-        if not left["rows"]:
+        drop_staged(spark, last_round)  # what the written tables of this round were made from
+        left = sums.agg(F.sum("pairs")).first()[0]
+        if not left:
             return labels
-        last = left["pairs"] <= pairs_per_row * left["rows"]
+        last = left <= pairs_per_row * all_rows
         open_rows = labelled.join(sums.select("list", "largest"), "list")
         if last:  # few pairs are left: all of them
             one = open_rows.where("component <> largest").drop("largest")
-        else:  # the most central vertex of each list with all others
-            centre = labelled.join(sums.select("list"), "list").groupBy("list").agg(
-                F.max(F.struct("central", "vertex", "size", "place", "component")).alias("c"))
-            one = centre.select("list", "c.vertex", "c.size", "c.place", "c.central", "c.component")
-            one = stage(one, "list-centres")
+        else:  # the most central vertices of each list with all others
+            rank = F.row_number().over(Window.partitionBy("list").orderBy(F.desc("central"), "vertex"))
+            one = stage(open_rows.drop("largest").withColumn("rank", rank).where(F.col("rank") <= centres).drop("rank"),
+                        "list-centres")
+            centres *= 2
         x, y = one.alias("x"), open_rows.alias("y")
         fits = may_link(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent)
         pairs = x.join(y, F.col("x.list") == F.col("y.list")).where(
             (F.col("x.component") != F.col("y.component")) & fits).select(
             F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b")).distinct()
-        found = stage(verify(stage(pairs, "pairs")), "links")
+        found = stage(verify(pairs), "links")
+        kept.add(staged(spark)[-1])
         edges = found if edges is None else edges.unionByName(found)
         if not edges.isEmpty():
             labels = components(edges)
+            kept.add(staged(spark)[-1])
+        last_round = set(staged(spark)) - kept
         if last:
             return labels
         lists = open_rows.select("list", "vertex", "size", "place", "central").join(
@@ -221,7 +255,7 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``SETS`` and ``row_key``, a hash of id and text, of every row; written."""
     ship_package(docs.sparkSession)
-    levels = commonness(document_counts(docs, words))
+    levels = commonness(word_counts(docs))
     return stage(set_table(docs, levels, words, percent), "shingle-sets")
 
 
@@ -233,7 +267,7 @@ def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"), F.max("grouping").alias("grouping"),
         F.max("central").alias("central"), F.max("prefix").alias("prefix"))
     vertices = stage(classes.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
-    lists = stage(candidate_lists(vertices), "candidates")
+    lists = stage(candidate_lists(vertices, percent), "candidates")
     labels = link_lists(lists, verifier(docs, vertices, lists, words, percent), percent)
     keys = vertices.select("key1", "key2", "vertex", F.col("doc_id").alias("first_doc"))
     if labels is None:
@@ -256,7 +290,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     of such rows alone has a null id. Other columns are ignored.
     """
     found = stage(document_components(docs, words, percent), "components")
-    smallest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    smallest = stage(found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min("first_doc").alias("component_id")), "smallest")
     whole = found.join(smallest, "component", "left")
     return whole.select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(
         F.col("component_id")).alias("component_id"))
