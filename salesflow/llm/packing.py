@@ -28,7 +28,7 @@ from salesflow.llm.ship import ship_package
 from salesflow.llm.words import slices, text_bytes
 from salesflow.session import stage
 
-KNOWN_WORDS = 1_000_000  # some 200 bytes each
+KNOWN_WORDS = 750_000  # some 200 bytes each
 LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # one code point each in every normal form and case
 WORD_PATTERN = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
