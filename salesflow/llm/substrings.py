@@ -140,20 +140,23 @@ def repeated_ranges(docs: DataFrame, min_words: int = 50, seed_words: int = SEED
     ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     anchors = stage(anchor_table(docs, min_words, seed_words), "anchors")
-    shared = anchors.groupBy("anchor").agg(
+    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys
+    # adaptive execution can split
+    shared = stage(anchors.groupBy("anchor").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-        (F.min("block") != F.max("block")).alias("mixed")).where("lo < hi").drop("hi")
+        (F.min("block") != F.max("block")).alias("mixed")).where("lo < hi").drop("hi"), "shared")
     met = stage(anchors.join(shared, "anchor"), "shared-anchors")
 
     whole = met.where("NOT mixed AND doc_id > lo").select("doc_id", "start", "n", "block")
     mixed = met.where("mixed")
-    smallest = mixed.groupBy("anchor", "block").agg(F.min("doc_id").alias("first_doc"))
+    smallest = stage(mixed.groupBy("anchor", "block").agg(F.min("doc_id").alias("first_doc")), "smallest")
     by_block = stage(mixed.join(smallest, ["anchor", "block"]), "mixed-anchors")
     again = by_block.where("doc_id > first_doc").select("doc_id", "start", "n", "block")
 
     windows = stage(window_table(by_block.where("doc_id = first_doc"), docs, min_words), "anchor-windows")
-    first = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    single = windows.join(first.where("first_doc < last_doc"), ["anchor", "window"]).where("doc_id > first_doc")
+    first = stage(windows.groupBy("anchor", "window").agg(
+        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc"), "first")
+    single = windows.join(first, ["anchor", "window"]).where("doc_id > first_doc")
     blocks = whole.unionByName(again).select(
         "doc_id", "start", (F.col("n") + (min_words - 1)).alias("length"), F.col("block").alias("value"))
     return blocks.unionByName(single.select("doc_id", "start", F.lit(min_words).alias("length"),
