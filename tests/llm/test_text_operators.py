@@ -163,6 +163,44 @@ def test_line_dedup_cases(documents):
     assert line_dedup.remove_repeated_lines(df.where("false")).count() == 0
 
 
+def plain_passages(rows, n):
+    seen, out = set(), {}
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        lines = text.split("\n")
+        places, gone = [i for i, x in enumerate(lines) if x.strip(" ")], set()
+        for a, b in zip(places, places[n - 1:]):
+            stretch = "\n".join(lines[a:b + 1])
+            gone |= set(range(a, b + 1)) if stretch in seen else set()
+            seen.add(stretch)
+        out[doc] = "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_repeated_passages_equal_every_stretch(documents, n):
+    rng = random.Random(n)
+    pool = [[f"shared {k} {i}" for i in range(k)] for k in (2, 3, 4, 5, 8, 12)]
+    rows = [(-2, ""), (-1, "one"), (1000, "one"), (1001, "a\n\n \nb\n"), (1002, "\na\n\n \nb"), (1003, "a\n\nb")]
+    for doc in range(80):
+        lines = [rng.choice(["", " ", "Menu", "Menu", f"own {doc} {i}"]) for i in range(rng.randrange(1, 12))]
+        at = rng.randrange(len(lines) + 1)
+        rows.append((doc, "\n".join(lines[:at] + rng.choice(pool) * (doc % 3) + lines[at:])))
+    df = documents(rows).withColumn("places", F.lit("p"))
+    got = {r.doc_id: (r.text, r.n_gone) for r in line_dedup.remove_repeated_lines(
+        df, min_lines=n, removed="n_gone", passages=True).collect()}
+    assert got == plain_passages(rows, n)
+
+
+def test_no_passage_of_two_lines_is_missed(documents):
+    rows = []
+    for k in range(2, 42):
+        for copy in range(2):
+            own = [f"own {k} {copy} {i}" for i in range(2)]
+            rows.append((2 * k + copy, "\n".join(own[:1] + [f"passage {k} {i}" for i in range(k)] + own[1:])))
+    out = line_dedup.remove_repeated_lines(documents(rows), removed="n_gone", passages=True)
+    assert {r.doc_id: r.n_gone for r in out.collect()} == {d: d // 2 * (d % 2) for d, _ in rows}
+
+
 # --- near duplicates --------------------------------------------------------
 
 def plain_components(rows, n, percent):
