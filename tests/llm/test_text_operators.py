@@ -201,6 +201,15 @@ def test_no_passage_of_two_lines_is_missed(documents):
     assert {r.doc_id: r.n_gone for r in out.collect()} == {d: d // 2 * (d % 2) for d, _ in rows}
 
 
+def test_runs_of_equal_lines(documents):
+    rows = [(1, "\n".join(["head", *["same"] * 92, "tail"])), (2, "\n".join(["same"] * 30)), (3, "\n".join(["same", "other"] * 20)),
+            (4, "\n".join(["own", *["same"] * 2, "end"])), (5, "\n".join(["x", *["", "same"] * 40]))]
+    out = line_dedup.remove_repeated_lines(documents(rows), removed="n_gone", passages=True)
+    got = {r.doc_id: (r.text, r.n_gone) for r in out.collect()}
+    assert got == plain_passages(rows, 2)
+    assert got == {1: ("head\nsame\ntail", 91), 2: ("", 30), 3: ("same\nother", 38), 4: ("own\nend", 2), 5: ("x\n\nsame\n", 77)}
+
+
 # --- near duplicates --------------------------------------------------------
 
 def plain_components(rows, n, percent):
