@@ -214,8 +214,10 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
         if labels is None:
             labelled = lists.withColumn("component", F.col("vertex"))
         else:
-            labelled = stage(lists.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
-                "component", F.coalesce("component", "vertex")), "lists")
+            labelled = lists.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
+                "component", F.coalesce("component", "vertex"))
+        if last_round:  # linked or not, what is left of the lists is made from tables that go below
+            labelled = stage(labelled, "lists")
         parts = labelled.groupBy("list", "component").agg(F.count("*").alias("n"))
         sums = stage(parts.groupBy("list").agg(
             F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"),

@@ -260,6 +260,19 @@ def test_near_duplicates_equal_all_pairs(documents, monkeypatch, n, percent, per
     assert got == plain_components(rows, n, percent)
 
 
+def test_long_lists_without_any_link(documents, monkeypatch):
+    real, rounds = jaccard_join.link_lists, []
+    monkeypatch.setattr(jaccard_join, "link_lists", lambda lists, verify, percent: real(
+        lists, lambda pairs: rounds.append(1) or verify(pairs), percent, pairs_per_row=0))
+    rng = random.Random(4)
+    page = [f"template{i}" for i in range(60)]
+    rows = [(doc, " ".join(page + [f"c{rng.randrange(6)}" for _ in range(24)])) for doc in range(10)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in
+                  jaccard_join.near_duplicates(documents(rows), 3, 80).collect()), key=str)
+    assert got == plain_components(rows, 3, 80)
+    assert all(doc == component for doc, _, component in got) and len(rounds) > 2
+
+
 def test_keep_one_each(documents):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(3, long), (3, long), (9, long + " x"), (None, long), (4, "other words"), (5, None), (5, None), (6, ""), (None, "lone words")]
