@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, a template a short notice; both are sets of words. A block matches a template
+A block is a line, as in op5's SQL, or with ``wrapped`` a line and the words after it, so that no line end
+cuts a notice. A template is a short notice; both are sets of words. A block matches a template
 when it holds at least ``threshold`` of the template's words. Template words are ordered by the
 number of blocks that hold them, rarest first, counted over all documents. A template of n words
 that needs m of them has n - m + 1 words in its prefix; a block with none of these cannot match.
@@ -52,6 +53,23 @@ def spaced(text: Column) -> Column:
     return F.regexp_replace(lower, BREAKS_IN_LINE, " ")
 
 
+def wrapped_blocks(docs: DataFrame, width: int) -> DataFrame:
+    """``docs`` with ``license_blocks``: every line of ``license_spaced`` that has words, followed by the first
+    ``width - 1`` words of the lines after it. Any ``width`` words in a row lie in one of them."""
+    trimmed = F.transform(F.split("license_spaced", "\n"), lambda line: F.trim(line))
+    lines = docs.withColumn("license_lines", F.filter(trimmed, lambda line: line != ""))
+    heads = lines.withColumn("license_heads", F.transform(
+        "license_lines", lambda line: F.substring_index(line, " ", width - 1)))
+
+    def block(line: Column, i: Column) -> Column:
+        after = F.array_join(F.slice("license_heads", i + 2, width - 1), " ")
+        return F.concat_ws(" ", line, F.substring_index(after, " ", width - 1))
+
+    # the heads are asked for twice, which keeps them a column: inside the lambda they would be made for every line
+    blocks = F.when(F.size("license_heads") > 1, F.transform("license_lines", block)).otherwise(F.col("license_lines"))
+    return heads.withColumn("license_blocks", blocks).drop("license_lines", "license_heads")
+
+
 def block_words(line: Column, known: Sequence[str]) -> Column:
     """The words of ``known`` that a line holds, in the order of ``known``."""
     return F.array_intersect(strings(known), F.split(line, " "))
@@ -103,15 +121,20 @@ def matches(words: Column, templates: Sequence[tuple[str, str]], order: Sequence
 
 
 def match_blocks(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """``docs`` (with ``text``) and ``license_spaced``, ``license_matches``: for all blocks of the row in
-    order, (``label``, ``containment``) of each template met. No row or block is compared with another
+    order, (``label``, ``containment``) of each template met. ``wrapped`` blocks reach as many words beyond
+    their line as the longest template needs; they overlap, so a template may be met in several. No row or block is compared with another
     row; there is no shuffle but that of the counts. Null and empty texts match nothing."""
     words = sorted({w for _, text in templates for w in text.split()})
     order = word_order(docs.select(spaced(F.col("text")).alias("spaced")), words)
-    found = F.flatten(F.transform(F.split("license_spaced", "\n"), lambda line: matches(
+    rows, blocks = docs.withColumn("license_spaced", spaced(F.col("text"))), F.split("license_spaced", "\n")
+    if wrapped:
+        rows = wrapped_blocks(rows, max((len(text.split()) for _, text in templates), default=1))
+        blocks = F.col("license_blocks")
+    found = F.flatten(F.transform(blocks, lambda line: matches(
         block_words(line, order), templates, order, threshold)))
-    return (docs.withColumn("license_spaced", spaced(F.col("text"))).withColumn("license_matches", found))
+    return rows.withColumn("license_matches", found).drop("license_blocks")
 
 
 def _count_words(piece: Column) -> Column:
@@ -119,16 +142,18 @@ def _count_words(piece: Column) -> Column:
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
-                  phrases: Sequence[tuple[str, str]] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+                  phrases: Sequence[tuple[str, str]] = PHRASES, threshold: float = THRESHOLD,
+                  wrapped: bool = False) -> DataFrame:
     """One row for every row of ``docs`` (``doc_id``, ``text``).
 
     ``n_words``; ``n_base``, ``first_word``, ``last_word``: places of phrases, the smallest and the
     largest start (words from 0, null without one); ``base_labels``; ``labels``: those and the labels of
     templates met, distinct, sorted, joined by commas (empty without one); ``score``: the largest
-    containment met, 1 with a phrase, else 0. Null texts count as empty, repeated rows are judged
+    containment met, 1 with a phrase, else 0. Templates are looked for in single lines, with ``wrapped``
+    also across line ends. Null texts count as empty, repeated rows are judged
     alike, other columns are ignored.
     """
-    rows = match_blocks(docs.select("doc_id", "text"), templates, threshold)
+    rows = match_blocks(docs.select("doc_id", "text"), templates, threshold, wrapped)
     # two spaces between words: each has its own on either side, so neighbouring phrases do not share one
     trimmed = F.trim(F.regexp_replace("license_spaced", "[ \n]+", "  "))
     rows = rows.select("doc_id", "license_matches", trimmed.alias("words"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -325,6 +326,45 @@ def test_licenses_equal_plain_version(documents):
     assert licenses.scan_licenses(documents([], 1)).count() == 0
 
 
+def plain_wrapped(text):
+    """Labels and best containment of every line and the words after it."""
+    width = max(len(template.split()) for _, template in licenses.TEMPLATES)
+    lines = [re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", line.lower()) for line in (text or "").split("\n")]
+    score, labels = 0.0, {label for phrase, label in licenses.PHRASES
+                          if f" {phrase} " in f" {' '.join(w for line in lines for w in line)} "}
+    for i, line in enumerate(lines):
+        block = {*line, *[w for after in lines[i + 1:] for w in after][:width - 1]} if line else set()
+        for label, template in licenses.TEMPLATES:
+            share = len(block & set(template.split())) / len(set(template.split()))
+            if share >= licenses.THRESHOLD:
+                labels, score = labels | {label}, max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def test_wrapped_licenses(documents):
+    rng = random.Random(6)
+    rows, expected = [], {}
+    for label, template in licenses.TEMPLATES:
+        for width in (1, 9, 24, 40, 72):
+            for mark in ("", "# ", " * "):
+                own = [f"own{rng.randrange(99)}" for _ in range(rng.randrange(6))]
+                cut = "\n".join(mark + line for line in textwrap.wrap(" ".join(own + template.split() + own), width, break_long_words=False))
+                expected[len(rows)] = label
+                rows.append((len(rows), f"{mark}\n{cut}\n{mark.strip()}\nelse"))
+    far = licenses.TEMPLATES[2][1].split()
+    rows += [(900, None), (901, ""), (902, "\n \n"), (903, "one line only"), (904, "gnu general public\n" + "x " * 40 + "\nlicense version 3"),
+             (905, "\n".join([" ".join(far[:10]), *["filler words here"] * 9, " ".join(far[10:])]))]
+    df = documents(rows).withColumn("license_blocks", F.lit("mine"))
+    got = {r.doc_id: r for r in licenses.scan_licenses(df, phrases=(("no such phrase", "none"),), wrapped=True).collect()}
+    assert len(got) == len(rows) and all(label in got[d].labels.split(",") for d, label in expected.items())
+    assert {d: r.labels for d, r in got.items() if d >= 900} == {d: "" for d in range(900, 906)}
+    whole = {r.doc_id: r for r in licenses.scan_licenses(df, wrapped=True).collect()}
+    for d, text in rows:
+        labels, score = plain_wrapped(text)
+        assert whole[d].labels == labels and got[d].score == score, d
+    assert licenses.scan_licenses(documents([], 1), wrapped=True).count() == 0
+
+
 # --- substring dedup --------------------------------------------------------
 
 def plain_substring(rows, n):
