@@ -1,4 +1,7 @@
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from fixtures import block
@@ -113,3 +116,18 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
         shared_folder(Session())
     Session.sparkContext.master = "local[2]"
     assert shared_folder(Session()) == shared_folder(Session())
+
+
+def test_all_months_come_back_from_their_folders(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [(i, i % 7, date(2023 + i % 2, i % 12 + 1, i % 28 + 1), i * 1.25) for i in range(600)] + [(600, None, None, 3.0)],
+        "l_orderkey long, l_linenumber int, l_shipdate date, l_extendedprice double").withColumn("mes", F.month("l_shipdate"))
+    s.write_parquet(lines, str(tmp_path / "months"), ["mes"])
+    back = s.read_parquet(spark, str(tmp_path / "months"))
+    assert values(back, *lines.columns) == values(lines, *lines.columns)
+    assert {r.mes for r in back.select("mes").distinct().collect()} == {None, *range(1, 13)}
+    for months, expected in (("mes <= 3", 150), ("mes > 3", 450), ("mes = 12", 50)):
+        some = back.where(months)
+        assert some.count() == expected
+        scan = some._jdf.queryExecution().executedPlan().toString()
+        assert "(mes#" in scan.split("PartitionFilters: [")[1].split("]")[0]  # only those folders are read
