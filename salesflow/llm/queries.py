@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesflow.llm import chat, decontaminate, jaccard_join, licenses, line_dedup, packing, quality, sharding, substrings, url_filters
+from salesflow.llm import (chat, decontaminate, jaccard_join, licenses, line_dedup, negatives, packing, quality, sharding,
+                           simhash, substrings, url_filters, whitening)
 from salesflow.llm.url_filters import Rule
 from salesflow.sources import read_parquet
 
@@ -104,9 +105,29 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge_urls(pages, URL_RULES, model).drop("url")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten hard negatives for each positive of every hundredth vector; a seventh of the labels is moved on by one."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint and the smallest document that links lead to."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=3)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's first 32 whitened components."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    result = whitening.whiten(vectors, scale=64, offset=1_000_000, components=32)
+    return whitening.explode_components(result).withColumn("deviation", F.col("deviation").cast("bigint")).drop("embedding")
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_quality": op3_quality,
            "op4_jaccard_join": op4_jaccard_join, "op5_licenses": op5_licenses,
            "op6_line_dedup": op6_line_dedup,
            "op7_substring_dedup": op7_substring_dedup, "op8_decontaminate": op8_decontaminate,
            "op9_chat_format": op9_chat_format,
-           "op10_url_filter": op10_url_filter}
+           "op10_url_filter": op10_url_filter, "op11_hard_negatives": op11_hard_negatives,
+           "op12_simhash": op12_simhash, "op13_whitening": op13_whitening}
