@@ -225,8 +225,11 @@ for _level, _name in (("product", "p_name"), ("family", "string_split(p_name, '
                sum(l_quantity) FILTER (l_returnflag <> 'R') AS u, sum(l_extendedprice) FILTER (l_returnflag <> 'N') AS v
         FROM lines2000 GROUP BY ALL"""
     _NEEDS[f"months_by_{_level}"] = ["lines2000"]
-_NEEDS["zone_ctx_row"], _NEEDS["family_ctx_row"] = _NEEDS["zone_ctx"], _NEEDS["family_ctx"]
-_PARTS["zone_ctx_row"] = _whole_rows(_PARTS["zone_ctx"], "units", "amounts", "n_name, p_name")
+_NEEDS["zone_ctx_row"], _NEEDS["family_ctx_row"] = _NEEDS["family_ctx"], _NEEDS["family_ctx"]
+# zone context of reports by family
+_PARTS["zone_ctx_row"] = _whole_rows(
+    _PARTS["zone_ctx"].replace("p_name", "family").replace("FROM units", "FROM family_units").replace("amounts a", "family_amounts a"),
+    "family_units", "family_amounts", "n_name, family")
 _PARTS["family_ctx_row"] = _whole_rows(_PARTS["family_ctx"], "family_units", "family_amounts", "n_name, family")
 
 
@@ -314,6 +317,16 @@ ORACLE = {
         FROM (SELECT DISTINCT n_name, p_name, unnest(range(1, 13)) AS m FROM lines2000) g
         LEFT JOIN units u ON u.n_name = g.n_name AND u.p_name = g.p_name AND u.m = g.m""",
                               "units"),
+    "wide_report_file": _sql(f"""
+        SELECT 'Línea - ' || g.n_name AS "Zona", g.p_name AS "Producto",
+               {_CODES}[g.m] AS "Mes_Corto", u.py * CAST(1.1 AS DOUBLE) AS "Meta_Zona_Cajas",
+               u.py AS "Venta_PY_Zona_Cajas"
+        FROM (SELECT DISTINCT n_name, p_name, unnest(range(1, 13)) AS m FROM lines2000) g
+        LEFT JOIN units u ON u.n_name = g.n_name AND u.p_name = g.p_name AND u.m = g.m""", "units"),
+    "block_report_file": _sql(f"""
+        SELECT id AS "Producto_Familia", {_block_columns()} FROM texts
+        WHERE level = 'Producto' GROUP BY id""", "texts"),
+    "ml_dataset_colocated": _all("dataset"),
     "zone_context": _all("zone_ctx"),
     "zone_context_row": _all("zone_ctx_row"),
     "family_context_row": _all("family_ctx_row"),
@@ -357,7 +370,47 @@ ORACLE = {
     "parquet_by_month": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
                strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, CAST(month(l_shipdate) AS INTEGER) AS mes
-        FROM lineitem WHERE month(l_shipdate) <= 3""",
+        FROM lineitem""",
+    "months_rewritten": """
+        SELECT l_orderkey, l_linenumber, l_partkey,
+               CASE WHEN month(l_shipdate) = 3 THEN 2 * l_extendedprice ELSE l_extendedprice END AS l_extendedprice,
+               strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, CAST(month(l_shipdate) AS INTEGER) AS mes
+        FROM lineitem
+        WHERE month(l_shipdate) <> 12 AND (month(l_shipdate) <> 5 OR l_returnflag <> 'R')""",
+    "tune_folds": """
+        WITH labelled AS (
+            SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS label, l_orderkey % 3 AS third, l_suppkey % 4 AS fold,
+                   l_quantity AS y FROM lineitem
+            UNION ALL SELECT 'l_returnflag', l_returnflag, l_orderkey % 3, l_suppkey % 4, l_quantity FROM lineitem),
+        held AS (SELECT CAST(unnest(range(3)) AS INTEGER) AS held_out),
+        seen AS (SELECT held_out, "column", label, fold, y FROM labelled JOIN held ON third <> held_out),
+        overall AS (SELECT held_out, "column", count(*) AS n, avg(y) AS mean FROM seen GROUP BY ALL),
+        whole AS (SELECT held_out, "column", label, sum(y) AS s, count(*) AS n FROM seen GROUP BY ALL),
+        own AS (SELECT held_out, "column", label, fold, sum(y) AS s, count(*) AS n FROM seen GROUP BY ALL)
+        SELECT held_out, "column", label, -1 AS fold, w.n, round((s + 20 * mean) / (w.n + 20), 9) AS value
+        FROM whole w JOIN overall USING (held_out, "column")
+        UNION ALL
+        SELECT held_out, "column", label, CAST(o.fold AS INTEGER), w.n - o.n,
+               round((w.s - o.s + 20 * mean) / (w.n - o.n + 20), 9)
+        FROM own o JOIN whole w USING (held_out, "column", label) JOIN overall USING (held_out, "column")
+        UNION ALL SELECT held_out, "column", NULL, -1, n, round(mean, 9) FROM overall""",
+    "tune_check": _sql("""
+        SELECT count(*) AS filas, CAST(4 AS BIGINT) AS puntos, CAST(12 AS BIGINT) AS errores, true AS gana_el_mejor,
+               true AS errores_posibles FROM dataset""", "dataset"),
+    "sample_orders": """
+        SELECT o_orderkey, o_custkey
+        FROM (SELECT *, ('0x' || substr(md5('42|' || o_orderkey), 1, 15))::BIGINT AS h FROM orders)
+        WHERE h < CAST(230584300921369408 AS BIGINT) ORDER BY h, o_orderkey LIMIT 500""",
+    "sample_parts": """
+        SELECT p_partkey, p_name
+        FROM (SELECT *, ('0x' || substr(md5('7|' || p_partkey), 1, 15))::BIGINT AS h FROM part)
+        WHERE h < CAST(230584300921369408 AS BIGINT)""",
+    "catalogue_without_model": _sql("""
+        SELECT "Cliente", "Producto", "Precio_Caja", CAST(rn AS INTEGER) AS puesto
+        FROM clients, (SELECT *, row_number() OVER (ORDER BY "Venta_PY_Zona_Cajas" DESC, "Precio_Caja", "ID_Articulo",
+                                                    "Producto") AS rn FROM products) WHERE rn <= 5""", "clients", "products"),
+    "importance_ranks": """
+        SELECT CAST(10 AS BIGINT) AS filas, CAST(10 AS BIGINT) AS distintas, true AS validas""",
     "encoded_categories": """
         WITH labelled AS (
             SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS label, l_orderkey % 5 AS fold, l_quantity AS y

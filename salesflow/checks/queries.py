@@ -6,7 +6,7 @@ import uuid
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from salesflow.checks import roles
 from salesflow.functions import (elasticity_class, exact_sum, family_key, inverse_log, log_target,
@@ -23,6 +23,7 @@ from salesflow.session import files_stamp, stage, stage_folder
 from salesflow.plans import sales as sales_plan
 from salesflow.sources import (read_block_report, read_csv, read_json, read_parquet, write_csv, write_json,
                                write_parquet)
+from salesflow.sources.partitions import read_partitions, write_partitions
 from salesflow.streaming.ingest import ingest_drop, read_landed
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -45,8 +46,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.enriched_sales(facts, geo, master)
 
 
-def _zone_context(cells: DataFrame, policy: str = "cell") -> DataFrame:
-    reports = [roles.month_report(cells, measure, "product") for measure in ("units", "values")]
+def _zone_context(cells: DataFrame, policy: str = "cell", level: str = "product") -> DataFrame:
+    reports = [roles.month_report(cells, measure, level) for measure in ("units", "values")]
     if policy == "row":
         reports = [cleaning.clean_dataset(r, REPORT_TEXT, renaming.metric_columns(r)) for r in reports]
     return enrich.zone_context(*reports, policy)
@@ -70,13 +71,19 @@ def _with_zone(spark: SparkSession, sf: str, cells: DataFrame) -> DataFrame:
                                     stage_as="zone_context")
 
 
-def ml_dataset(spark: SparkSession, sf: str) -> DataFrame:
+def ml_dataset(spark: SparkSession, sf: str, **layout) -> DataFrame:
     cells = _cells(spark, sf)
-    joined = enrich.with_family_context(_with_zone(spark, sf, cells), _family_context(cells),
-                                        stage_as="family_context")
+    joined = enrich.with_contexts(_enriched(spark, sf), _zone_context(cells), _family_context(cells), "Producto", **layout)
     return enrich.training_rows(joined)
 
 
+def ml_dataset_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """The training table with both contexts bucketed next to the sales, as beyond the broadcast threshold; zones with
+    more than a tenth of the rows of a month are cut into parts."""
+    rows = roles.table(spark, sf, "lineitem").count()
+    return ml_dataset(spark, sf, limit=0, rows_per_bucket=max(1, rows // 600))
+
+
 def _reports(spark: SparkSession, sf: str) -> DataFrame:
     cells = _year_cells(spark, sf)
     family, product = [renaming.rename_blocks(roles.block_report(cells, level))
@@ -102,7 +109,7 @@ def _store(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """A table written once per session and state of the folder, for the queries that start from it."""
     key = (spark.sparkContext.applicationId, sf, files_stamp(spark, sf), name)
     if key not in _stored:
-        _stored[key] = stage(build(), name)
+        _stored[key] = stage(build(), name, keep=True)
     return _stored[key]
 
 
@@ -331,13 +338,91 @@ def json_roundtrip(spark, sf):
 
 
 def parquet_by_month(spark, sf):
-    """The line items in a folder for each month, and back from the folders of the first quarter."""
+    """The line items in a folder for each month, and back from all of them."""
     folder = _fresh_folder(spark, "parquet")
     lines = roles.table(spark, sf, "lineitem")
     write_parquet(lines.withColumn("mes", F.month("l_shipdate")), folder, ["mes"])
-    return read_parquet(spark, folder).where("mes <= 3").select(*KEYS, "l_partkey", "l_extendedprice",
-                                                                F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
-                                                                F.col("mes").cast("int").alias("mes"))
+    return _month_rows(read_parquet(spark, folder))
+
+
+def _month_rows(lines: DataFrame) -> DataFrame:
+    return lines.select(*KEYS, "l_partkey", "l_extendedprice", F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+                        F.col("mes").cast("int").alias("mes"))
+
+
+def months_rewritten(spark, sf):
+    """All months written; then March at doubled prices and May without returned lines written again, and December emptied.
+    A write in between fails halfway and changes nothing."""
+    folder = _fresh_folder(spark, "months")
+    lines = roles.table(spark, sf, "lineitem").withColumn("mes", F.month("l_shipdate"))
+    write_partitions(lines, folder, "mes")
+    broken = F.when(F.col("l_linenumber") > 3, F.raise_error(F.lit("cut short"))).otherwise(F.col("l_extendedprice"))
+    try:
+        write_partitions(lines.withColumn("l_extendedprice", broken.cast("double")), folder, "mes")
+    except Exception as error:
+        if "cut short" not in str(error):
+            raise
+    march = lines.where("mes = 3").withColumn("l_extendedprice", F.col("l_extendedprice") * 2)
+    write_partitions(march, folder, "mes")
+    write_partitions(lines.where("mes = 5 AND l_returnflag <> 'R'"), folder, "mes", emptied=[12])
+    return _month_rows(read_partitions(spark, folder))
+
+
+def tune_folds(spark, sf):
+    """Parts and flags by their mean quantity, for each third of the orders held out: rows of the other thirds alone,
+    and of other folds there."""
+    lines = roles.table(spark, sf, "lineitem")
+    outer, fold = (F.pmod(key, F.lit(of)).cast("int") for key, of in ((F.col("l_orderkey"), 3), (F.col("l_suppkey"), 4)))
+    nested = demand.nested_encoding(lines, ["l_partkey", "l_returnflag"], "l_quantity", outer, fold, 3)
+    return nested.withColumn("value", F.round("value", 9))
+
+
+def tune_check(spark, sf):
+    """A search over four forests on the training table: every point has an error in every fold, the best one won, and
+    the errors are those of rows not seen (below the spread of the target, above nothing)."""
+    table = _training(spark, sf)
+    train, _ = demand.training_frame(table)
+    model = demand.tune(train, trees=(2, 3), depths=(2, 4), folds=3)
+    spread = train.agg(F.stddev(demand.LABEL)).first()[0]
+    best, won = min(model.search, key=lambda tried: tried[1])[0], demand.winning_parameters(model)
+    return model.transform(table).agg(
+        F.count("prediction_raw").alias("filas"), F.lit(len(model.search)).cast("bigint").alias("puntos"),
+        F.lit(sum(len(errors) for *_, errors in model.search)).cast("bigint").alias("errores"),
+        F.lit(won == {name: best[name] for name in won}).alias("gana_el_mejor"),
+        F.lit(all(0 < e <= 1.2 * spread for *_, errors in model.search for e in errors)).alias("errores_posibles"))
+
+
+def sample_orders(spark, sf):
+    """A fifth of the orders, 500 at most, chosen by the smallest hashes."""
+    return ranking.sample_rows(roles.table(spark, sf, "orders"), 0.2, 500, 42, ["o_orderkey"]).select("o_orderkey", "o_custkey")
+
+
+def sample_parts(spark, sf):
+    """A fifth of the parts: all with hashes in the lowest fifth, no limit in the way."""
+    parts = roles.table(spark, sf, "part")
+    return ranking.sample_rows(parts, 0.2, parts.count(), 7, ["p_partkey"]).select("p_partkey", "p_name")
+
+
+def catalogue_without_model(spark, sf):
+    """What every client is shown where no model is stored: the first five products of the catalogue, unscored."""
+    return recommend(None, _clients(spark, sf), _products(spark, sf)).select("Cliente", "Producto", "Precio_Caja", "puesto")
+
+
+def importance_ranks(spark, sf):
+    """The ten most important inputs: known names, in falling order."""
+    rows = feature_importance(spark, sf).select("feature", "importance", F.row_number().over(
+        Window.orderBy(F.desc("importance"), "feature")).alias("r"))  # ten rows
+    known = [*(f"{c}_Media" for c in ENCODED), *(f"{c}_Index" for c in INDEXED), *NUMERIC]
+    return rows.agg(F.count("*").alias("filas"), F.countDistinct("feature").alias("distintas"),
+                    F.bool_and(F.col("feature").isin(known) & F.col("importance").between(0, 1)).alias("validas"))
+
+
+def wide_report_file(spark, sf):
+    """The wide month report written as a file with its irregular header, read back, and unpivoted."""
+    folder = _fresh_folder(spark, "wide")
+    write_csv(roles.month_report(_cells(spark, sf), "units", "product"), folder, ",")
+    long = reshape.unpivot_months(read_csv(spark, folder, sep=","), ["Zona", "Producto"], "Meta_Zona_Cajas", "Venta_PY_Zona_Cajas")
+    return renaming.cast_columns(long, ["Meta_Zona_Cajas", "Venta_PY_Zona_Cajas"], "double")
 
 
 def block_report_file(spark, sf):
@@ -354,8 +439,9 @@ def _year_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zone_context_row(spark, sf):
-    """Zone context of reports cleaned while wide: one bad month removes its row."""
-    return _zone_context(_cells(spark, sf), "row")
+    """Zone context of reports cleaned while wide: one bad month removes its row. Reports by family, of which some rows
+    have all their months."""
+    return _zone_context(_cells(spark, sf), "row", "family")
 
 
 def family_context_row(spark, sf):
@@ -726,4 +812,13 @@ QUERIES = {
     "client_main_zone": client_main_zone,
     "training_split": training_split,
     "input_report": input_report,
+    "ml_dataset_colocated": ml_dataset_colocated,
+    "months_rewritten": months_rewritten,
+    "tune_folds": tune_folds,
+    "tune_check": tune_check,
+    "sample_orders": sample_orders,
+    "sample_parts": sample_parts,
+    "catalogue_without_model": catalogue_without_model,
+    "importance_ranks": importance_ranks,
+    "wide_report_file": wide_report_file,
 }

@@ -7,6 +7,8 @@ kept as a table and looked up by label. Which column is treated how depends on i
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -14,7 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -24,6 +26,7 @@ from salesflow.operators.aggregates import bias_factor, error_metrics
 from salesflow.operators.joins import lookup_join
 from salesflow.operators.ranking import split, split_by_hash
 from salesflow.session import path_exists, stage
+from salesflow.sources.pointers import POINTERS, current_state, folder_names, publish_state, remove_folder
 
 LABEL = "Log_Venta"
 TARGET = "Venta_Cajas"
@@ -54,6 +57,34 @@ def fold_of(df: DataFrame, folds: int = 5) -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), *[f"`{c}`" for c in df.columns]), F.lit(folds)).cast("int")
 
 
+def _encoding_cells(df: DataFrame, columns: list[str], target: str, **folds: Column) -> DataFrame:
+    """Sum (in whole millionths) and number of the targets per ``column``, ``label`` and fold columns; written."""
+    labels = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label"))
+                                for c in columns]))
+    rows = df.select(F.round(F.col(target) * UNITS).cast("bigint").alias("units"),
+                     *[fold.alias(name) for name, fold in folds.items()], labels)
+    return stage(rows.groupBy("column", "label", *folds).agg(
+        F.coalesce(F.sum("units"), F.lit(0)).alias("units"), F.count("units").alias("n")), "encoding_cells")
+
+
+def _means_of_cells(cells: DataFrame, smoothing: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """``by``, ``column``, ``label``, ``fold``, ``n`` (rows the mean is of), ``value``; one exchange of the cells by label."""
+    sums = [F.sum("units").alias("all_units"), F.sum("n").alias("all_n")]
+    overall = cells.groupBy(*by, "column").agg(*sums).select(
+        *by, "column", F.try_divide(F.col("all_units"), F.col("all_n") * UNITS).alias("mean"), "all_n")
+    own = F.struct("fold", "units", "n")  # as many for a label as there are folds
+    none = F.struct(F.lit(ALL_ROWS).alias("fold"), F.lit(0).cast("bigint").alias("units"), F.lit(0).cast("bigint").alias("n"))
+    labels = cells.where("label IS NOT NULL").groupBy(*by, "column", "label").agg(*sums, F.collect_list(own).alias("own"))
+    means = overall.select(*by, "column", "mean")  # one row for each of ``by`` and column
+    left = labels.join(F.broadcast(means), [*by, "column"]).select(
+        *by, "column", "label", "all_units", "all_n", "mean", F.inline(F.array_append("own", none)))
+    n = F.col("all_n") - F.col("n")
+    value = ((F.col("all_units") - F.col("units")) / UNITS + F.col("mean") * smoothing) / (n + smoothing)
+    unseen = overall.select(*by, "column", F.lit(None).cast("string").alias("label"), F.lit(ALL_ROWS).alias("fold"),
+                            F.col("all_n").alias("n"), F.col("mean").alias("value"))
+    return left.select(*by, "column", "label", "fold", n.alias("n"), value.alias("value")).unionByName(unseen)
+
+
 def target_encoding(df: DataFrame, columns: list[str], target: str, fold: Column,
                     smoothing: float = 20.0) -> DataFrame:
     """(``column``, ``label``, ``fold``, ``value``): smoothed mean of the target per label.
@@ -62,28 +93,22 @@ def target_encoding(df: DataFrame, columns: list[str], target: str, fold: Column
     fold -1 the mean over all its rows, for everything else. Means are drawn towards the overall
     mean as by ``smoothing`` rows of it; that mean is the row without a label, for unseen ones.
     """
-    labels = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label"))
-                                for c in columns]))
-    rows = df.select(fold.alias("fold"), F.round(F.col(target) * UNITS).cast("bigint").alias("units"), labels)
-    cells = stage(rows.groupBy("column", "label", "fold").agg(
-        F.sum("units").alias("units"), F.count("units").alias("n")), "encoding_cells")
-    sums = [F.sum("units").alias("all_units"), F.sum("n").alias("all_n")]
-    overall = cells.groupBy("column").agg(*sums).select(
-        "column", F.try_divide(F.col("all_units"), F.col("all_n") * UNITS).alias("mean"))
-    known = cells.where("label IS NOT NULL")
-    per_label = known.groupBy("column", "label").agg(*sums)
+    return _means_of_cells(_encoding_cells(df, columns, target, fold=fold), smoothing).drop("n")
 
-    def mean(units: Column, n: Column) -> Column:
-        return (units / UNITS + F.col("mean") * smoothing) / (n + smoothing)
 
-    whole = per_label.join(F.broadcast(overall), "column").select(  # one row a column
-        "column", "label", F.lit(ALL_ROWS).alias("fold"), mean(F.col("all_units"), F.col("all_n")).alias("value"))
-    others = (known.join(per_label, ["column", "label"]).join(F.broadcast(overall), "column").select(
-        "column", "label", "fold",
-        mean(F.col("all_units") - F.col("units"), F.col("all_n") - F.col("n")).alias("value")))
-    unseen = overall.select("column", F.lit(None).cast("string").alias("label"), F.lit(ALL_ROWS).alias("fold"),
-                            F.col("mean").alias("value"))
-    return whole.unionByName(others).unionByName(unseen)
+def nested_encoding(df: DataFrame, columns: list[str], target: str, outer: Column, fold: Column, folds: int,
+                    smoothing: float = 20.0) -> DataFrame:
+    """(``held_out``, ``column``, ``label``, ``fold``, ``n``, ``value``): the encodings that a search needs.
+
+    For each of the ``folds`` values of ``outer`` held out, those of ``target_encoding`` over all other rows: no target
+    of a held-out row is in them, and none of a training row's own ``fold``. All come from one pass over the rows;
+    each cell of sums is repeated for the ``folds - 1`` searches it belongs to.
+    """
+    cells = _encoding_cells(df, columns, target, outer=outer, fold=fold)
+    searches = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("held_out")
+    seen = cells.select("*", searches).where("held_out <> outer").groupBy("held_out", "column", "label", "fold").agg(
+        F.sum("units").alias("units"), F.sum("n").alias("n"))
+    return _means_of_cells(stage(seen, "nested_cells"), smoothing, ("held_out",))
 
 
 def encode(df: DataFrame, encodings: DataFrame, columns: list[str] = ENCODED,
@@ -106,11 +131,12 @@ def encode(df: DataFrame, encodings: DataFrame, columns: list[str] = ENCODED,
 
 @dataclass(frozen=True)
 class DemandModel:
-    """Fitted stages and the encoding table. ``search``: what a grid search tried, with its error."""
+    """Fitted stages and the encoding table. ``search``: what a grid search tried, its mean error and that of every
+    held-out fold."""
 
     pipeline: PipelineModel
     encodings: DataFrame
-    search: tuple[tuple[dict, float], ...] = ()
+    search: tuple[tuple[dict, float, tuple[float, ...]], ...] = ()
 
     @property
     def stages(self) -> list[Transformer]:
@@ -120,12 +146,37 @@ class DemandModel:
         return self.pipeline.transform(encode(df, self.encodings))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
+        """Write a new version aside, read it back, then make it the current one. A save that is cut short leaves the
+        model before it; a model can be saved to the path that it was loaded from. See ``drop_old_versions``."""
+        spark = self.encodings.sparkSession
+        number, _ = current_state(spark, path)
+        version = uuid.uuid4().hex
+        folder = f"{path}/{version}"
+        self.pipeline.write().save(f"{folder}/pipeline")
+        self.encodings.write.parquet(f"{folder}/encodings")
+        rows, kept = self.encodings.count(), spark.read.parquet(f"{folder}/encodings").count()
+        if rows != kept or len(PipelineModel.load(f"{folder}/pipeline").stages) != len(self.stages):
+            raise RuntimeError(f"{folder} does not hold the model: {kept} of {rows} encodings")
+        publish_state(spark, path, {"version": version, "encodings": rows}, number)
 
 
 def load_model(spark: SparkSession, path: str) -> DemandModel:
-    return DemandModel(PipelineModel.load(f"{path}/pipeline"), spark.read.parquet(f"{path}/encodings"))
+    """The current version of the model at ``path``."""
+    _, state = current_state(spark, path)
+    if not state:
+        raise FileNotFoundError(f"no whole model at {path}")
+    folder = f"{path}/{state['version']}"
+    return DemandModel(PipelineModel.load(f"{folder}/pipeline"), spark.read.parquet(f"{folder}/encodings"))
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> list[str]:
+    """Remove all versions of a model but the current one, and what saves cut short have left. Not while a
+    model of an older version is in use."""
+    _, state = current_state(spark, path)
+    old = [name for name in folder_names(spark, path) if name not in (POINTERS, state.get("version"))]
+    for name in old:
+        remove_folder(spark, f"{path}/{name}")
+    return old
 
 
 def load_model_or_none(spark: SparkSession, path: str) -> DemandModel | None:
@@ -156,13 +207,18 @@ def invert_stage() -> SQLTransformer:
     return SQLTransformer(statement="SELECT *, expm1(prediction) AS prediction_raw FROM __THIS__")
 
 
+def _fit_features(rows: DataFrame, encodings: DataFrame, fold: Column) -> tuple[PipelineModel, DataFrame]:
+    """(fitted feature stages, features and label of the training rows)."""
+    encoded = encode(rows, encodings, fold=fold)
+    fitted = Pipeline(stages=[index_stages(), assemble()]).fit(encoded)
+    return fitted, fitted.transform(encoded).select("features", LABEL)
+
+
 def _features(train: DataFrame) -> tuple[DataFrame, PipelineModel, DataFrame]:
     """(encodings, fitted feature stages, features and label of the training rows)."""
     fold = fold_of(train)
-    encodings = stage(target_encoding(train, ENCODED, LABEL, fold), "encodings")
-    encoded = encode(train, encodings, fold=fold)
-    fitted = Pipeline(stages=[index_stages(), assemble()]).fit(encoded)
-    return encodings, fitted, fitted.transform(encoded).select("features", LABEL)
+    encodings = stage(target_encoding(train, ENCODED, LABEL, fold), "encodings", keep=True)
+    return encodings, *_fit_features(train, encodings, fold)
 
 
 def fit(train: DataFrame, regressor: RandomForestRegressor | None = None) -> DemandModel:
@@ -172,24 +228,63 @@ def fit(train: DataFrame, regressor: RandomForestRegressor | None = None) -> Dem
     return DemandModel(PipelineModel([*fitted.stages, trees, invert_stage()]), encodings)
 
 
-def tune(train: DataFrame, trees: tuple[int, ...] = (20, 50), depths: tuple[int, ...] = (5, 10),
-         folds: int = 3, parallelism: int = 2, seed: int = 42,
-         max_bins: int = MAX_BINS) -> DemandModel:
-    """Grid search with seeded cross validation by RMSE of the log target. The feature stages are
-    fitted once; only forests are fitted again, on rows kept while the search lasts."""
-    encodings, fitted, rows = _features(train)
-    regressor = forest(max_bins=max_bins, seed=seed)
-    grid = (ParamGridBuilder().addGrid(regressor.numTrees, list(trees))
-            .addGrid(regressor.maxDepth, list(depths)).build())
-    evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse")
+def search_fold(df: DataFrame, folds: int, seed: int = 42) -> Column:
+    """A stable fold of each row for a search, independent of its ``fold_of``; equal rows share one."""
+    return F.pmod(F.xxhash64(F.lit(f"search {seed}"), *[f"`{c}`" for c in df.columns]), F.lit(folds)).cast("int")
+
+
+def _errors_of_fold(train: DataFrame, nested: DataFrame, held_out: int, outer: Column, regressor: RandomForestRegressor,
+                    grid: list[dict], parallelism: int) -> list[float] | None:
+    """RMSE of every grid point on one held-out fold; None if the fold is empty. Nothing is fitted on held-out rows:
+    neither forest nor index nor encoding."""
+    encodings = nested.where(F.col("held_out") == held_out).drop("held_out", "n")
+    fitted, rows = _fit_features(train.where(outer != held_out), encodings, fold_of(train))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    left = fitted.transform(encode(train.where(outer == held_out), encodings)).select("features", LABEL)
+    left = left.persist(StorageLevel.MEMORY_AND_DISK)
+    evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse")
     try:
-        found = CrossValidator(estimator=regressor, estimatorParamMaps=grid, evaluator=evaluator,
-                               numFolds=folds, parallelism=parallelism, seed=seed).fit(rows)
+        if left.isEmpty():
+            return None
+        models, errors = regressor.fitMultiple(rows, grid), [0.0] * len(grid)
+
+        def one(_: int) -> None:
+            place, trees = next(models)
+            errors[place] = evaluator.evaluate(trees.transform(left))
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            list(pool.map(one, range(len(grid))))
+        return errors
     finally:
         rows.unpersist()
-    tried = tuple(({p.name: v for p, v in point.items()}, e) for point, e in zip(grid, found.avgMetrics, strict=True))
-    return DemandModel(PipelineModel([*fitted.stages, found.bestModel, invert_stage()]), encodings, tried)
+        left.unpersist()
+
+
+def tune(train: DataFrame, trees: tuple[int, ...] = (20, 50), depths: tuple[int, ...] = (5, 10),
+         folds: int = 3, parallelism: int = 2, seed: int = 42, max_bins: int = MAX_BINS,
+         fold_col: str | None = None) -> DemandModel:
+    """Grid search with cross validation by RMSE of the log target; the best forest is fitted again on all rows.
+
+    Rows are dealt to folds by a seeded hash, or by the whole numbers from 0 to ``folds - 1`` in ``fold_col``. Encodings are
+    nested: those of a fold's search leave its rows out, so the error is one on rows never seen.
+    """
+    if folds < 2:
+        raise ValueError("folds must be 2 at least")
+    outer = search_fold(train, folds, seed) if fold_col is None else F.col(fold_col)
+    regressor = forest(max_bins=max_bins, seed=seed)
+    grid = (ParamGridBuilder().addGrid(regressor.numTrees, list(trees))
+            .addGrid(regressor.maxDepth, list(depths)).build())
+    nested = stage(nested_encoding(train, ENCODED, LABEL, outer, fold_of(train), folds), "nested_encodings")
+    each = [_errors_of_fold(train, nested, f, outer, regressor, grid, parallelism) for f in range(folds)]
+    by_point = list(zip(*[errors for errors in each if errors is not None], strict=True))
+    if not by_point:
+        raise ValueError("no fold has rows")
+    tried = tuple(({p.name: v for p, v in point.items()}, sum(errors) / len(errors), errors)
+                  for point, errors in zip(grid, by_point, strict=True))
+    best = min(range(len(grid)), key=lambda k: tried[k][1])
+    encodings, fitted, rows = _features(train)
+    found = regressor.fit(rows, grid[best])
+    return DemandModel(PipelineModel([*fitted.stages, found, invert_stage()]), encodings, tried)
 
 
 def forest_of(model: DemandModel) -> RandomForestRegressionModel:

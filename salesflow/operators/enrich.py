@@ -8,9 +8,11 @@ from salesflow.functions import (family_key, normalise_text, piece_price, pieces
                                  zone_code)
 from salesflow.names import FAMILY_CONTEXT, REPORT_ID, ZONE_CONTEXT
 from salesflow.operators.cleaning import clamp_non_negative, clean_dataset, fill_nulls
+from salesflow.operators.colocated import lookup_joins
 from salesflow.operators.joins import lookup_join
 from salesflow.operators.renaming import standardise
 from salesflow.operators.reshape import unpivot_months
+from salesflow.session import stage
 
 
 def sales_facts(sales: DataFrame) -> DataFrame:
@@ -102,16 +104,22 @@ def zone_context(units: DataFrame, values: DataFrame, policy: str = "cell") -> D
                              "Mes_Corto": F.upper("Mes_Corto")})
 
 
+def zone_lookup(context: DataFrame) -> DataFrame:
+    return context.select("zone_code_join", F.col("Producto_Key").alias("_product"),
+                          F.col("Mes_Corto").alias("_month"), *ZONE_CONTEXT)
+
+
+def _with_prior_price(joined: DataFrame) -> DataFrame:
+    return fill_nulls(joined, 0, ZONE_CONTEXT).withColumn(
+        "Precio_Promedio_PY_Caja", unit_price("Venta_PY_Zona_Valor", "Venta_PY_Zona_Cajas"))
+
+
 def with_zone_context(sales: DataFrame, context: DataFrame, product: str = "Producto_Key",
                       **join) -> DataFrame:
     """Zone context for every sale (0 where unknown) and the prior-year market price."""
-    dim = context.select("zone_code_join", F.col("Producto_Key").alias("_product"),
-                         F.col("Mes_Corto").alias("_month"), *ZONE_CONTEXT)
     keyed = sales.withColumns({"_product": F.col(product), "_month": F.col("Mes")})
-    joined = lookup_join(keyed, dim, ["zone_code_join", "_product", "_month"], **join)
-    filled = fill_nulls(joined.drop("_product", "_month"), 0, ZONE_CONTEXT)
-    return filled.withColumn("Precio_Promedio_PY_Caja",
-                             unit_price("Venta_PY_Zona_Valor", "Venta_PY_Zona_Cajas"))
+    joined = lookup_join(keyed, zone_lookup(context), ["zone_code_join", "_product", "_month"], **join)
+    return _with_prior_price(joined.drop("_product", "_month"))
 
 
 def family_context(units: DataFrame, values: DataFrame, policy: str = "cell") -> DataFrame:
@@ -143,6 +151,20 @@ def with_family_context(sales: DataFrame, context: DataFrame, **join) -> DataFra
     return fill_nulls(joined.drop("Family_Join_Key", "_month"), 0, FAMILY_CONTEXT)
 
 
+def with_contexts(sales: DataFrame, zone: DataFrame, family: DataFrame, product: str = "Producto_Key",
+                  **layout) -> DataFrame:
+    """``with_zone_context``, then ``with_family_context``, with one exchange of the sales at most (see ``lookup_joins``, which
+    gets ``layout``): both contexts are joined by zone and month, next to product or family."""
+    by = ["zone_code_join", "_month"]
+    lookups = [(stage(zone_lookup(zone), "zone_context"), [*by, "_product"]),
+               (stage(family_lookup(family).withColumnRenamed("Mes_Corto", "_month"), "family_context"), [*by, "Family_Join_Key"])]
+    keyed = sales.withColumns({"_product": F.col(product), "_month": F.col("Mes"), "Family_Join_Key": family_key("Producto")})
+    joined = lookup_joins(keyed, lookups, by, **layout).drop("_product", "_month", "Family_Join_Key")
+    filled = _with_prior_price(fill_nulls(joined, 0, FAMILY_CONTEXT))
+    rest = [c for c in filled.columns if c not in FAMILY_CONTEXT]
+    return filled.select(*[f"`{c}`" for c in rest], *FAMILY_CONTEXT)
+
+
 def training_rows(df: DataFrame) -> DataFrame:
     """Last fills and the price sanity filter; join keys are dropped."""
     numbers = ["Venta_Cajas", "Venta_Piezas_Reales", "Venta_Valor", "Precio_Caja",

@@ -76,9 +76,22 @@ def client_options(df: DataFrame, zone: str | None = None) -> DataFrame:
     return zone_clients(df, zone).select("Cliente").distinct().orderBy(F.asc_nulls_last("Cliente"))
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.2, n: int = 5000, seed: int = 42) -> DataFrame:
-    """Seeded sample of at most ``n`` rows, for plots."""
-    return df.sample(fraction=fraction, seed=seed).limit(n)
+def row_number_of(columns: list[str], seed: int) -> Column:
+    """A number below 2**60 from a seeded hash of a row's columns: the same wherever the row lies."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def sample_rows(df: DataFrame, fraction: float = 0.2, n: int = 5000, seed: int = 42,
+                columns: list[str] | None = None) -> DataFrame:
+    """A uniform sample of ``fraction`` of the rows, ``n`` at most: those with the smallest hashes of ``columns`` (all by
+    default). Every row has the same chance, whatever partition it lies in; the sample is the same at any partitioning, and
+    a smaller one is part of a larger. Rows that agree in ``columns`` share their chance. Each task keeps its ``n`` best."""
+    if not 0 <= fraction <= 1 or n < 0:
+        raise ValueError("fraction must lie between 0 and 1, and n must not be negative")
+    number = row_number_of(columns or df.columns, seed)
+    chosen = df.withColumn("_number", number).where(F.col("_number") < int(fraction * (1 << 60)))
+    return chosen.orderBy("_number", *[f"`{c}`" for c in columns or ()]).limit(n).drop("_number")
 
 
 def split(df: DataFrame, weights: tuple[float, ...] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:

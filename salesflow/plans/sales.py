@@ -16,13 +16,14 @@ from salesflow.operators.aggregates import annual_totals, customer_features
 from salesflow.operators.cleaning import clean_audit, clean_dataset
 from salesflow.operators.enrich import (enriched_sales, family_context, master_sales,
                                         sales_facts, training_rows, with_annual_totals,
-                                        with_family_context, with_zone_context, zone_context)
+                                        with_contexts, zone_context)
 from salesflow.operators.joins import duplicate_keys
 from salesflow.operators.ranking import catalogue, client_dimension
 from salesflow.operators.renaming import metric_columns
 from salesflow.operators.reshape import reshape_both
 from salesflow.session import stage
 from salesflow.sources import read_csv, read_json, read_parquet, write_csv, write_parquet
+from salesflow.sources.partitions import read_partitions, write_partitions
 
 
 @dataclass
@@ -51,11 +52,11 @@ def read_raw(spark: SparkSession, master: str, sales: str, geo: str, product_val
                      read_csv(spark, family_units, **wide))
 
 
-def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell") -> DataFrame:
+def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell", **layout) -> DataFrame:
     """Clean, enrich and join everything into one row per sale.
 
-    Contexts are small aggregates of the reports; they are staged, so that their real
-    size decides how the facts meet them.
+    Contexts are aggregates of the reports; they are staged, so that their real size decides how the
+    facts meet them: by broadcast, or in buckets that both contexts share (``layout``: see ``lookup_joins``).
     """
     master = clean_dataset(raw.master, MASTER_TEXT)
     sales = clean_dataset(raw.sales, SALES_TEXT, SALES_METRICS, negatives)
@@ -66,8 +67,7 @@ def training_table(raw: RawTables, negatives: str = "drop", policy: str = "cell"
     zone = zone_context(reports[0], reports[1], policy)
     family = family_context(reports[2], reports[3], policy)
     facts = sales_facts(sales)
-    with_zone = with_zone_context(enriched_sales(facts, geo, master), zone, stage_as="zone_context")
-    return training_rows(with_family_context(with_zone, family, stage_as="family_context"))
+    return training_rows(with_contexts(enriched_sales(facts, geo, master), zone, family, **layout))
 
 
 def input_report(raw: RawTables, negatives: str = "drop") -> DataFrame:
@@ -94,6 +94,13 @@ def build_training_table(raw: RawTables, path: str, by_month: bool = False, **op
     return read_parquet(raw.sales.sparkSession, path)
 
 
+def update_training_table(raw: RawTables, path: str, **options) -> DataFrame:
+    """Write the months that occur in ``raw`` anew, leave the others as they are, and return the whole table. A run
+    that dies leaves the table as it was."""
+    write_partitions(training_table(raw, **options), path, "Mes")
+    return read_partitions(raw.sales.sparkSession, path)
+
+
 def customer_dataset(master: DataFrame, sales: DataFrame, family_report: DataFrame,
                      product_report: DataFrame, level: str = LEVEL_PRODUCT,
                      csv_path: str | None = None,

@@ -14,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",  # tables dealt by some of a join's keys meet in place
     "spark.sql.session.timeZone": "UTC",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
@@ -21,6 +22,7 @@ DEFAULTS = {
 
 _local_folders: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
+_kept: set[str] = set()
 
 
 def shuffle_settings(input_bytes: int, per_partition: int = 128 << 20) -> dict[str, str]:
@@ -79,16 +81,26 @@ def stage_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/salesflow/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A path for a staged table, which ``drop_staged`` will remove."""
+    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a durable table (lost executors only cost their own tasks),
     and gives Catalyst the real file size, so that later joins choose between
     broadcast and shuffle on a measured number instead of an estimate.
+
+    ``keep`` for a table that outlives the job which made it (a model's): it only goes when it is named.
     """
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = staged_path(spark, name)
+    if keep:
+        _kept.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -99,16 +111,17 @@ def staged(spark: SparkSession) -> list[str]:
 
 
 def drop_staged(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
-    """Remove staged tables (all by default), for a job whose result has been written.
+    """Remove staged tables (all but kept ones by default), for a job whose result has been written.
 
     Only folders written by ``stage`` in this application are touched.
     """
     own = _staged.get(spark.sparkContext.applicationId, [])
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in list(own) if paths is None else [p for p in paths if p in own]:
+    for path in [p for p in own if p not in _kept] if paths is None else [p for p in paths if p in own]:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
         own.remove(path)
+        _kept.discard(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

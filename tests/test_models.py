@@ -8,7 +8,7 @@ from salesflow.models import demand as d, recommend as m
 from salesflow.names import ENCODED, INDEXED, NUMERIC
 from salesflow.operators.ranking import catalogue, client_dimension
 from salesflow.plans import sales as plan
-from salesflow.session import stage
+from salesflow.session import drop_staged, stage, staged
 
 
 @pytest.fixture(scope="module")
@@ -106,7 +106,67 @@ def test_search_picks_from_the_grid(parts, monkeypatch):
     assert won["numTrees"] in (2, 3) and won["maxDepth"] in (2, 3)
     best = min(found.search, key=lambda tried: tried[1])[0]
     assert len(found.search) == 4 and won == {k: best[k] for k in won}
-    assert len(calls) == 1  # the feature stages, once for the whole search
+    assert len(calls) == 3  # the feature stages: once for each fold, without its rows, and once for the model
+    assert all(len(errors) == 2 and math.isclose(sum(errors) / 2, mean) for _, mean, errors in found.search)
+
+
+def test_nested_encodings_leave_held_out_rows_out(spark):
+    rows = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 1, 0, 2.0), ("a", 1, 1, 6.0), ("b", 0, 1, 10.0), (None, 1, 0, 5.0),
+                                  ("c", 0, 0, None)], "c string, o int, f int, y double")
+    got = {(r.held_out, r.label, r.fold): (r.n, r.value) for r in d.nested_encoding(
+        rows, ["c"], "y", F.col("o"), F.col("f"), 2, 2.0).collect()}
+    for held_out in (0, 1):
+        left = [r for r in rows.collect() if r.o != held_out and r.y is not None]
+        mean = sum(r.y for r in left) / len(left)
+        assert got.pop((held_out, None, -1)) == (len(left), mean)
+        for label in {r.c for r in rows.collect() if r.c and r.o != held_out}:
+            own = [r for r in left if r.c == label]
+            for fold in {-1, *(r.f for r in rows.collect() if r.c == label and r.o != held_out)}:
+                others = [r.y for r in own if r.f != fold]
+                n, value = got.pop((held_out, label, fold))
+                assert n == len(others) and math.isclose(value, (sum(others) + 2 * mean) / (len(others) + 2))
+    assert got == {}
+
+
+def test_search_errors_are_those_of_unseen_rows(spark):
+    """A target of pure noise with a client for every third row: an encoding that has seen the held-out rows would look
+    better than the overall mean, a nested one cannot."""
+    i = F.col("id")
+    rows = spark.range(2400).select(
+        F.concat(F.lit("C"), i % 800).alias("Cliente"), F.concat(F.lit("P"), i % 3).alias("Producto"),
+        F.lit("Z").alias("Nombre_Zona"), F.lit("R").alias("Region"), F.lit("OCT").alias("Mes"), F.lit(10).alias("Mes_Num"),
+        F.lit("1").alias("ID_Articulo"), *[F.lit(5.0).alias(c) for c in NUMERIC if c != "Mes_Num"],
+        F.pmod(F.xxhash64(i), F.lit(100)).cast("int").alias("Venta_Cajas"), F.pmod(F.xxhash64(i + 7), F.lit(3)).alias("k"))
+    frame = stage(d.with_log_target(rows), "noise")
+    model = d.tune(frame, trees=(5,), depths=(3,), folds=3, fold_col="k")
+    spread = frame.agg(F.stddev(d.LABEL)).first()[0]
+    assert all(e > 0.97 * spread for e in model.search[0][2])
+
+
+def test_saving_is_all_or_nothing(spark, model, parts, tmp_path, monkeypatch):
+    path, columns = str(tmp_path / "m"), ["Cliente", "Producto", "Precio_Caja", "prediction_final"]
+    model.save(path)
+    expected = values(model.transform(parts[1]).select(*columns))
+    other = d.calibrate(d.fit(parts[0], d.forest(trees=2, depth=2)), parts[0])
+    for broken in ("publish_state", "current_state"):
+        monkeypatch.setattr(d, broken, lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            other.save(path)
+        monkeypatch.undo()
+        assert values(d.load_model(spark, path).transform(parts[1]).select(*columns)) == expected
+    loaded = d.load_model(spark, path)
+    loaded.save(path)  # onto the tables it is read from
+    assert values(loaded.transform(parts[1]).select(*columns)) == expected
+    assert values(d.load_model(spark, path).transform(parts[1]).select(*columns)) == expected
+    assert len(d.drop_old_versions(spark, path)) == 2
+    assert values(d.load_model(spark, path).transform(parts[1]).select(*columns)) == expected
+
+
+def test_a_live_model_keeps_its_encodings(spark, parts):
+    model = d.fit(parts[0], d.forest(trees=2, depth=2))
+    drop_staged(spark, [p for p in staged(spark) if "/encodings-" not in p and "/model_rows" not in p])
+    table = spark.read.schema(model.encodings.schema).parquet(*[f for f in model.encodings.inputFiles()])
+    assert table.count() == model.encodings.count() > 0
 
 
 def naive_recommendation(model, table, products, client, n):
