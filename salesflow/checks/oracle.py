@@ -365,6 +365,14 @@ ORACLE = {
     "group_count": "SELECT event_type, count(*) AS \"count\" FROM events GROUP BY event_type",
     "file_drop_ingest": """
         SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events""",
+    "file_drop_once": """
+        SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events""",
+    "annual_totals_stored": _all("totals"),
+    "quantiles_stored": """
+        SELECT CAST(a AS INTEGER) AS desde, CAST(b AS INTEGER) AS hasta, count(*) AS filas, true AS dentro
+        FROM lineitem, (SELECT unnest([1, 2, 4, 1]) AS a, unnest([3, 2, 9, 12]) AS b)
+        WHERE month(l_shipdate) BETWEEN a AND b GROUP BY a, b""",
+    "outlier_trim_sketch": "SELECT count(*) AS filas, true AS dentro FROM lineitem",
     "csv_roundtrip": "SELECT * FROM documents",
     "json_roundtrip": "SELECT * FROM pages",
     "parquet_by_month": """
@@ -545,3 +553,4 @@ ORACLE = {
                      p_size * (1000 + (p_partkey % 7 - 2) * 5) AS nueva FROM part)""",
     "indexed_categories": _sql(_INDEXED, "enriched"),
 }
+ORACLE["customer_features_stored"] = ORACLE["customer_features"]

@@ -16,7 +16,7 @@ from salesflow.models import demand
 from salesflow.models.recommend import best_prices, discount_test, price_curve, recommend
 from salesflow.names import (ENCODED, GEO_TEXT, INDEXED, LEVEL_PRODUCT, MASTER_TEXT, NUMERIC,
                              REPORT_TEXT, SALES_METRICS)
-from salesflow.operators import aggregates, cleaning, enrich, ranking, renaming, reshape, scenarios
+from salesflow.operators import aggregates, cleaning, enrich, incremental, ranking, renaming, reshape, scenarios
 from salesflow.operators.joins import duplicate_keys, join_audit, lookup_join
 from salesflow.operators.ordering import category_index
 from salesflow.session import files_stamp, stage, stage_folder
@@ -24,7 +24,7 @@ from salesflow.plans import sales as sales_plan
 from salesflow.sources import (read_block_report, read_csv, read_json, read_parquet, write_csv, write_json,
                                write_parquet)
 from salesflow.sources.partitions import read_partitions, write_partitions
-from salesflow.streaming.ingest import ingest_drop, read_landed
+from salesflow.streaming.ingest import ingest_drop, ingest_once, read_landed
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -78,10 +78,10 @@ def ml_dataset(spark: SparkSession, sf: str, **layout) -> DataFrame:
 
 
 def ml_dataset_colocated(spark: SparkSession, sf: str) -> DataFrame:
-    """The training table with both contexts bucketed next to the sales, as beyond the broadcast threshold; zones with
-    more than a tenth of the rows of a month are cut into parts."""
+    """The training table with both contexts bucketed next to the sales, as beyond the broadcast threshold; a zone and
+    month with more than a 400th of all rows is cut into parts."""
     rows = roles.table(spark, sf, "lineitem").count()
-    return ml_dataset(spark, sf, limit=0, rows_per_bucket=max(1, rows // 600))
+    return ml_dataset(spark, sf, limit=0, rows_per_bucket=max(1, rows // 400))
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,6 +323,58 @@ def file_drop_ingest(spark, sf):
     return landed.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+def file_drop_once(spark, sf):
+    """The events dropped as CSV files, landed, dropped again under other names, and landed again after a restart."""
+    folder = _fresh_folder(spark, "drop")
+    events = roles.table(spark, sf, "events")
+    for _ in range(2):
+        write_csv(events, f"{folder}/in", ",", mode="append")
+        ingest_once(spark, f"{folder}/in", f"{folder}/out", events.schema, f"{folder}/checkpoint").awaitTermination()
+    landed = read_landed(spark, f"{folder}/out", events.schema)
+    return landed.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def customer_features_stored(spark, sf):
+    """Client features from states by month: eleven months, then the last one, then March delivered again."""
+    folder, sold = _fresh_folder(spark, "features"), _master_sales(spark, sf)
+    for months in ("`MES NUM` < 12", "`MES NUM` = 12", "`MES NUM` = 3"):
+        incremental.update_client_features(sold.where(months), folder)
+    return incremental.stored_client_features(spark, folder)
+
+
+def annual_totals_stored(spark, sf):
+    """Annual totals from states by month: a first delivery of some months, the whole later."""
+    folder, report = _fresh_folder(spark, "totals"), _reports(spark, sf)
+    incremental.update_annual_totals(report.where("Mes IN ('ENERO', 'MARZO', 'YTD_JUL')"), folder)
+    incremental.update_annual_totals(report.where("Mes <> 'ENERO'"), folder)
+    return incremental.stored_annual_totals(spark, folder)
+
+
+def quantiles_stored(spark, sf):
+    """99 % quantiles of ranges of months from one sketch a month: rows of the range, and whether the exact rank of the
+    value lies within twice the stated error."""
+    folder = _fresh_folder(spark, "sketches")
+    lines = roles.table(spark, sf, "lineitem").select("l_extendedprice", F.month("l_shipdate").alias("mes"))
+    incremental.update_sketches(lines.where("mes <= 9"), folder, "l_extendedprice", "mes")
+    incremental.update_sketches(lines.where("mes >= 9"), folder, "l_extendedprice", "mes")
+    ranges = [(1, 3), (2, 2), (4, 9), (1, 12)]
+    limits = [incremental.stored_quantile(spark, folder, 0.99, "mes", list(range(a, b + 1))) for a, b in ranges]
+    rows = F.inline(F.array(*[F.struct(F.lit(a).alias("desde"), F.lit(b).alias("hasta"), F.lit(q).alias("limite"))
+                              for (a, b), q in zip(ranges, limits)]))
+    share = F.avg((F.col("l_extendedprice") <= F.col("limite")).cast("double"))
+    return lines.select("l_extendedprice", "mes", rows).where(F.col("mes").between(F.col("desde"), F.col("hasta"))).groupBy(
+        "desde", "hasta").agg(F.count("*").alias("filas"),
+                              (F.abs(share - 0.99) <= 2 * incremental.rank_error() + 1 / F.count("*")).alias("dentro"))
+
+
+def outlier_trim_sketch(spark, sf):
+    """The default way of the trim: rows before, and whether the rows left are those below the 99 % quantile but for its accuracy."""
+    lines = roles.table(spark, sf, "lineitem")
+    left = cleaning.trim_outliers(lines, "l_extendedprice", 0.99).agg(F.count("*")).first()[0]
+    return lines.agg(F.count("*").alias("filas"), F.abs(F.lit(left) - F.count("*") * F.lit(0.99)).between(
+        0, F.count("*") * F.lit(2e-4) + 1).alias("dentro"))
+
+
 def csv_roundtrip(spark, sf):
     """The documents, with all their quotes, separators and line breaks, as CSV and back."""
     folder, docs = _fresh_folder(spark, "csv"), roles.table(spark, sf, "documents")
@@ -821,4 +873,9 @@ QUERIES = {
     "catalogue_without_model": catalogue_without_model,
     "importance_ranks": importance_ranks,
     "wide_report_file": wide_report_file,
+    "file_drop_once": file_drop_once,
+    "customer_features_stored": customer_features_stored,
+    "annual_totals_stored": annual_totals_stored,
+    "quantiles_stored": quantiles_stored,
+    "outlier_trim_sketch": outlier_trim_sketch,
 }

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from salesflow.functions import exact_sum, family_key, month_code
 from salesflow.names import SALES_METRICS, SALES_TEXT, month_headers
 from salesflow.operators.cleaning import clean_dataset
 from salesflow.operators.joins import lookup_join
+from salesflow.session import files_stamp
 from salesflow.sources import read_parquet
 
 SELLER = "Línea - "
@@ -15,9 +17,16 @@ PRIOR_YEAR, CURRENT_YEAR = 2000, 2001
 TARGET_GROWTH = 1.1
 
 
+_schemas: dict[tuple, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table."""
-    return read_parquet(spark, f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from the files once for each state of them, not at every use."""
+    path = f"{sf}/{name}.parquet"
+    key = (path, files_stamp(spark, path))
+    if key not in _schemas:
+        _schemas[key] = read_parquet(spark, path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def year_of(year: int) -> Column:

@@ -12,7 +12,7 @@ from salesflow.operators.colocated import lookup_joins
 from salesflow.operators.joins import lookup_join
 from salesflow.operators.renaming import standardise
 from salesflow.operators.reshape import unpivot_months
-from salesflow.session import stage
+from salesflow.session import stage_all
 
 
 def sales_facts(sales: DataFrame) -> DataFrame:
@@ -156,8 +156,9 @@ def with_contexts(sales: DataFrame, zone: DataFrame, family: DataFrame, product:
     """``with_zone_context``, then ``with_family_context``, with one exchange of the sales at most (see ``lookup_joins``, which
     gets ``layout``): both contexts are joined by zone and month, next to product or family."""
     by = ["zone_code_join", "_month"]
-    lookups = [(stage(zone_lookup(zone), "zone_context"), [*by, "_product"]),
-               (stage(family_lookup(family).withColumnRenamed("Mes_Corto", "_month"), "family_context"), [*by, "Family_Join_Key"])]
+    zones, families = stage_all((zone_lookup(zone), "zone_context"), (
+        family_lookup(family).withColumnRenamed("Mes_Corto", "_month"), "family_context"))
+    lookups = [(zones, [*by, "_product"]), (families, [*by, "Family_Join_Key"])]
     keyed = sales.withColumns({"_product": F.col(product), "_month": F.col("Mes"), "Family_Join_Key": family_key("Producto")})
     joined = lookup_joins(keyed, lookups, by, **layout).drop("_product", "_month", "Family_Join_Key")
     filled = _with_prior_price(fill_nulls(joined, 0, FAMILY_CONTEXT))

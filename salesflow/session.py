@@ -6,6 +6,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,6 +106,12 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(*tables: tuple[DataFrame, str]) -> list[DataFrame]:
+    """``stage`` for (table, name) pairs that do not need each other, at once: their small tasks share the cluster."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda table: stage(*table), tables))
+
+
 def staged(spark: SparkSession) -> list[str]:
     """Folders that ``stage`` has written in this application and that still lie there."""
     return list(_staged.get(spark.sparkContext.applicationId, ()))

@@ -52,6 +52,44 @@ def ingest_drop(spark: SparkSession, source: str, target: str, schema: StructTyp
     return writer.trigger(availableNow=True).start()
 
 
+def ingest_once(spark: SparkSession, source: str, target: str, schema: StructType | str, checkpoint: str,
+                pattern: str = "*.csv", sep: str = ",", remember: str = "30 days", files_per_batch: int | None = None,
+                continuous_every: str | None = None, encoding: str = "UTF-8") -> StreamingQuery:
+    """``ingest_drop`` for drops that may be repeated: a file with the content of one seen within ``remember``, under
+    whatever name, lands nothing.
+
+    The stream's state keeps a hash of every file's content until it was seen ``remember`` ago by the cluster's clock (files'
+    own times do not matter, so none is too late). It lies in the checkpoint and survives a restart. A file is
+    one row here: it must fit a task and have no line breaks inside quotes. Its header must name the columns of ``schema`` in their
+    order, else the query stops. Files without any row land nothing. Sources stay where they are.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    with_bad = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    whole = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(whole).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.load(source).select("path", F.sha2("content", 256).alias("hash"), "content",
+                                       F.current_timestamp().alias("seen"))
+    fresh = files.withWatermark("seen", remember).dropDuplicatesWithinWatermark(["hash"])
+    lines = fresh.select("path", F.split(F.decode("content", encoding), "\r?\n").alias("lines"))
+    header = sep.join(schema.names)
+    wrong = F.raise_error(F.concat(F.lit(f"the header is not {header}: "), "path"))
+    rows = F.when(F.replace(F.get("lines", F.lit(0)), F.lit('"'), F.lit("")) == header,
+                  F.slice("lines", F.lit(2), F.size("lines"))).when(
+        F.size("lines") > 1, wrong.cast("array<string>")).otherwise(F.array().cast("array<string>"))
+    options = {**CSV_TEXT, **TIMES, "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.select(F.explode(rows).alias("line")).where("line <> ''").select(
+        F.from_csv("line", with_bad.toDDL(), options).alias("row")).select("row.*")
+    state = F.when(F.col(CORRUPT).isNull(), LANDED).otherwise(QUARANTINE)
+    writer = (parsed.withColumn(STATE, state).withColumnRenamed(CORRUPT, BAD_ROW).writeStream.format("json").options(**TIMES)
+              .partitionBy(STATE).outputMode("append").option("path", target).option("checkpointLocation", checkpoint))
+    if continuous_every:
+        return writer.trigger(processingTime=continuous_every).start()
+    return writer.trigger(availableNow=True).start()
+
+
 def read_landed(spark: SparkSession, target: str, schema: StructType | str) -> DataFrame:
     """The good rows, in the columns of ``schema``."""
     if isinstance(schema, str):

@@ -2,6 +2,7 @@ import pytest
 
 from conftest import values
 from salesflow.operators.aggregates import group_count
+from salesflow.streaming import ingest
 from salesflow.streaming.ingest import ingest_drop, read_landed, read_quarantine
 
 SCHEMA = "id int, name string, age int, city string"
@@ -67,3 +68,32 @@ def test_no_source_goes_before_its_rows_have_landed(spark, tmp_path):
         run()
     assert (source / "b.csv").exists()
     assert read_landed(spark, str(target), SCHEMA).count() == 1
+
+
+def test_the_same_content_lands_once(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+
+    def drop(name, *lines):
+        (tmp_path / "in" / name).write_text("\n".join(["id,name", *lines, ""]))
+        ingest.ingest_once(spark, source, target, "id bigint, name string", checkpoint).awaitTermination()
+        return sorted((r.id, r.name) for r in ingest.read_landed(spark, target, "id bigint, name string").collect())
+
+    assert drop("a.csv", "1,x", '2,"y, z"') == [(1, "x"), (2, "y, z")]
+    assert drop("b.csv", "1,x", '2,"y, z"') == [(1, "x"), (2, "y, z")]  # after a restart, under another name
+    assert drop("c.csv", "1,x", "no number,3", "4") == [(1, "x"), (1, "x"), (2, "y, z")]  # other content: its rows count
+    assert sorted(r.fila for r in ingest.read_quarantine(spark, target).collect()) == ["4", "no number,3"]
+    assert drop("empty.csv") == [(1, "x"), (1, "x"), (2, "y, z")]
+    (tmp_path / "in" / "wrong.csv").write_text("name,id\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        ingest.ingest_once(spark, source, target, "id bigint, name string", checkpoint).awaitTermination()
+
+
+def test_content_is_forgotten_in_time(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"{k}.csv").write_text("id\n1\n" if k != 1 else "id\n2\n")
+        ingest.ingest_once(spark, source, target, "id bigint", checkpoint, remember="0 seconds").awaitTermination()
+    landed = sorted(r.id for r in ingest.read_landed(spark, target, "id bigint").collect())
+    assert landed[0] == 1 and landed[-1] == 2 and len(landed) >= 3
