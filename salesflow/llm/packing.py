@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from salesflow.llm.ship import ship_package
-from salesflow.llm.words import slices, text_bytes
+from salesflow.llm.words import Words, slices, text_bytes
 from salesflow.session import stage
 
-KNOWN_WORDS = 750_000  # some 200 bytes each
+KNOWN_WORDS = 200_000  # some 200 bytes each
 LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # one code point each in every normal form and case
 WORD_PATTERN = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -61,8 +61,10 @@ def splits_words(tokenizer: Tokenizer) -> bool:
 class TextTokenizer:
     """A tokenizer applied to whole texts, or word by word where that is the same.
 
-    Words recur: the ids of up to ``KNOWN_WORDS`` of them are kept. Words of letters, with a comma or
-    full stop at most, go straight to the tokenizer's model; the others take the whole way.
+    Words recur, in a slice of texts and later: each is looked up once a slice, and words met lately are
+    kept in two generations of ``KNOWN_WORDS`` at least. A word that does not return goes with its generation. Words
+    of letters, with a comma or full stop at most, go straight to the tokenizer's model; the others
+    take the whole way. Words of a slice are told apart by 64-bit hashes and their lengths.
     """
 
     def __init__(self, path: str):
@@ -70,50 +72,85 @@ class TextTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.by_word = splits_words(self.tokenizer)
-        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tails = {mark: self._whole(mark) for mark in (b",", b".")} if self.by_word else {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if not self.by_word:
-            return [self._whole(text) for text in texts]
-        words = [t.split() for t in texts]
-        seen = set().union(*words)
-        fresh = seen.difference(self.known)
-        if len(self.known) + len(fresh) > KNOWN_WORDS:
-            self.known.clear()
-            fresh = seen
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has."""
+        words = Words(texts) if self.by_word else None
+        if words is not None:
+            _, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+            lengths = words.ends - words.starts
+        if words is None or (lengths[first][place] != lengths).any():
+            data, at = text_bytes(texts)
+            own = [self._whole(data[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
+            return _numbers(own), np.array([len(x) // 4 for x in own], np.int64)
+        raw = words.data.tobytes()
+        own = self._known([raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)])
+        sizes = np.array([len(x) // 4 for x in own], np.int64)
+        counts = sizes[place]
+        upto = np.cumsum(counts)
+        at = np.arange(upto[-1] if len(upto) else 0) + np.repeat((np.cumsum(sizes) - sizes)[place] - (upto - counts), counts)
+        ends = np.concatenate([[0], upto])[words.offsets]
+        return _numbers(own)[at], np.diff(ends)
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.recent) > KNOWN_WORDS:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        fresh = [w for w in words if w not in recent]
+        new = []
         for word in fresh:
-            self.known[word] = self._word(word)
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                recent[word] = ids
+        self._learn(new)
+        return [recent[w] for w in words]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Put words that were not met lately into ``recent``: those of letters one by one, the others at once."""
+        recent, other = self.recent, []
+        for word in words:
+            tail = self.tails.get(word[-1:], b"")
+            stem = word[:-1] if tail else word
+            if stem.isalpha():  # of bytes: ASCII letters
+                stem = stem.lower()
+                text = stem.decode()
+            elif LETTERS(letters := stem.decode()):
+                stem = letters.lower().encode()
+                text = stem.decode("latin-1").translate(BYTE_CHARACTERS)
+            else:
+                other.append(word)
+                continue
+            ids = recent.get(stem)
+            if ids is None:
+                ids = recent[stem] = _packed([t.id for t in self.model.tokenize(text)])
+            recent[word] = ids + tail
+        for at in range(0, len(other), 5000):
+            some = other[at:at + 5000]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False),
+                                   strict=True):
+                recent[word] = _packed(found.ids)
 
     def _whole(self, text: bytes) -> bytes:
         return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
 
-    def _word(self, word: bytes) -> bytes:
-        tail = self.tails.get(word[-1:], b"")
-        stem = word[:-1] if tail else word
-        if stem.isalpha():  # of bytes: ASCII letters
-            stem = stem.lower()
-            text = stem.decode()
-        elif LETTERS(letters := stem.decode()):
-            stem = letters.lower().encode()
-            text = stem.decode("latin-1").translate(BYTE_CHARACTERS)
-        else:
-            return self._whole(word)
-        ids = self.known.get(stem)
-        if ids is None:
-            ids = self.known[stem] = _packed([t.id for t in self.model.tokenize(text)])
-        return ids + tail
-
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _numbers(ids: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(ids), "<u4")
+
+
 @lru_cache(maxsize=1)
 def text_tokenizer(path: str) -> TextTokenizer:
-    """One for all tasks of a Python worker, so that later tasks find the words of earlier ones."""
+    """One for all tasks of a Python worker, so that later tasks find the words of earlier ones: some 80 MB of words at most."""
     return TextTokenizer(path)
 
 
@@ -127,20 +164,19 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Tokens of every row of ``docs`` (``doc_id``, ``text``), ``end_id`` last, as a written table
     ``TOKENS``: the task that made a row, and the tokens that the task made before it."""
     ship_package(docs.sparkSession)
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, upto, coder = TaskContext.get().partitionId(), 0, text_tokenizer(tokenizer)
         for batch in batches:
             for rows in slices(batch):
-                data, at = text_bytes(rows.column("text"))
-                data = data.tobytes()
-                ids = [x + end for x in coder.encode([data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])]
-                sums = upto + np.cumsum([0, *(len(x) // 4 for x in ids)])
-                upto = sums[-1]
+                own, counts = coder.encode(rows.column("text"))
+                ends = np.concatenate([[0], np.cumsum(counts + 1)])
+                ids = np.full(ends[-1], end_id, np.uint32)
+                ids[np.arange(len(own)) + np.repeat(np.arange(len(counts)), counts)] = own
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int32)), pa.array(sums[:-1]),
-                     rows.column("doc_id"), _list_array(ids)], names=["part", "part_offset", "doc_id", "ids"])
+                    [pa.array(np.full(len(counts), part, np.int32)), pa.array(upto + ends[:-1]),
+                     rows.column("doc_id"), lists], names=["part", "part_offset", "doc_id", "ids"])
+                upto += int(ends[-1])
 
     return stage(docs.select("doc_id", "text").mapInArrow(run, TOKENS), "tokens")
 
@@ -176,7 +212,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = 4096) -
     after), ``ids``. Every id of every row lies in one piece; sequences have no gap, and only the
     last is shorter than ``length``.
 
-    A null text counts as empty and leaves its end id; a null ``doc_id`` stays null; repeated rows are
+    A text of any length is one row of one task, which tokenizes it whole. A null text counts as empty and leaves its end id; a null ``doc_id`` stays null; repeated rows are
     repeated documents; an empty table gives no pieces; other columns are ignored.
     """
     tokens = token_table(docs, tokenizer, end_id)
