@@ -18,9 +18,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from salesflow.llm.components import components
+from salesflow.llm.components import merge_components
 from salesflow.llm.ship import ship_package
 from salesflow.llm.words import Words, mix, slices, window_hashes
 from salesflow.session import drop_staged, stage, staged
@@ -200,6 +200,12 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
     return verify
 
 
+def labels_paths(spark: SparkSession, labels: DataFrame) -> list[str]:
+    """The staged folders that ``labels`` is read from."""
+    files = labels.inputFiles()
+    return [path for path in staged(spark) if any(path in f for f in files)]
+
+
 def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int,
                pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame | None:
     """Components (``node``, ``component``) of the vertices in ``lists``; None if nothing is linked.
@@ -208,7 +214,7 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     every open list are compared with its others and leave it: one at first, then twice as many in every
     round, so rounds grow with the logarithm of a list."""
     spark = lists.sparkSession
-    edges, labels, centres, all_rows = None, None, 1, lists.count()
+    labels, centres, all_rows = None, 1, lists.count()
     kept, last_round = set(staged(spark)), set()
     while True:
         if labels is None:
@@ -242,11 +248,9 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
             (F.col("x.component") != F.col("y.component")) & fits).select(
             F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b")).distinct()
         found = stage(verify(pairs), "links")
-        kept.add(staged(spark)[-1])
-        edges = found if edges is None else edges.unionByName(found)
-        if not edges.isEmpty():
-            labels = components(edges)
-            kept.add(staged(spark)[-1])
+        labels = merge_components(labels, found)
+        if labels is not None:
+            kept.update(labels_paths(spark, labels))
         last_round = set(staged(spark)) - kept
         if last:
             return labels

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesflow.llm import decontaminate, jaccard_join, licenses, line_dedup, packing, quality, substrings, words
-from salesflow.llm.components import components
+from salesflow.llm.components import components, merge_components
 from salesflow.llm.queries import TOKENIZER
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -453,3 +453,20 @@ def test_matches_equal_search_of_everything(spark, documents):
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted((r for r in rows if r not in dirty), key=str)
     assert decontaminate.find_matches(df, benchmark.where("false")).count() == 0
     assert decontaminate.drop_contaminated(df, benchmark.where("false")).count() == len(rows)
+
+
+def test_components_grow_by_more_edges(spark):
+    rng = random.Random(9)
+    labels, links = None, []
+    for _ in range(4):
+        fresh = [(rng.randrange(60), rng.randrange(60)) for _ in range(15)]
+        links += fresh
+        labels = merge_components(labels, spark.createDataFrame(fresh, "a bigint, b bigint"))
+        label = {n: n for pair in links for n in pair}
+        for _ in label:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        got = {r.node: r.component for r in labels.collect()}
+        alone = {n for pair in links for n in pair} - set(got)
+        assert {**got, **{n: n for n in alone}} == label
+    assert merge_components(None, spark.createDataFrame([(1, 1)], "a bigint, b bigint")) is None
