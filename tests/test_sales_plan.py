@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,19 @@ def test_customer_dataset(spark, raw, tmp_path):
     assert complete.filter("Producto = 'GOTA'").first().Venta_Total_Anual is None
     back = read_csv(spark, str(tmp_path / "csv"), sep=";")
     assert back.count() == 4 and back.inputFiles().__len__() == 1
+
+
+def test_months_are_updated_alone(spark, raw, table, tmp_path):
+    path = str(tmp_path / "t")
+    assert values(plan.update_training_table(raw, path).select(*table.columns)) == values(table)
+    january = replace(raw, sales=raw.sales.where("MES = 'Ene' OR MES = 'ENE'").withColumn("CANTIDAD", F.lit("1")))
+    got = plan.update_training_table(january, path)
+    others = table.where("Mes <> 'ENE'")
+    assert values(got.where("Mes <> 'ENE'").select(*table.columns)) == values(others)
+    changed = got.where("Mes = 'ENE'")
+    assert changed.count() > 0 and changed.where("Venta_Cajas <> 1").count() == 0
+
+
+def test_contexts_side_by_side_give_the_same_table(raw, table):
+    got = plan.training_table(raw, limit=-1, rows_per_bucket=1)
+    assert values(got.select(*table.columns)) == values(table)
