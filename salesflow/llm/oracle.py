@@ -59,6 +59,7 @@ FROM numbered GROUP BY conv_id
 _TEMPLATE_ROWS = ", ".join(
     f"('{label}', {sorted(set(text.split()))!r}, {needed(len(set(text.split())), THRESHOLD)})"
     for label, text in TEMPLATES)
+_REACH = max(len(text.split()) for _, text in TEMPLATES) - 1  # words of a block beyond its line
 _PHRASE_ROWS = ", ".join(f"({text.split()!r}, '{label}')" for text, label in PHRASES)
 _WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -77,12 +78,14 @@ places AS (
 base AS (
   SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
          list(DISTINCT label) AS labels FROM places GROUP BY r),
-lines AS (
-  SELECT r, regexp_extract_all(line, '{_WORD}') AS words
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM lowered)),
+counted AS (
+  SELECT r, i, len(regexp_extract_all(string_split(text, chr(10))[i], '{_WORD}')) AS n
+  FROM lowered, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i)),
+begun AS (SELECT r, n, sum(n) OVER (PARTITION BY r ORDER BY i) - n AS start FROM counted WHERE n > 0),
+blocks AS (SELECT r, words[start + 1:start + n + {_REACH}] AS words FROM begun JOIN worded USING (r)),
 met AS (
   SELECT r, max(len(list_intersect(l.words, t.words)) / len(t.words)) AS score, list(DISTINCT label) AS labels
-  FROM lines l, templates t WHERE len(list_intersect(l.words, t.words)) >= t.least GROUP BY r)
+  FROM blocks l, templates t WHERE len(list_intersect(l.words, t.words)) >= t.least GROUP BY r)
 SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(
@@ -92,24 +95,20 @@ FROM worded w LEFT JOIN base USING (r) LEFT JOIN met USING (r)
 """
 
 ORACLE["op6_line_dedup"] = """
-WITH lines AS (
-  SELECT doc_id, i, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n
-  FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i)),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
-ends AS (
-  SELECT *, i = n OR coalesce((lag(h, 2) OVER w * 1009 * 1009 + lag(h) OVER w * 1009 + h) % 3 = 0, false) AS is_end
-  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 numbered AS (
-  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY i
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
-chunks AS (
-  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM numbered GROUP BY doc_id, chunk HAVING count(*) FILTER (trim(line) <> '') >= 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) AS place FROM chunks),
+  SELECT doc_id, i, lines[i] AS line FROM split, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
+spans AS (
+  SELECT doc_id, i AS first, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS last
+  FROM numbered WHERE trim(line) <> ''),
+ranked AS (
+  SELECT doc_id, first, last,
+         row_number() OVER (PARTITION BY array_to_string(lines[first:last], chr(10)) ORDER BY doc_id, first) AS place
+  FROM spans JOIN split USING (doc_id) WHERE last IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM ranked WHERE place > 1),
 kept AS (
-  SELECT n.doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS lines
-  FROM numbered n WHERE NOT EXISTS (SELECT 1 FROM ranked r WHERE r.doc_id = n.doc_id AND r.chunk = n.chunk
-                                    AND r.place > 1) GROUP BY n.doc_id)
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS lines
+  FROM numbered n ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        coalesce(len(string_split(d.text, chr(10))) - coalesce(k.lines, 0), 0)::BIGINT AS n_removed_lines
 FROM documents d LEFT JOIN kept k USING (doc_id)

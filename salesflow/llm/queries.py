@@ -50,14 +50,14 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    """License phrases and templates in every document."""
-    return licenses.scan_licenses(table(spark, folder, "documents"))
+    """License phrases, and templates across line ends, in every document."""
+    return licenses.scan_licenses(table(spark, folder, "documents"), wrapped=True)
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the line chunks that an earlier document has."""
+    """Every document without the passages of two lines or more that stand earlier."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.remove_repeated_lines(docs, removed="n_removed_lines")
+    return line_dedup.remove_repeated_lines(docs, removed="n_removed_lines", passages=True)
 
 
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
