@@ -439,6 +439,9 @@ ORACLE = {
     "price_curve_check": _sql("""
         SELECT "Cliente", CAST(13 AS BIGINT) AS escenarios, CAST(13 AS BIGINT) AS ajustes, CAST(-30 AS BIGINT) AS desde,
                CAST(30 AS BIGINT) AS hasta, CAST(13 AS BIGINT) AS precios_bien FROM clients""", "clients"),
+    "best_price_exact_check": _sql("""
+        SELECT "Cliente", CAST(1 AS BIGINT) AS filas, CAST(61 AS BIGINT) AS pasos, CAST(1 AS BIGINT) AS en_rango,
+               CAST(1 AS BIGINT) AS ingresos_bien, CAST(1 AS BIGINT) AS no_menos FROM clients""", "clients"),
     "discount_check": _sql("""
         SELECT "Cliente", CAST(1 AS BIGINT) AS filas, CAST(1 AS BIGINT) AS bien FROM clients""", "clients"),
     "calibration_check": _sql("""

@@ -13,7 +13,7 @@ from salesflow.functions import (elasticity_class, exact_sum, family_key, invers
                                  month_code, month_number, normalise_text, piece_price, pieces,
                                  unit_price, zone_code)
 from salesflow.models import demand
-from salesflow.models.recommend import best_prices, discount_test, price_curve, recommend
+from salesflow.models.recommend import best_exact_prices, best_prices, discount_test, exact_price, price_curve, recommend
 from salesflow.names import (ENCODED, GEO_TEXT, INDEXED, LEVEL_PRODUCT, MASTER_TEXT, NUMERIC,
                              REPORT_TEXT, SALES_METRICS)
 from salesflow.operators import aggregates, cleaning, enrich, incremental, ranking, renaming, reshape, scenarios
@@ -695,6 +695,11 @@ def best_price_model(spark, sf):
     return best_prices(model, _clients(spark, sf), _products(spark, sf))
 
 
+def best_price_exact(spark, sf):
+    model, _ = _model(spark, sf)
+    return best_exact_prices(model, _clients(spark, sf), _products(spark, sf))
+
+
 def price_curve_model(spark, sf):
     model, _ = _model(spark, sf)
     top = recommend(model, _clients(spark, sf), _products(spark, sf), n=1)
@@ -730,6 +735,21 @@ def recommend_check(spark, sf):
         F.count_if(income).alias("ingresos_bien"))
 
 
+def best_price_exact_check(spark, sf):
+    """Every client's exact best price lies in its range, brings the income of its demand, and no whole per cent of
+    change brings more."""
+    model, _ = _model(spark, sf)
+    top = stage(recommend(model, _clients(spark, sf), _products(spark, sf), n=1), "first_choices")
+    steps = price_curve(model, top, step=1).groupBy("Cliente").agg(
+        F.count("*").alias("pasos"), F.max("ingreso_estimado").alias("mejor_paso"))
+    income, price = F.col("ingreso_optimo"), F.col("precio_optimo")
+    inside = (price >= F.col("precio_base") * 0.7 - 1e-9) & (price <= F.col("precio_base") * 1.3 + 1e-9)
+    return exact_price(model, top).join(steps, "Cliente", "left").groupBy("Cliente").agg(
+        F.count("*").alias("filas"), F.max("pasos").alias("pasos"), F.count_if(inside).alias("en_rango"),
+        F.count_if(_close(income, price * F.col("demanda_optima"))).alias("ingresos_bien"),
+        F.count_if((income >= F.col("mejor_paso")) | _close(income, F.col("mejor_paso"))).alias("no_menos"))
+
+
 def price_curve_check(spark, sf):
     """Every client has every price change once, at the price it stands for."""
     right = _close(F.col("Precio_Caja") * 100, F.col("precio_base") * (F.col("ajuste") + 100))
@@ -845,6 +865,8 @@ QUERIES = {
     "feature_importance": feature_importance,
     "recommend_top_n": recommend_top_n,
     "best_price_model": best_price_model,
+    "best_price_exact": best_price_exact,
+    "best_price_exact_check": best_price_exact_check,
     "price_curve_model": price_curve_model,
     "discount_test_model": discount_test_model,
     "recommend_check": recommend_check,

@@ -7,6 +7,7 @@ kept as a table and looked up by label. Which column is treated how depends on i
 
 from __future__ import annotations
 
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -291,6 +292,14 @@ def forest_of(model: DemandModel) -> RandomForestRegressionModel:
     return next(s for s in model.stages if isinstance(s, RandomForestRegressionModel))
 
 
+def split_points(model: DemandModel, feature: str) -> list[float]:
+    """The values of a numeric ``feature`` at which any tree branches, in rising order; rows at a value go with the
+    smaller ones. At most one a bin of the training data, and none for a feature that no tree uses."""
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    branch = re.compile(rf"If \(feature {inputs.index(feature)} <= ([^)]+)\)")
+    return sorted(set(map(float, branch.findall(forest_of(model).toDebugString))))
+
+
 def winning_parameters(model: DemandModel) -> dict[str, int]:
     trees = forest_of(model)
     return {"numTrees": trees.getNumTrees, "maxDepth": trees.getOrDefault("maxDepth")}

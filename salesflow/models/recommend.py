@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from salesflow.functions import change_pct, elasticity_class
-from salesflow.models.demand import DemandModel
+from salesflow.models.demand import DemandModel, split_points
 from salesflow.names import NUMERIC
 from salesflow.operators.ranking import top_n_per_client
 from salesflow.operators.scenarios import (best_price, candidate_grid, discount_scenario,
-                                           price_scenarios, with_revenue)
+                                           price_scenarios, split_scenarios, with_revenue)
 
 FEATURES = ["Cliente", "Region", "Nombre_Zona", "Producto", "ID_Articulo", "Mes", *NUMERIC]
 PREDICTIONS = ["prediction_final", "prediction_piezas"]
@@ -31,15 +31,28 @@ def recommend(model: DemandModel | None, clients: DataFrame, products: DataFrame
     return with_revenue(top_n_per_client(_score(model, candidate_grid(clients, products, month)), n))
 
 
+PRICED = ["Cliente", "Region", "Nombre_Zona", "Producto", "precio_base"]
+
+
+def _best_of(model: DemandModel, scenarios: DataFrame) -> DataFrame:
+    scored = model.transform(scenarios).select(*PRICED, "ajuste", "Precio_Caja", "prediction_final")
+    return best_price(with_revenue(scored), PRICED)
+
+
 def optimise_price(model: DemandModel, top: DataFrame, low: int = -30, high: int = 30,
                    step: int = 5) -> DataFrame:
-    """Best price change for each (client, product) row of ``top``."""
-    scenarios = price_scenarios(top.select(*FEATURES), low, high, step)
-    scored = model.transform(scenarios).select(
-        "Cliente", "Region", "Nombre_Zona", "Producto", "precio_base", "ajuste", "Precio_Caja",
-        "prediction_final")
-    return best_price(with_revenue(scored),
-                      ["Cliente", "Region", "Nombre_Zona", "Producto", "precio_base"])
+    """Best price change for each (client, product) row of ``top``, of whole steps."""
+    return _best_of(model, price_scenarios(top.select(*FEATURES), low, high, step))
+
+
+def exact_price(model: DemandModel, top: DataFrame, low: int = -30, high: int = 30) -> DataFrame:
+    """The price from ``low`` to ``high`` per cent of its own with the highest predicted income for each (client,
+    product) row of ``top``: columns as of ``optimise_price``, never less income than any step gives.
+
+    A forest's demand is constant between the prices it branches at, so only those are scored: as many rows as
+    branches lie in the row's range, one a training bin at most.
+    """
+    return _best_of(model, split_scenarios(top.select(*FEATURES), split_points(model, "Precio_Caja"), low, high))
 
 
 def price_curve(model: DemandModel, top: DataFrame, **steps: int) -> DataFrame:
@@ -55,6 +68,12 @@ def best_prices(model: DemandModel, clients: DataFrame, products: DataFrame,
     return optimise_price(model, recommend(model, clients, products, month, n=1), **steps)
 
 
+def best_exact_prices(model: DemandModel, clients: DataFrame, products: DataFrame,
+                      month: str = "OCT", low: int = -30, high: int = 30) -> DataFrame:
+    """As ``best_prices``, over every price in the range."""
+    return exact_price(model, recommend(model, clients, products, month, n=1), low, high)
+
+
 def discount_test(model: DemandModel, top: DataFrame, pct: int = -10) -> DataFrame:
     """Predicted boxes of each (client, product) row of ``top`` at its price and at the changed one, the
     change in per cent, and how elastic that makes the demand."""

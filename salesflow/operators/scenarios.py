@@ -33,6 +33,23 @@ def price_scenarios(top: DataFrame, low: int = -30, high: int = 30, step: int =
             .withColumn(price, scenario_price("precio_base", "ajuste")))
 
 
+def split_scenarios(top: DataFrame, points: list[float], low: int = -30, high: int = 30,
+                    price: str = "Precio_Caja") -> DataFrame:
+    """One row per price that can bring the highest income where demand only changes at ``points`` (and a price at a
+    point belongs to the piece below it).
+
+    Within a piece income rises with the price, so its right end is its best: those points that lie
+    from ``low`` to ``high`` per cent of the row's own price, and the price at ``high`` itself. The price before and
+    the one at ``low`` are rows too. ``ajuste`` is the change in per cent, not whole. A null price stays
+    one row, so does zero.
+    """
+    base, first, last = F.col("precio_base"), scenario_price("precio_base", F.lit(low)), scenario_price("precio_base", F.lit(high))
+    inside = F.filter(F.array(*map(F.lit, points)).cast("array<double>"), lambda p: (p > first) & (p < last))
+    prices = F.array_distinct(F.concat(F.array(base, first, last), F.coalesce(inside, F.array().cast("array<double>"))))
+    return (top.withColumn("precio_base", F.col(price).cast("double")).withColumn(price, F.explode(prices))
+            .withColumn("ajuste", F.coalesce(change_pct("precio_base", price), F.lit(0.0))))
+
+
 def discount_scenario(top: DataFrame, pct: int = -10, price: str = "Precio_Caja") -> DataFrame:
     """The single-step variant: the same products at one changed price."""
     return price_scenarios(top, pct, pct, 1, price)

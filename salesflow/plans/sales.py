@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesflow.models import demand
 from salesflow.models.demand import DemandModel, load_model_or_none
-from salesflow.models.recommend import best_prices, recommend
+from salesflow.models.recommend import best_exact_prices, best_prices, recommend
 from salesflow.names import (GEO_TEXT, LEVEL_PRODUCT, MASTER_TEXT, REPORT_TEXT, SALES_METRICS,
                              SALES_TEXT)
 from salesflow.operators.aggregates import annual_totals, customer_features
@@ -136,7 +136,8 @@ def recommendations(table: DataFrame, model_path: str, month: str = "OCT", n: in
     return recommend(load_model_or_none(table.sparkSession, model_path), clients, products, month, n)
 
 
-def prices(table: DataFrame, model: DemandModel, month: str = "OCT", k: int = 50) -> DataFrame:
-    """Best price of every client's first recommendation."""
+def prices(table: DataFrame, model: DemandModel, month: str = "OCT", k: int = 50, exact: bool = False) -> DataFrame:
+    """Best price of every client's first recommendation: of steps of 5 per cent, or ``exact``ly of all."""
     products = stage(catalogue(table, k), "catalogue")
-    return best_prices(model, stage(client_dimension(table), "clients"), products, month)
+    best = best_exact_prices if exact else best_prices
+    return best(model, stage(client_dimension(table), "clients"), products, month)

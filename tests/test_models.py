@@ -206,6 +206,31 @@ def test_best_prices_match_the_curve(model, table):
         assert row.ingreso_base == next(c.ingreso_estimado for c in mine if c.ajuste == 0)
 
 
+def test_exact_prices_beat_every_step(spark, model, table):
+    products = stage(catalogue(table, 4), "products")
+    top = stage(m.recommend(model, client_dimension(table), products, n=1), "first")
+    points = d.split_points(model, "Precio_Caja")
+    assert points == sorted(set(points)) and len(points) > 3
+    best = {r.Cliente: r for r in m.exact_price(model, top).collect()}
+    assert len(best) == 40 and best.keys() == {r.Cliente for r in top.collect()}
+    # a fine grid of prices, scored one by one, and every piece's right end
+    grid = top.withColumn("precio_base", F.col("Precio_Caja")).withColumn(
+        "ajuste", F.explode(F.sequence(F.lit(-3000), F.lit(3000), F.lit(20)))).withColumn(
+        "Precio_Caja", F.col("precio_base") * (F.col("ajuste") + 10000) / 10000).drop(*m.PREDICTIONS, "ingreso_estimado")
+    scored = model.transform(grid).groupBy("Cliente").agg(F.max(F.col("Precio_Caja") * F.col("prediction_final")).alias("most"))
+    for r in scored.collect():
+        mine = best[r.Cliente]
+        assert mine.ingreso_optimo >= r.most * (1 - 1e-12)
+        assert 0.7 * mine.precio_base <= mine.precio_optimo * (1 + 1e-12) and mine.precio_optimo <= 1.3 * mine.precio_base * (1 + 1e-12)
+        ends = [p for p in points if 0.7 * mine.precio_base < p < 1.3 * mine.precio_base]
+        assert any(math.isclose(mine.precio_optimo, p) for p in [*ends, mine.precio_base, 0.7 * mine.precio_base, 1.3 * mine.precio_base])
+    odd = top.limit(1).withColumn("Precio_Caja", F.lit(None).cast("double")).unionByName(
+        top.limit(1).withColumns({"Precio_Caja": F.lit(0.0), "Cliente": F.lit("zero")}))
+    prices = {r.Cliente: r for r in m.exact_price(model, odd).collect()}
+    assert len(prices) == 2 and prices["zero"].ingreso_optimo == 0 and prices["zero"].ajuste == 0
+    assert m.exact_price(model, top.limit(0)).count() == 0
+
+
 def test_without_a_model_the_catalogue_is_shown(table, tmp_path):
     got = plan.recommendations(table, str(tmp_path / "none"), n=2, k=4)
     assert "prediction_final" not in got.columns and got.count() == 80
