@@ -1,6 +1,6 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, as in op5's SQL, or with ``wrapped`` a line and the words after it, so that no line end
+A block is a line, or with ``wrapped``, as in op5 and its SQL, a line and the words after it, so that no line end
 cuts a notice. A template is a short notice; both are sets of words. A block matches a template
 when it holds at least ``threshold`` of the template's words. Template words are ordered by the
 number of blocks that hold them, rarest first, counted over all documents. A template of n words

@@ -4,11 +4,12 @@ Every line is hashed; a polynomial over the hashes of ``WINDOW`` lines rolls alo
 it is divisible by ``divisor`` a chunk ends. Boundaries depend on those lines alone, so inserted or
 removed lines shift no boundary but their own. Chunks of several lines that occur more than once in
 all documents are compared byte by byte with their first occurrence, and all but that one are
-removed. This is the rule of op6's SQL. It finds a passage only as far as boundaries fall into it, and
+removed. It finds a passage only as far as boundaries fall into it, and
 lines of one-line chunks, so most of a run of equal lines, stay.
 
 ``passages=True`` compares every stretch of ``min_lines`` lines that are not blank, wherever it
-begins, in place of chunks: no passage of so many lines is missed.
+begins, in place of chunks: no passage of so many lines is missed. op6 and the pipeline use this, since
+no choice of chunk ends finds enough of the short passages (figures in the README).
 """
 
 from __future__ import annotations
