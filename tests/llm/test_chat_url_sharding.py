@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from salesflow.llm import chat, sharding, url_filters
-from salesflow.llm.queries import SHARDS, SLOTS, URL_RULES
+from salesflow.llm.queries import QUERIES, SHARDS, SLOTS, URL_RULES
 from salesflow.llm.url_filters import Rule
 
 TURNS = StructType([StructField("conv_id", LongType()), StructField("turn", LongType()),
@@ -123,3 +123,32 @@ def test_model_without_two_classes(spark):
                                   "page_id long, url string, verdict string")
     got = url_filters.judge_urls(pages, [Rule("allow", "io", "/")], model).collect()
     assert [r.verdict for r in got] == ["allow", "allow", "block"]
+
+
+def plain_rule(url):
+    """Host, path and the longest rule that fits, by plain string work."""
+    if url is None or "://" not in url:
+        host = path = ""
+    else:
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, path = rest[:end], rest[end:]
+        path = path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.host + r.path), default=None)
+    return host, path, best
+
+
+def test_every_page_equals_plain_rules(spark):
+    folder = "/root/testdata/sf0.01"
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect()}
+    got = QUERIES["op10_url_filter"](spark, folder).collect()
+    assert len(got) == len(urls) > 0
+    decided = 0
+    for r in got:
+        host, path, rule = plain_rule(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule and rule.host + rule.path), urls[r.page_id]
+        decided += rule is not None
+        assert r.verdict == (rule.verdict if rule else "allow" if r.allow_score >= 0.5 else "block")
+    assert 0 < decided < len(got)
