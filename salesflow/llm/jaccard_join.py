@@ -4,7 +4,8 @@ Documents with equal shingle sets are one *vertex*. All sets are ordered alike,
 shingle's rarest word occurs in all documents, which bounds how many hold it; ties by hash. Two sets with Jaccard similarity t or more share one of
 their first ``n - ceil(t n) + 1`` shingles, their prefixes. Vertices with the same prefix and size
 are one group; groups are filtered by shared prefix shingles, size and position, then expanded to their
-vertices, and candidate pairs are verified on whole sets.
+vertices. A vertex also carries the parities of its shingles over 256 places: two sets differ in at least as many
+shingles as their parities do in bits, so pairs that differ in too many are no candidates. Candidates are verified on whole sets.
 
 Asked for is who belongs together. So the vertices that share a prefix shingle (or a group) are a
 *list*, and only pairs between different components of a list are candidates: first all with the most
@@ -15,6 +16,7 @@ between components is lost, and thousands of copies cost thousands of pairs, not
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +30,15 @@ from salesflow.session import drop_staged, stage, staged
 COUNT_BITS = 18
 PAIRS_PER_ROW = 64
 BLOCK = 256  # vertices of one block: a task of two blocks has at most about 65 000 pairs
+BLOCK_SHINGLES = 1 << 18  # shingles of one block, if no set alone has more: two megabytes of hashes
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
+PLACE_SALT = np.uint64(0x165667B19E3779F9)
+PLACES = 256
+BITS = [f"bits{i}" for i in range(PLACES // 64)]
 
-SETS = ("doc_id bigint, row_key bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, central float, "
-        "prefix array<bigint>")
+ROW_KEY = ["row_key", "row_key2"]
+SETS = ("doc_id bigint, row_key bigint, row_key2 bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, "
+        "central float, prefix array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS))
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -64,6 +71,17 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.int64(one.view(np.int64))), int(two.view(np.int64))
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """How many of the set's shingles fall on each of ``PLACES`` places, modulo two, as 64-bit numbers."""
+    places = (mix(shingles ^ PLACE_SALT) & np.uint64(PLACES - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=PLACES).astype(np.uint8) & 1).view(np.int64)
+
+
+def row_keys() -> list[Column]:
+    """128 bits that stand for a row's id and text."""
+    return [F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row_key2")]
+
+
 def needed(n: int, percent: int) -> int:
     """Shingles that a set of ``n`` shares with any set similar to it."""
     return -(-percent * n // 100)
@@ -103,7 +121,7 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
         levels = shared.value
         for batch in batches:
             for part in slices(batch):
-                rows, prefixes = [], []
+                rows, prefixes, bits = [], [], []
                 for own, level in ordered_sets(part.column("text"), n, levels):
                     size = len(own)
                     prefix = own[np.argsort(level, kind="stable")][:size - needed(size, percent) + 1 if size else 0]
@@ -111,19 +129,21 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
                     grouping = int(mix(np.array([set_key(prefix)[0] + size], np.int64).view(np.uint64)).view(np.int64)[0])
                     rows.append((size, one, two, grouping, float(level.mean()) if size else 0.0))
                     prefixes.append(prefix.view(np.int64))
+                    bits.append(parities(own))
                 size, one, two, grouping, central = zip(*rows, strict=True)
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("row_key"), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                     pa.array(two, pa.int64()), pa.array(grouping, pa.int64()), pa.array(central, pa.float32()), lists],
-                    names=["doc_id", "row_key", "n_shingles", "key1", "key2", "grouping", "central", "prefix"])
+                    [*(part.column(c) for c in ("doc_id", *ROW_KEY)), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
+                     pa.array(two, pa.int64()), pa.array(grouping, pa.int64()), pa.array(central, pa.float32()), lists,
+                     *map(pa.array, np.array(bits).T.copy())],
+                    names=["doc_id", *ROW_KEY, "n_shingles", "key1", "key2", "grouping", "central", "prefix", *BITS])
 
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", *row_keys(), "text").mapInArrow(run, SETS)
 
 
 def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
-    """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``central``: vertices that share a
+    """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``central``, ``BITS``: vertices that share a
     prefix shingle or a group, without rows that are too far into their prefix to link even with the
     smallest set of their list."""
     groups = stage(vertices.groupBy("grouping").agg(
@@ -134,10 +154,10 @@ def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
     # keys adaptive execution can split
     shared = stage(leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list"), "shared")
     by_token = stage(leaders.join(shared, "list"), "shared-shingles")
-    members = vertices.select("grouping", "vertex", "central")
+    members = vertices.select("grouping", "vertex", "central", *BITS)
     own = vertices.join(groups.where("members > 1").select("grouping"), "grouping").select(
-        F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), "central")
-    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", "central")
+        F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), "central", *BITS)
+    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", "central", *BITS)
                  .unionByName(own), "list-rows")
     least = stage(rows.groupBy("list").agg(F.min("size").alias("least")), "list-least")
     size, place = F.col("size"), F.col("place")
@@ -145,35 +165,30 @@ def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
         (100 + percent) * (size - place) >= percent * (size + F.col("least"))).drop("least")
 
 
-def may_link(size1: Column, place1: Column, size2: Column, place2: Column, percent: int) -> Column:
-    """Length and position: enough shingles are left from the shared one on."""
-    overlap = F.least(size1 - place1, size2 - place2)
-    return (100 + percent) * overlap >= percent * (size1 + size2)
+def may_link(x: str, y: str, percent: int) -> Column:
+    """Length and position: enough shingles are left from the shared one on. Parities: not too many differ."""
+    of = {c: (F.col(f"{x}.{c}"), F.col(f"{y}.{c}")) for c in ("size", "place", *BITS)}
+    both = of["size"][0] + of["size"][1]
+    overlap = F.least(of["size"][0] - of["place"][0], of["size"][1] - of["place"][1])
+    differ = reduce(Column.__add__, (F.bit_count(a.bitwiseXOR(b)) for a, b in map(of.get, BITS)))
+    return ((100 + percent) * overlap >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
 
 
 def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
              percent: int) -> Callable[[DataFrame], DataFrame]:
-    """A function from candidate pairs (``a``, ``b``) to those whose sets are similar. The texts of the
+    """A function from candidate pairs (``a``, ``b``, ``shingles`` of both) to those whose sets are similar. The texts of the
     vertices in lists are looked up once and written."""
-    wanted = lists.select("vertex").distinct().join(vertices.select("vertex", "doc_id", "key1", "key2"), "vertex")
-    texts = docs.select("doc_id", "text").alias("d")
-    # both sides grow with the documents: a merge join at every size
-    found = texts.join(wanted.hint("merge").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select(
-        "vertex", "key1", "key2", "text")
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                keys = [set_key(s) for s in shingle_sets(part.column("text"), n)]
-                same = [k == (a, b) for k, a, b in zip(keys, part.column("key1").to_pylist(),
-                                                       part.column("key2").to_pylist(), strict=True)]
-                yield part.filter(pa.array(same, pa.bool_())).select(["vertex", "text"])
-
-    held = stage(found.mapInArrow(own, "vertex bigint, text string").dropDuplicates(["vertex"]), "candidate-texts")
-
-    homes = stage(lists.groupBy("list").agg(F.count("*").alias("n")), "list-sizes")
-    home = lists.join(homes, "list").groupBy("vertex").agg(F.max(F.struct("n", "list")).alias("home"))
-    block = F.xxhash64("home.list", F.pmod(F.xxhash64("vertex"), F.ceil(F.col("home.n") / BLOCK)))
+    wanted = lists.select("vertex").distinct().join(vertices.select("vertex", *ROW_KEY), "vertex")
+    # both sides grow with the documents: a merge join at every size; rows that repeat an id and text meet in it and
+    # are dropped where they lie
+    held = stage(docs.select(*row_keys(), "text").join(wanted.hint("merge"), ROW_KEY).dropDuplicates(
+        [*ROW_KEY, "vertex"]).select("vertex", "text"), "candidate-texts")
+
+    homes = stage(lists.groupBy("list").agg(
+        F.count("*").alias("n"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("parts")),
+        "list-sizes")
+    home = lists.join(homes, "list").groupBy("vertex").agg(F.max(F.struct("n", "list", "parts")).alias("home"))
+    block = F.xxhash64("home.list", F.pmod(F.xxhash64("vertex"), F.col("home.parts")))
     blocks = stage(home.select("vertex", block.alias("block")), "blocks")
 
     def similar(_: tuple, pairs: pa.Table, texts: pa.Table) -> pa.Table:
@@ -189,7 +204,8 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
     def verify(pairs: DataFrame) -> DataFrame:
         # texts travel once for each pair of blocks, not once for each pair
         pairs = stage(pairs, "pairs")
-        tasks = max(1, -(-pairs.count() // BLOCK))
+        count, shingles = pairs.agg(F.count("*"), F.coalesce(F.sum("shingles"), F.lit(0))).first()
+        tasks = max(1, -(-count // BLOCK), -(-shingles // BLOCK_SHINGLES))
         of_a, of_b = (blocks.select(F.col("vertex").alias(c), F.col("block").alias(f"block_{c}")) for c in "ab")
         dealt = stage(pairs.join(of_a, "a").join(of_b, "b").select(
             F.pmod(F.xxhash64("block_a", "block_b"), F.lit(tasks)).alias("task"), "a", "b"), "dealt-pairs")
@@ -243,10 +259,10 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
                         "list-centres")
             centres *= 2
         x, y = one.alias("x"), open_rows.alias("y")
-        fits = may_link(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent)
         pairs = x.join(y, F.col("x.list") == F.col("y.list")).where(
-            (F.col("x.component") != F.col("y.component")) & fits).select(
-            F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b")).distinct()
+            (F.col("x.component") != F.col("y.component")) & may_link("x", "y", percent)).select(
+            F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"),
+            (F.col("x.size") + F.col("y.size")).alias("shingles")).distinct()
         found = stage(verify(pairs), "links")
         labels = merge_components(labels, found)
         if labels is not None:
@@ -254,24 +270,25 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
         last_round = set(staged(spark)) - kept
         if last:
             return labels
-        lists = open_rows.select("list", "vertex", "size", "place", "central").join(
+        lists = open_rows.select("list", "vertex", "size", "place", "central", *BITS).join(
             one.select("list", "vertex"), ["list", "vertex"], "left_anti")
 
 
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``SETS`` and ``row_key``, a hash of id and text, of every row; written."""
+    """``SETS`` of every row; written. ``ROW_KEY`` are hashes of id and text."""
     ship_package(docs.sparkSession)
     levels = commonness(word_counts(docs))
     return stage(set_table(docs, levels, words, percent), "shingle-sets")
 
 
 def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, ``row_key``, ``n_shingles``, ``component`` (a number, null without shingles) and
+    """``doc_id``, ``ROW_KEY``, ``n_shingles``, ``component`` (a number, null without shingles) and
     ``first_doc`` (smallest id of the component's vertex) of every row."""
     sets = document_sets(docs, words, percent)
     classes = sets.where("n_shingles > 0").groupBy("key1", "key2").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"), F.max("grouping").alias("grouping"),
-        F.max("central").alias("central"), F.max("prefix").alias("prefix"))
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(*ROW_KEY)).alias("row"), F.max("n_shingles").alias("size"),
+        F.max("grouping").alias("grouping"), F.max("central").alias("central"), F.max("prefix").alias("prefix"),
+        *[F.max(b).alias(b) for b in BITS]).select("*", "row.*").drop("row")
     vertices = stage(classes.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
     lists = stage(candidate_lists(vertices, percent), "candidates")
     labels = link_lists(lists, verifier(docs, vertices, lists, words, percent), percent)
@@ -281,7 +298,7 @@ def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     else:
         named = keys.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
             "component", F.coalesce("component", "vertex")).drop("vertex")
-    return sets.select("doc_id", "row_key", "n_shingles", "key1", "key2").join(
+    return sets.select("doc_id", *ROW_KEY, "n_shingles", "key1", "key2").join(
         named, ["key1", "key2"], "left").drop("key1", "key2")
 
 
@@ -309,10 +326,10 @@ def keep_one_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     all stay. All columns pass through, whatever their names."""
     found = stage(document_components(docs, words, percent), "components")
     first = found.where("component IS NOT NULL").groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first"))
-    kept = first.select("first.row_key", F.lit(False).alias("wordless")).unionByName(
-        found.where("component IS NULL").select("row_key", F.lit(True).alias("wordless"))).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
-    once = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
-    left = rows.join(kept, "row_key").withColumn("place", once).where("wordless OR place = 1")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)).alias("first"))
+    kept = first.select(*[f"first.{c}" for c in ROW_KEY], F.lit(False).alias("wordless")).unionByName(
+        found.where("component IS NULL").select(*ROW_KEY, F.lit(True).alias("wordless"))).distinct()
+    rows = docs.select(F.struct("*").alias("row"), *row_keys())
+    once = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy("row_key"))
+    left = rows.join(kept, ROW_KEY).withColumn("place", once).where("wordless OR place = 1")
     return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -261,6 +261,29 @@ def test_near_duplicates_equal_all_pairs(documents, monkeypatch, n, percent, per
     assert got == plain_components(rows, n, percent)
 
 
+def test_parities_differ_in_no_more_bits_than_sets_in_members():
+    rng = np.random.default_rng(8)
+    for size in (0, 1, 40, 900):
+        one = np.unique(rng.integers(0, 1 << 63, size + 50, dtype=np.uint64))
+        two = np.union1d(one[:size], rng.integers(0, 1 << 63, size // 3, dtype=np.uint64))
+        bits = sum(int(x).bit_count() for x in (jaccard_join.parities(one) ^ jaccard_join.parities(two)).view(np.uint64))
+        assert bits <= len(np.setxor1d(one, two))
+        assert size != 40 or bits > 30  # and hardly fewer in small sets
+
+
+def test_similar_texts_longer_than_a_slice(documents):
+    rng = random.Random(5)
+    page = [f"w{rng.randrange(10 ** 6)}" for _ in range(330_000)]
+    near = page[:300_000] + [f"n{i}" for i in range(20_000)]
+    far = page[:200_000] + [f"f{i}" for i in range(130_000)]
+    rows = [(1, "short one"), (2, " ".join(page)), (3, " ".join(near)), (4, " ".join(far)), (5, None)]
+    assert len(rows[1][1]) > words.SLICE_BYTES
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(documents(rows), 5, 80).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5}
+    empty = jaccard_join.near_duplicates(documents(rows).where("false"), 5, 80)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id"]
+
+
 def test_long_lists_without_any_link(documents, monkeypatch):
     real, rounds = jaccard_join.link_lists, []
     monkeypatch.setattr(jaccard_join, "link_lists", lambda lists, verify, percent: real(
