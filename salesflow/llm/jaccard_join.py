@@ -176,14 +176,8 @@ def may_link(x: str, y: str, percent: int) -> Column:
 
 def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
              percent: int) -> Callable[[DataFrame], DataFrame]:
-    """A function from candidate pairs (``a``, ``b``, ``shingles`` of both) to those whose sets are similar. The texts of the
-    vertices in lists are looked up once and written."""
-    wanted = lists.select("vertex").distinct().join(vertices.select("vertex", *ROW_KEY), "vertex")
-    # both sides grow with the documents: a merge join at every size; rows that repeat an id and text meet in it and
-    # are dropped where they lie
-    held = stage(docs.select(*row_keys(), "text").join(wanted.hint("merge"), ROW_KEY).dropDuplicates(
-        [*ROW_KEY, "vertex"]).select("vertex", "text"), "candidate-texts")
-
+    """A function from candidate pairs (``a``, ``b``, ``shingles`` of both) to those whose sets are similar. Each call looks up
+    the texts of its own pairs: by a broadcast of their keys where these are few, else by a shuffle of both sides."""
     homes = stage(lists.groupBy("list").agg(
         F.count("*").alias("n"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("parts")),
         "list-sizes")
@@ -209,8 +203,13 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
         of_a, of_b = (blocks.select(F.col("vertex").alias(c), F.col("block").alias(f"block_{c}")) for c in "ab")
         dealt = stage(pairs.join(of_a, "a").join(of_b, "b").select(
             F.pmod(F.xxhash64("block_a", "block_b"), F.lit(tasks)).alias("task"), "a", "b"), "dealt-pairs")
-        ends = dealt.select(F.col("task").alias("at"), F.col("a").alias("vertex")).union(dealt.select("task", "b"))
-        texts = ends.distinct().join(held, "vertex").select("at", "vertex", "text")
+        ends = stage(dealt.select(F.col("task").alias("at"), F.col("a").alias("vertex")).union(
+            dealt.select("task", "b")).distinct(), "pair-ends")
+        # written, so that its true size picks the join
+        wanted = stage(ends.select("vertex").distinct().join(vertices.select("vertex", *ROW_KEY), "vertex"), "wanted")
+        held = stage(docs.select(*row_keys(), "text").join(wanted, ROW_KEY).dropDuplicates(
+            [*ROW_KEY, "vertex"]).select("vertex", "text"), "candidate-texts")
+        texts = ends.join(held, "vertex").select("at", "vertex", "text")
         return dealt.groupBy("task").cogroup(texts.groupBy("at")).applyInArrow(similar, "a bigint, b bigint")
 
     return verify
@@ -290,7 +289,9 @@ def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.max("grouping").alias("grouping"), F.max("central").alias("central"), F.max("prefix").alias("prefix"),
         *[F.max(b).alias(b) for b in BITS]).select("*", "row.*").drop("row")
     vertices = stage(classes.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
+    spark, before = docs.sparkSession, set(staged(docs.sparkSession))
     lists = stage(candidate_lists(vertices, percent), "candidates")
+    drop_staged(spark, [path for path in staged(spark)[:-1] if path not in before])
     labels = link_lists(lists, verifier(docs, vertices, lists, words, percent), percent)
     keys = vertices.select("key1", "key2", "vertex", F.col("doc_id").alias("first_doc"))
     if labels is None:
