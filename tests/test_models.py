@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from salesflow.checks import queries
 from salesflow.models import demand as d, recommend as m
 from salesflow.names import ENCODED, INDEXED, NUMERIC
 from salesflow.operators.ranking import catalogue, client_dimension
