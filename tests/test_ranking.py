@@ -71,6 +71,11 @@ def test_grid_top_n_needs_one_shuffle(table):
     assert "Exchange" not in window
 
 
+def test_grid_of_few_files_is_dealt_before_it_unfolds(spark, table):
+    grid = s.candidate_grid(r.client_dimension(table).coalesce(1), r.catalogue(table, 2))
+    assert grid.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_scenarios_and_best_price(spark):
     top = spark.createDataFrame([("A", "p", 10.0), ("B", "q", 0.0)],
                                 "Cliente string, Producto string, Precio_Caja double")
