@@ -88,6 +88,32 @@ def test_encoding_leaves_the_own_fold_out(spark):
     assert sorted(r.c_Media for r in encoded.collect()) == [11 / 4, 4.0, 4.0, 14 / 3, 14 / 3]
 
 
+def test_few_labels_are_broadcast_beside_many(spark):
+    rows = spark.range(4000).selectExpr("CAST(id % 2000 AS STRING) AS many", "CAST(id % 3 AS STRING) AS few", "CAST(id AS DOUBLE) AS y")
+    encodings = stage(d.target_encoding(rows, ["many", "few"], "y", F.lit(0)), "e")
+    expected = values(d.encode(rows, encodings, ["many", "few"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000b")
+    try:
+        got = d.encode(rows, encodings, ["many", "few"])
+        first = got._jdf.queryExecution().sparkPlan().toString()
+        assert first.count("SortMergeJoin") == 1 and first.count("BroadcastHashJoin") == 1
+        assert values(got) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_training_rows_are_narrow_and_looked_up_once(parts):
+    train = parts[0].withColumn("note", F.lit("not a feature"))
+    _, _, rows, held = d._features(train)
+    try:
+        assert held.storageLevel.useMemory and held.storageLevel.useDisk
+        assert not {"note", "ID_Articulo", d.TARGET} & set(held.columns)
+        assert rows.count() == train.count()
+    finally:
+        held.unpersist()
+
+
 def test_importance_names_every_input(model, parts):
     schema = model.transform(parts[1]).schema
     rows = d.feature_importance(model, schema, 20).collect()
