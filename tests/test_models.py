@@ -258,6 +258,27 @@ def test_exact_prices_beat_every_step(spark, model, table):
     assert m.exact_price(model, top.limit(0)).count() == 0
 
 
+def test_rows_are_encoded_before_they_unfold(model, table, monkeypatch):
+    products = stage(catalogue(table, 4), "products")
+    looked_up, encode = [], d.encode
+    monkeypatch.setattr(d, "encode", lambda df, *rest, **more: looked_up.append(df.count()) or encode(df, *rest, **more))
+    assert m.best_prices(model, client_dimension(table), products).count() == 40
+    assert sorted(looked_up) == [4, 40]  # neither the grid's 160 rows nor the 520 scenarios
+    top = m.recommend(model, client_dimension(table), products, n=1, means=True)
+    plain = top.drop(*m.MEANS)
+    for priced in (m.optimise_price, m.exact_price, m.price_curve, m.discount_test):
+        assert values(priced(model, top)) == values(priced(model, plain))
+    assert max(looked_up) == 40
+
+
+def test_scenarios_of_one_file_are_dealt(spark, tmp_path):
+    parts = spark.range(60).selectExpr("id % 50 AS p_partkey", "id + 0.5D AS p_retailprice", "CAST(id % 7 AS INT) AS p_size")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = queries._fixed_scenarios(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows.count() == 60 * 13 and queries.best_price(spark, str(tmp_path)).count() == 60
+
+
 def test_without_a_model_the_catalogue_is_shown(table, tmp_path):
     got = plan.recommendations(table, str(tmp_path / "none"), n=2, k=4)
     assert "prediction_final" not in got.columns and got.count() == 80
