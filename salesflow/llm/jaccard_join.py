@@ -34,11 +34,12 @@ BLOCK_SHINGLES = 1 << 18  # shingles of one block, if no set alone has more: two
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 PLACE_SALT = np.uint64(0x165667B19E3779F9)
 PLACES = 256
+SLOTS = 1 << 24  # of row keys: at most 262 144 numbers of 64 bits
 BITS = [f"bits{i}" for i in range(PLACES // 64)]
 
 ROW_KEY = ["row_key", "row_key2"]
 SETS = ("doc_id bigint, row_key bigint, row_key2 bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, "
-        "central float, prefix array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS))
+        "prefix array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS))
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -82,6 +83,16 @@ def row_keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64(F.lit(1), "text", "doc_id").alias("row_key2")]
 
 
+def maybe_held(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``row_key`` may be one of ``keys``: by a broadcast of the ``SLOTS`` that these fall on, which is bounded
+    however many they are. A join on the whole keys must follow."""
+    slot = F.col("row_key").bitwiseAND(SLOTS - 1)
+    number, place = F.shiftright(slot, 6), slot.bitwiseAND(63).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    held = keys.groupBy(number.alias("number")).agg(F.bit_or(bit).alias("held"))
+    return rows.join(F.broadcast(held), number == F.col("number")).where(F.getbit("held", place) == 1).drop("number", "held")
+
+
 def needed(n: int, percent: int) -> int:
     """Shingles that a set of ``n`` shares with any set similar to it."""
     return -(-percent * n // 100)
@@ -127,23 +138,23 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
                     prefix = own[np.argsort(level, kind="stable")][:size - needed(size, percent) + 1 if size else 0]
                     one, two = set_key(own)
                     grouping = int(mix(np.array([set_key(prefix)[0] + size], np.int64).view(np.uint64)).view(np.int64)[0])
-                    rows.append((size, one, two, grouping, float(level.mean()) if size else 0.0))
+                    rows.append((size, one, two, grouping))
                     prefixes.append(prefix.view(np.int64))
                     bits.append(parities(own))
-                size, one, two, grouping, central = zip(*rows, strict=True)
+                size, one, two, grouping = zip(*rows, strict=True)
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("doc_id", *ROW_KEY)), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-                     pa.array(two, pa.int64()), pa.array(grouping, pa.int64()), pa.array(central, pa.float32()), lists,
+                     pa.array(two, pa.int64()), pa.array(grouping, pa.int64()), lists,
                      *map(pa.array, np.array(bits).T.copy())],
-                    names=["doc_id", *ROW_KEY, "n_shingles", "key1", "key2", "grouping", "central", "prefix", *BITS])
+                    names=["doc_id", *ROW_KEY, "n_shingles", "key1", "key2", "grouping", "prefix", *BITS])
 
     return docs.select("doc_id", *row_keys(), "text").mapInArrow(run, SETS)
 
 
 def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
-    """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``central``, ``BITS``: vertices that share a
+    """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``BITS``: vertices that share a
     prefix shingle or a group, without rows that are too far into their prefix to link even with the
     smallest set of their list."""
     groups = stage(vertices.groupBy("grouping").agg(
@@ -154,10 +165,10 @@ def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
     # keys adaptive execution can split
     shared = stage(leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list"), "shared")
     by_token = stage(leaders.join(shared, "list"), "shared-shingles")
-    members = vertices.select("grouping", "vertex", "central", *BITS)
+    members = vertices.select("grouping", "vertex", *BITS)
     own = vertices.join(groups.where("members > 1").select("grouping"), "grouping").select(
-        F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), "central", *BITS)
-    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", "central", *BITS)
+        F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), *BITS)
+    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", *BITS)
                  .unionByName(own), "list-rows")
     least = stage(rows.groupBy("list").agg(F.min("size").alias("least")), "list-least")
     size, place = F.col("size"), F.col("place")
@@ -177,7 +188,7 @@ def may_link(x: str, y: str, percent: int) -> Column:
 def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
              percent: int) -> Callable[[DataFrame], DataFrame]:
     """A function from candidate pairs (``a``, ``b``, ``shingles`` of both) to those whose sets are similar. Each call looks up
-    the texts of its own pairs: by a broadcast of their keys where these are few, else by a shuffle of both sides."""
+    the texts of its own pairs and moves, but for chance, no others."""
     homes = stage(lists.groupBy("list").agg(
         F.count("*").alias("n"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("parts")),
         "list-sizes")
@@ -207,7 +218,7 @@ def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
             dealt.select("task", "b")).distinct(), "pair-ends")
         # written, so that its true size picks the join
         wanted = stage(ends.select("vertex").distinct().join(vertices.select("vertex", *ROW_KEY), "vertex"), "wanted")
-        held = stage(docs.select(*row_keys(), "text").join(wanted, ROW_KEY).dropDuplicates(
+        held = stage(maybe_held(docs.select(*row_keys(), "text"), wanted).join(wanted, ROW_KEY).dropDuplicates(
             [*ROW_KEY, "vertex"]).select("vertex", "text"), "candidate-texts")
         texts = ends.join(held, "vertex").select("at", "vertex", "text")
         return dealt.groupBy("task").cogroup(texts.groupBy("at")).applyInArrow(similar, "a bigint, b bigint")
@@ -227,9 +238,11 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
 
     While more than ``pairs_per_row`` pairs a row of all lists are left, the most central vertices of
     every open list are compared with its others and leave it: one at first, then twice as many in every
-    round, so rounds grow with the logarithm of a list."""
+    round, so rounds grow with the logarithm of a list. Central are those whose open lists are longest for their
+    size, as a page's is among its edited copies. With fewer pairs, but more than one a row, there is one such round at
+    least, and more as long as they halve what is left: copies cost a pair each, not all their pairs."""
     spark = lists.sparkSession
-    labels, centres, all_rows = None, 1, lists.count()
+    labels, centres, all_rows, before = None, 1, lists.count(), None
     kept, last_round = set(staged(spark)), set()
     while True:
         if labels is None:
@@ -248,18 +261,22 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
         left = sums.agg(F.sum("pairs")).first()[0]
         if not left:
             return labels
-        last = left <= pairs_per_row * all_rows
-        open_rows = labelled.join(sums.select("list", "largest"), "list")
-        if last:  # few pairs are left: all of them
-            one = open_rows.where("component <> largest").drop("largest")
+        last = left <= pairs_per_row * all_rows and (left <= all_rows or before is not None and 2 * left > before)
+        before = left
+        open_rows = labelled.join(sums.select("list", "n", "largest"), "list")
+        if last:  # few pairs are left: all of them, once in a list
+            one = open_rows.where("component <> largest").drop("n", "largest")
+            once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.vertex") < F.col("y.vertex"))
         else:  # the most central vertices of each list with all others
+            central = stage(open_rows.groupBy("vertex").agg((F.sum("n") / F.max("size")).alias("central")), "central")
             rank = F.row_number().over(Window.partitionBy("list").orderBy(F.desc("central"), "vertex"))
-            one = stage(open_rows.drop("largest").withColumn("rank", rank).where(F.col("rank") <= centres).drop("rank"),
-                        "list-centres")
+            one = stage(open_rows.drop("n", "largest").join(central, "vertex").withColumn("rank", rank).where(
+                F.col("rank") <= centres).drop("rank", "central"), "list-centres")
             centres *= 2
+            once = F.lit(True)
         x, y = one.alias("x"), open_rows.alias("y")
         pairs = x.join(y, F.col("x.list") == F.col("y.list")).where(
-            (F.col("x.component") != F.col("y.component")) & may_link("x", "y", percent)).select(
+            (F.col("x.component") != F.col("y.component")) & once & may_link("x", "y", percent)).select(
             F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"),
             (F.col("x.size") + F.col("y.size")).alias("shingles")).distinct()
         found = stage(verify(pairs), "links")
@@ -269,7 +286,7 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
         last_round = set(staged(spark)) - kept
         if last:
             return labels
-        lists = open_rows.select("list", "vertex", "size", "place", "central", *BITS).join(
+        lists = open_rows.select("list", "vertex", "size", "place", *BITS).join(
             one.select("list", "vertex"), ["list", "vertex"], "left_anti")
 
 
@@ -286,7 +303,7 @@ def document_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     sets = document_sets(docs, words, percent)
     classes = sets.where("n_shingles > 0").groupBy("key1", "key2").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct(*ROW_KEY)).alias("row"), F.max("n_shingles").alias("size"),
-        F.max("grouping").alias("grouping"), F.max("central").alias("central"), F.max("prefix").alias("prefix"),
+        F.max("grouping").alias("grouping"), F.max("prefix").alias("prefix"),
         *[F.max(b).alias(b) for b in BITS]).select("*", "row.*").drop("row")
     vertices = stage(classes.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
     spark, before = docs.sparkSession, set(staged(docs.sparkSession))

@@ -118,6 +118,7 @@ def test_packing_covers_every_token_once(documents, given):
     assert packing.pack(documents([], 1), TOKENIZER).count() == 0
 
 
+
 # --- line dedup -------------------------------------------------------------
 
 def plain_line_dedup(rows):
@@ -297,6 +298,31 @@ def test_long_lists_without_any_link(documents, monkeypatch):
     assert all(doc == component for doc, _, component in got) and len(rounds) > 2
 
 
+def test_edited_copies_of_a_page_cost_a_pair_each(documents, monkeypatch):
+    real, asked = jaccard_join.verifier, []
+
+    def verifier(*a):
+        verify = real(*a)
+        return lambda pairs: asked.append(pairs.count()) or verify(pairs)
+
+    monkeypatch.setattr(jaccard_join, "verifier", verifier)
+    page, rng = [f"p{i}" for i in range(200)], random.Random(2)
+    rows = [(0, " ".join(page))] + [(doc, " ".join(f"e{doc}x{i}" if i in edits else w for i, w in enumerate(page)))
+                                    for doc in range(1, 30) for edits in [rng.sample(range(200), 2)]]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in
+                  jaccard_join.near_duplicates(documents(rows), 3, 90).collect()), key=str)
+    assert got == plain_components(rows, 3, 90) and {c for _, _, c in got} == {0}
+    assert sum(asked) < 60  # all pairs: 435
+
+
+def test_maybe_held_loses_no_key(spark):
+    rows = spark.range(2000).select(F.xxhash64("id").alias("row_key"), "id")
+    keys = rows.where("id % 50 = 0").select("row_key")
+    got = [r.id for r in jaccard_join.maybe_held(rows, keys).collect()]
+    assert {*range(0, 2000, 50)} <= {*got} and len(got) == len({*got}) < 100
+    assert jaccard_join.maybe_held(rows, keys.where("false")).isEmpty()
+
+
 def test_keep_one_each(documents):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(3, long), (3, long), (9, long + " x"), (None, long), (4, "other words"), (5, None), (5, None), (6, ""), (None, "lone words")]
