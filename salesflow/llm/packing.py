@@ -28,7 +28,7 @@ from salesflow.llm.ship import ship_package
 from salesflow.llm.words import Words, slices, text_bytes
 from salesflow.session import stage
 
-KNOWN_WORDS = 200_000  # some 200 bytes each
+KNOWN_WORDS = 200_000  # some 50 bytes each
 LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # one code point each in every normal form and case
 WORD_PATTERN = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -58,13 +58,50 @@ def splits_words(tokenizer: Tokenizer) -> bool:
             and steps[0]["pattern"].get("Regex", "").endswith(WORD_PATTERN))
 
 
+class KnownWords:
+    """Ids of words by the words' 64-bit hashes, as sorted arrays: ``hashes``, ``lengths`` (bytes of the words), ``starts`` and
+    ``sizes`` of their ids in ``ids``."""
+
+    def __init__(self, hashes: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
+        self.hashes, self.lengths, self.sizes, self.ids = hashes, lengths, sizes, ids
+        self.starts = np.cumsum(sizes) - sizes
+
+    @classmethod
+    def none(cls) -> KnownWords:
+        return cls(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4"))
+
+    def find(self, hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words stand, and which of them do."""
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        if not len(self.hashes):
+            return at, np.zeros(len(at), bool)
+        return at, (self.hashes[at] == hashes) & (self.lengths[at] == lengths)
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        """Ids of words in a row."""
+        sizes = self.sizes[at]
+        upto = np.cumsum(sizes)
+        return self.ids[np.arange(upto[-1] if len(upto) else 0) + np.repeat(self.starts[at] - (upto - sizes), sizes)]
+
+    def pick(self, at: np.ndarray) -> KnownWords:
+        return KnownWords(self.hashes[at], self.lengths[at], self.sizes[at], self.take(at))
+
+    def union(self, *others: KnownWords) -> KnownWords:
+        """All words; of one hash the first."""
+        tables = (self, *others)
+        whole = KnownWords(*(np.concatenate([getattr(t, c) for t in tables]) for c in ("hashes", "lengths", "sizes", "ids")))
+        return whole.pick(np.unique(whole.hashes, return_index=True)[1])
+
+
 class TextTokenizer:
     """A tokenizer applied to whole texts, or word by word where that is the same.
 
     Words recur, in a slice of texts and later: each is looked up once a slice, and words met lately are
-    kept in two generations of ``KNOWN_WORDS`` at least. A word that does not return goes with its generation. Words
-    of letters, with a comma or full stop at most, go straight to the tokenizer's model; the others
-    take the whole way. Words of a slice are told apart by 64-bit hashes and their lengths.
+    kept in two generations of ``KNOWN_WORDS`` at least. A word that does not return goes with its generation. A comma or
+    full stop behind a letter is a word of its own, and A-Z are as a-z, so a word is learned once in all these forms. Words
+    of letters go straight to the tokenizer's model; the others
+    take the whole way. Words are told apart by 64-bit hashes and their lengths.
     """
 
     def __init__(self, path: str):
@@ -72,69 +109,57 @@ class TextTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.by_word = splits_words(self.tokenizer)
-        self.recent: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.tails = {mark: self._whole(mark) for mark in (b",", b".")} if self.by_word else {}
+        self.recent, self.older = KnownWords.none(), KnownWords.none()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        words = Words(texts) if self.by_word else None
+        words = Words(texts, lower=True, tails=True) if self.by_word else None
         if words is not None:
-            _, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+            hashes, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
             lengths = words.ends - words.starts
         if words is None or (lengths[first][place] != lengths).any():
             data, at = text_bytes(texts)
             own = [self._whole(data[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
             return _numbers(own), np.array([len(x) // 4 for x in own], np.int64)
+        known = self._known(words, hashes, first, lengths[first])
+        ends = np.concatenate([[0], np.cumsum(known.sizes[place])])[words.offsets]
+        return known.take(place), np.diff(ends)
+
+    def _known(self, words: Words, hashes: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> KnownWords:
+        """The distinct words of a slice, that begin at the words ``first``, by rising hash."""
+        if len(self.recent.hashes) > KNOWN_WORDS:
+            self.older, self.recent = self.recent, KnownWords.none()
+        at, met = self.recent.find(hashes, lengths)
+        before, old = self.older.find(hashes, lengths)
+        old &= ~met
+        new = ~(met | old)
         raw = words.data.tobytes()
-        own = self._known([raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)])
-        sizes = np.array([len(x) // 4 for x in own], np.int64)
-        counts = sizes[place]
-        upto = np.cumsum(counts)
-        at = np.arange(upto[-1] if len(upto) else 0) + np.repeat((np.cumsum(sizes) - sizes)[place] - (upto - counts), counts)
-        ends = np.concatenate([[0], upto])[words.offsets]
-        return _numbers(own)[at], np.diff(ends)
-
-    def _known(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct words."""
-        if len(self.recent) > KNOWN_WORDS:
-            self.older, self.recent = self.recent, {}
-        recent, older = self.recent, self.older
-        fresh = [w for w in words if w not in recent]
-        new = []
-        for word in fresh:
-            ids = older.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                recent[word] = ids
-        self._learn(new)
-        return [recent[w] for w in words]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Put words that were not met lately into ``recent``: those of letters one by one, the others at once."""
-        recent, other = self.recent, []
+        own = self._learn([raw[a:b] for a, b in zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)])
+        fresh = KnownWords(hashes[new], lengths[new], np.array([len(x) // 4 for x in own], np.int64), _numbers(own)).union(
+            self.older.pick(before[old]))
+        found = fresh.union(self.recent.pick(at[met]))
+        self.recent = fresh.union(self.recent)
+        return found
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that were not met lately: those of letters one by one, the others at once."""
+        out, other, tokenize = [], [], self.model.tokenize
         for word in words:
-            tail = self.tails.get(word[-1:], b"")
-            stem = word[:-1] if tail else word
-            if stem.isalpha():  # of bytes: ASCII letters
-                stem = stem.lower()
-                text = stem.decode()
-            elif LETTERS(letters := stem.decode()):
-                stem = letters.lower().encode()
-                text = stem.decode("latin-1").translate(BYTE_CHARACTERS)
+            if word.isalpha():  # of bytes: ASCII letters
+                text = word.lower().decode()
+            elif LETTERS(letters := word.decode()):
+                text = letters.lower().encode().decode("latin-1").translate(BYTE_CHARACTERS)
             else:
-                other.append(word)
+                other.append((len(out), letters))
+                out.append(b"")
                 continue
-            ids = recent.get(stem)
-            if ids is None:
-                ids = recent[stem] = _packed([t.id for t in self.model.tokenize(text)])
-            recent[word] = ids + tail
+            out.append(_packed([t.id for t in tokenize(text)]))
         for at in range(0, len(other), 5000):
             some = other[at:at + 5000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False),
-                                   strict=True):
-                recent[word] = _packed(found.ids)
+            for (place, _), found in zip(some, self.tokenizer.encode_batch_fast([w for _, w in some], add_special_tokens=False),
+                                         strict=True):
+                out[place] = _packed(found.ids)
+        return out
 
     def _whole(self, text: bytes) -> bytes:
         return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
@@ -150,7 +175,7 @@ def _numbers(ids: list[bytes]) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def text_tokenizer(path: str) -> TextTokenizer:
-    """One for all tasks of a Python worker, so that later tasks find the words of earlier ones: some 80 MB of words at most."""
+    """One for all tasks of a Python worker, so that later tasks find the words of earlier ones: some 40 MB of words at most."""
     return TextTokenizer(path)
 
 

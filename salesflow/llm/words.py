@@ -25,6 +25,11 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PUNCTUATION = np.ones(256, dtype=bool)
 PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
+LETTER = np.zeros(256, dtype=bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+TAIL = np.zeros(256, dtype=bool)
+TAIL[[*b",."]] = True
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of splitmix."""
@@ -79,9 +84,10 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """Words of some texts: ``hashes``, ``starts`` and ``ends`` (bytes) of all, and ``offsets``, where
-    each text's words begin among them (one more than texts)."""
+    each text's words begin among them (one more than texts). ``tails``: a comma or full stop that ends a word after an
+    ASCII letter is a word of its own."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False, breaks: np.ndarray = SPACE):
+    def __init__(self, texts: pa.Array, lower: bool = False, breaks: np.ndarray = SPACE, tails: bool = False):
         self.data, at = text_bytes(texts)
         n = len(self.data)
         space = breaks[self.data]
@@ -89,6 +95,8 @@ class Words:
         fresh[at] = True
         cut = np.ones(n + 1, dtype=bool)  # no word reaches across
         cut[1:n] = space[1:] | space[:-1] | fresh[1:n]
+        if tails:
+            cut[1:n] |= TAIL[self.data[1:]] & LETTER[self.data[:-1]] & cut[2:n + 1]
         values = (BYTE_LOWER if lower else BYTE)
         starts, ends, hashes = [], [], []
         a = 0

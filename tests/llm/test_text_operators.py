@@ -118,6 +118,23 @@ def test_packing_covers_every_token_once(documents, given):
     assert packing.pack(documents([], 1), TOKENIZER).count() == 0
 
 
+def test_tokenizer_learns_a_word_once_in_all_its_forms(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 8)
+    coder, learned = packing.TextTokenizer(TOKENIZER), []
+    real = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda words: learned.extend(words) or real(words))
+    texts = pa.array(["Word word, WORD. word", None, "word.", ""])
+    ids, counts = coder.encode(texts)
+    assert sorted(w.lower() for w in learned) == [b",", b".", b"word"]
+    whole = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(x) for x in whole]
+    rng, parts = random.Random(9), ["a", "B", "É", "É", "Σ", "7", ",", ".", ",.", "'S", "'re", " ", "\n", "\u00a0", "ﬁ", "İ", "ünd", "The"]
+    for _ in range(60):  # the words of earlier slices go, come back and stand beside new ones
+        some = ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(20)]
+        ids, counts = coder.encode(pa.array(some))
+        whole = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(x) for x in whole]
+
 
 # --- line dedup -------------------------------------------------------------
 
