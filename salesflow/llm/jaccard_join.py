@@ -9,8 +9,9 @@ shingles as their parities do in bits, so pairs that differ in too many are no c
 
 Asked for is who belongs together. So the vertices that share a prefix shingle (or a group) are a
 *list*, and only pairs between different components of a list are candidates: first all with the most
-central vertices, and once few pairs are left, those. A list that is one component is done. No link
-between components is lost, and thousands of copies cost thousands of pairs, not millions.
+central vertices, and once few pairs are left, those. A list that is one component is done. Lists of the same vertices
+are one list, and two vertices meet in the first of their common lists, not in each: edited copies of a page share hundreds of
+shingles, so hundreds of lists. No link between components is lost, and thousands of copies cost thousands of pairs, not millions.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ PLACE_SALT = np.uint64(0x165667B19E3779F9)
 PLACES = 256
 SLOTS = 1 << 24  # of row keys: at most 262 144 numbers of 64 bits
 BITS = [f"bits{i}" for i in range(PLACES // 64)]
+FIRSTS = 32  # lists that a vertex names: vertices with no common one among these meet in every list they share
+LIST_ROW = ["list", "vertex", "size", "place", *BITS, "firsts"]
 
 ROW_KEY = ["row_key", "row_key2"]
 SETS = ("doc_id bigint, row_key bigint, row_key2 bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, "
@@ -154,26 +157,32 @@ def set_table(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> Data
 
 
 def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
-    """``list``, ``vertex``, ``size``, ``place`` (in the prefix), ``BITS``: vertices that share a
-    prefix shingle or a group, without rows that are too far into their prefix to link even with the
-    smallest set of their list."""
+    """``LIST_ROW``: vertices that share a prefix shingle or a group (``list``), with the shingle's ``place`` in the prefix and
+    the vertex's ``firsts``, without rows that are too far into their prefix to link even with the smallest set of their list.
+
+    Of lists with the same vertices only the one with the earliest shingle stays. Shingles are ordered alike in all prefixes, so
+    it is also the earliest for each pair of its vertices."""
     groups = stage(vertices.groupBy("grouping").agg(
-        F.min("vertex").alias("vertex"), F.count("*").alias("members")), "groups")
-    leaders = vertices.join(groups, ["grouping", "vertex"]).select("grouping", "size", F.posexplode("prefix").alias(
-        "place", "list"))
+        F.min("vertex").alias("vertex"), F.max("size").alias("size"), F.count("*").alias("members")), "groups")
+    leaders = vertices.join(groups.select("grouping", "vertex"), ["grouping", "vertex"]).select(
+        "grouping", "size", F.posexplode("prefix").alias("place", "list"))
     # written before it is joined, as other aggregates here: a join of two plain shuffles is one whose hot
     # keys adaptive execution can split
     shared = stage(leaders.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list"), "shared")
     by_token = stage(leaders.join(shared, "list"), "shared-shingles")
-    members = vertices.select("grouping", "vertex", *BITS)
-    own = vertices.join(groups.where("members > 1").select("grouping"), "grouping").select(
-        F.xxhash64("grouping").alias("list"), "vertex", "size", F.lit(0).alias("place"), *BITS)
-    rows = stage(by_token.join(members, "grouping").select("list", "vertex", "size", "place", *BITS)
-                 .unionByName(own), "list-rows")
-    least = stage(rows.groupBy("list").agg(F.min("size").alias("least")), "list-least")
+    held = by_token.groupBy("list").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("grouping")).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit(1), "grouping")).alias("two"), F.min("size").alias("least"),
+        F.min_by("place", "grouping").alias("earliest"))  # of one grouping that all equal lists hold
+    kept = stage(held.groupBy("n", "one", "two").agg(
+        F.min_by("list", "earliest").alias("list"), F.min("least").alias("least")).select("list", "least"), "kept-lists")
     size, place = F.col("size"), F.col("place")
-    return rows.join(least, "list").where(
-        (100 + percent) * (size - place) >= percent * (size + F.col("least"))).drop("least")
+    near = by_token.join(kept, "list").where((100 + percent) * (size - place) >= percent * (size + F.col("least")))
+    own = groups.where("members > 1").select(F.xxhash64("grouping").alias("list"), "grouping", "size", F.lit(0).alias("place"))
+    of_groups = stage(near.select("list", "grouping", "size", "place").unionByName(own), "group-lists")
+    ordered = F.array_sort(F.collect_list(F.struct("place", "list")))
+    firsts = stage(of_groups.groupBy("grouping").agg(F.slice(ordered, 1, FIRSTS)["list"].alias("firsts")), "first-lists")
+    return of_groups.join(firsts, "grouping").join(vertices.select("grouping", "vertex", *BITS), "grouping").select(LIST_ROW)
 
 
 def may_link(x: str, y: str, percent: int) -> Column:
@@ -185,6 +194,19 @@ def may_link(x: str, y: str, percent: int) -> Column:
     return ((100 + percent) * overlap >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
 
 
+def linkable(one: DataFrame, rows: DataFrame, once: Column, percent: int) -> DataFrame:
+    """Candidate pairs (``a``, ``b``, ``shingles`` of both) of ``one`` and ``rows``, two tables of ``LIST_ROW`` and ``component``,
+    for which ``once`` (of ``x`` and ``y``) holds. A pair is made in the first of its common lists: the filter by position is right
+    there, and neither vertex leaves that list before they have met. So whatever is left out elsewhere is found there."""
+    x, y = one.alias("x"), rows.alias("y")
+    first = F.get(F.array_intersect("x.firsts", "y.firsts"), F.lit(0))
+    return x.join(y, F.col("x.list") == F.col("y.list")).where(
+        (F.col("x.component") != F.col("y.component")) & once & may_link("x", "y", percent)
+        & (F.coalesce(first, "x.list") == F.col("x.list"))).select(
+        F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"),
+        (F.col("x.size") + F.col("y.size")).alias("shingles"))
+
+
 def verifier(docs: DataFrame, vertices: DataFrame, lists: DataFrame, n: int,
              percent: int) -> Callable[[DataFrame], DataFrame]:
     """A function from candidate pairs (``a``, ``b``, ``shingles`` of both) to those whose sets are similar. Each call looks up
@@ -274,19 +296,14 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
                 F.col("rank") <= centres).drop("rank", "central"), "list-centres")
             centres *= 2
             once = F.lit(True)
-        x, y = one.alias("x"), open_rows.alias("y")
-        pairs = x.join(y, F.col("x.list") == F.col("y.list")).where(
-            (F.col("x.component") != F.col("y.component")) & once & may_link("x", "y", percent)).select(
-            F.least("x.vertex", "y.vertex").alias("a"), F.greatest("x.vertex", "y.vertex").alias("b"),
-            (F.col("x.size") + F.col("y.size")).alias("shingles")).distinct()
-        found = stage(verify(pairs), "links")
+        found = stage(verify(linkable(one, open_rows, once, percent).distinct()), "links")
         labels = merge_components(labels, found)
         if labels is not None:
             kept.update(labels_paths(spark, labels))
         last_round = set(staged(spark)) - kept
         if last:
             return labels
-        lists = open_rows.select("list", "vertex", "size", "place", *BITS).join(
+        lists = open_rows.select(LIST_ROW).join(
             one.select("list", "vertex"), ["list", "vertex"], "left_anti")
 
 

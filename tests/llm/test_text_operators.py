@@ -332,6 +332,38 @@ def test_edited_copies_of_a_page_cost_a_pair_each(documents, monkeypatch):
     assert sum(asked) < 60  # all pairs: 435
 
 
+def test_vertices_that_share_many_lists_meet_once(documents, monkeypatch):
+    linkable, link_lists, made, lists = jaccard_join.linkable, jaccard_join.link_lists, [], []
+
+    def counted(*a):
+        pairs = linkable(*a)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "linkable", counted)
+    monkeypatch.setattr(jaccard_join, "link_lists", lambda rows, *a: lists.append(
+        rows.groupBy("list").agg(F.sort_array(F.collect_list("vertex")).alias("held")).collect()) or link_lists(rows, *a))
+    page, rng = [f"p{i}" for i in range(200)], random.Random(3)
+    rows = [(doc, " ".join(f"e{doc}x{i}" if i in edits else w for i, w in enumerate(page)))
+            for doc in range(24) for edits in [rng.sample(range(200), 4)]]
+    rows += [(100 + i, " ".join(page[:i] + page[:i])) for i in range(40, 60, 4)] + [(200, rows[5][1] + " end")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in
+                  jaccard_join.near_duplicates(documents(rows), 3, 80).collect()), key=str)
+    assert got == plain_components(rows, 3, 80)
+    members = [tuple(r.held) for r in lists[0]]
+    shared = sum(len(m) * (len(m) - 1) // 2 for m in members)
+    assert len({*members}) == len(members)
+    assert sum(n for n, _ in made) == sum(n for _, n in made) < 400 < 2000 < shared
+
+
+def test_vertices_without_a_common_first_list_meet_elsewhere(documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FIRSTS", 1)
+    rows = near_copies(random.Random(9))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in
+                  jaccard_join.near_duplicates(documents(rows), 2, 60).collect()), key=str)
+    assert got == plain_components(rows, 2, 60)
+
+
 def test_maybe_held_loses_no_key(spark):
     rows = spark.range(2000).select(F.xxhash64("id").alias("row_key"), "id")
     keys = rows.where("id % 50 = 0").select("row_key")
