@@ -38,7 +38,7 @@ PLACES = 256
 SLOTS = 1 << 24  # of row keys: at most 262 144 numbers of 64 bits
 BITS = [f"bits{i}" for i in range(PLACES // 64)]
 FIRSTS = 32  # lists that a vertex names: vertices with no common one among these meet in every list they share
-LIST_ROW = ["list", "vertex", "size", "place", *BITS, "firsts"]
+LIST_ROW = ["list", "merged", "vertex", "size", "place", *BITS, "firsts"]
 
 ROW_KEY = ["row_key", "row_key2"]
 SETS = ("doc_id bigint, row_key bigint, row_key2 bigint, n_shingles bigint, key1 bigint, key2 bigint, grouping bigint, "
@@ -160,7 +160,7 @@ def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
     """``LIST_ROW``: vertices that share a prefix shingle or a group (``list``), with the shingle's ``place`` in the prefix and
     the vertex's ``firsts``, without rows that are too far into their prefix to link even with the smallest set of their list.
 
-    Of lists with the same vertices only the one with the earliest shingle stays. Shingles are ordered alike in all prefixes, so
+    Of lists with the same vertices only the one with the earliest shingle stays, as many as were ``merged``. Shingles are ordered alike in all prefixes, so
     it is also the earliest for each pair of its vertices."""
     groups = stage(vertices.groupBy("grouping").agg(
         F.min("vertex").alias("vertex"), F.max("size").alias("size"), F.count("*").alias("members")), "groups")
@@ -175,11 +175,13 @@ def candidate_lists(vertices: DataFrame, percent: int) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(1), "grouping")).alias("two"), F.min("size").alias("least"),
         F.min_by("place", "grouping").alias("earliest"))  # of one grouping that all equal lists hold
     kept = stage(held.groupBy("n", "one", "two").agg(
-        F.min_by("list", "earliest").alias("list"), F.min("least").alias("least")).select("list", "least"), "kept-lists")
+        F.min_by("list", "earliest").alias("list"), F.count("*").alias("merged"), F.min("least").alias("least")).select(
+        "list", "merged", "least"), "kept-lists")
     size, place = F.col("size"), F.col("place")
     near = by_token.join(kept, "list").where((100 + percent) * (size - place) >= percent * (size + F.col("least")))
-    own = groups.where("members > 1").select(F.xxhash64("grouping").alias("list"), "grouping", "size", F.lit(0).alias("place"))
-    of_groups = stage(near.select("list", "grouping", "size", "place").unionByName(own), "group-lists")
+    own = groups.where("members > 1").select(
+        F.xxhash64("grouping").alias("list"), F.lit(1).cast("bigint").alias("merged"), "grouping", "size", F.lit(0).alias("place"))
+    of_groups = stage(near.select("list", "merged", "grouping", "size", "place").unionByName(own), "group-lists")
     ordered = F.array_sort(F.collect_list(F.struct("place", "list")))
     firsts = stage(of_groups.groupBy("grouping").agg(F.slice(ordered, 1, FIRSTS)["list"].alias("firsts")), "first-lists")
     return of_groups.join(firsts, "grouping").join(vertices.select("grouping", "vertex", *BITS), "grouping").select(LIST_ROW)
@@ -264,7 +266,8 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     size, as a page's is among its edited copies. With fewer pairs, but more than one a row, there is one such round at
     least, and more as long as they halve what is left: copies cost a pair each, not all their pairs."""
     spark = lists.sparkSession
-    labels, centres, all_rows, before = None, 1, lists.count(), None
+    labels, centres, before = None, 1, None
+    all_rows = lists.agg(F.coalesce(F.sum("merged"), F.lit(0))).first()[0]
     kept, last_round = set(staged(spark)), set()
     while True:
         if labels is None:
@@ -290,7 +293,7 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
             one = open_rows.where("component <> largest").drop("n", "largest")
             once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.vertex") < F.col("y.vertex"))
         else:  # the most central vertices of each list with all others
-            central = stage(open_rows.groupBy("vertex").agg((F.sum("n") / F.max("size")).alias("central")), "central")
+            central = stage(open_rows.groupBy("vertex").agg((F.sum(F.col("n") * F.col("merged")) / F.max("size")).alias("central")), "central")
             rank = F.row_number().over(Window.partitionBy("list").orderBy(F.desc("central"), "vertex"))
             one = stage(open_rows.drop("n", "largest").join(central, "vertex").withColumn("rank", rank).where(
                 F.col("rank") <= centres).drop("rank", "central"), "list-centres")
