@@ -155,6 +155,52 @@ def test_nested_encodings_leave_held_out_rows_out(spark):
     assert got == {}
 
 
+def test_a_search_looks_every_column_up_once(parts, monkeypatch):
+    looked_up, join = [], d.lookup_join
+    monkeypatch.setattr(d, "lookup_join", lambda left, right, on, **more: looked_up.append(on) or join(left, right, on, **more))
+    model = d.tune(parts[0], trees=(2,), depths=(2,), folds=3)
+    assert len(looked_up) == len(ENCODED)  # not again for every fold and part of it
+    monkeypatch.undo()
+    plain = d.target_encoding(parts[0], ENCODED, d.LABEL, d.fold_of(parts[0]))
+    assert model.encodings.columns == plain.columns and values(model.encodings) == values(plain)
+
+
+def test_rows_of_a_search_hold_what_encode_looks_up(spark, monkeypatch):
+    """Every search of the rows side by side against a lookup of its own; labels that are null or only held out, and rows
+    that no search or every one trains on."""
+    monkeypatch.setattr(d, "ENCODED", ["c", "p"])
+    monkeypatch.setattr(d, "INDEXED", ["id"])
+    monkeypatch.setattr(d, "NUMERIC", [])
+    i = F.col("id")
+    rows = stage(spark.range(300).select(
+        i, F.when(i % 7 > 0, F.concat(F.lit("C"), i % 29)).alias("c"), F.when(i < 290, i % 3).otherwise(i).cast("string").alias("p"),
+        F.when(i % 11 > 0, F.pmod(F.xxhash64(i), F.lit(90)) / 8.0).alias(d.LABEL), F.nullif(F.pmod(F.xxhash64(i + 5), F.lit(5)).cast("int"), F.lit(4)).alias("_outer"),
+        F.pmod(F.xxhash64(i + 9), F.lit(5)).cast("int").alias("_own")), "side_by_side")
+    outer, own, folds = F.col("_outer"), F.col("_own"), [0, 1, 2]
+    searches = [d.ALL_ROWS, *folds]
+    found = d._encode_searches(rows, stage(d._nested_means(rows, ["c", "p"], d.LABEL, outer, own, searches), "means"), searches)
+    nested = stage(d.nested_encoding(rows, ["c", "p"], d.LABEL, outer, own, 3), "nested")
+    assert rows.where("_outer IS NULL").count() > 0 and rows.where("_outer = 3").count() > 0 and found.count() == 300
+    for s in searches:
+        keys = ["id", d.mean_column("c"), d.mean_column("p")]
+        if s == d.ALL_ROWS:
+            whole = stage(d.target_encoding(rows, ["c", "p"], d.LABEL, own), "whole")
+            assert values(d._rows_of_search(found, s), *keys) == values(d.encode(rows, whole, ["c", "p"], own), *keys)
+            continue
+        table = nested.where(F.col("held_out") == s).drop("held_out", "n")
+        train, left = d.encode(rows.where(outer != s), table, ["c", "p"], own), d.encode(rows.where(outer == s), table, ["c", "p"])
+        assert values(d._rows_of_search(found.where(outer != s), s), *keys) == values(train, *keys)
+        assert values(d._rows_of_search(found.where(outer == s), s), *keys) == values(left, *keys)
+
+
+def test_forests_read_features_made_once(parts):
+    _, _, rows, held = d._features(parts[0])
+    try:
+        assert rows.columns == held.columns == ["features", d.LABEL]  # vectors are not assembled at every pass
+    finally:
+        held.unpersist()
+
+
 def test_search_errors_are_those_of_unseen_rows(spark):
     """A target of pure noise with a client for every third row: an encoding that has seen the held-out rows would look
     better than the overall mean, a nested one cannot."""
